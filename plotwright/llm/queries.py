@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, secret_scan, simhash, url_filter
 from .bpe import round_trip
 from .packing import pack
 from .tables import table
@@ -15,16 +16,38 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op3_url_reputation,
+        op5_quality_forest,
         op6_bpe_round_trip,
+        op7_secret_index,
+        op10_simhash_anchors,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_reputation": url_filter.ORACLE,
+}
