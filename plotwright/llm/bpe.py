@@ -23,20 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .tables import only
-from .tokens import LONG, Pieces, chunks, default_tokenizer, find_pieces, library
+from .tokens import LONG, Pieces, byte_letters, chunks, default_tokenizer, find_pieces, in_doubt, library
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Remembered answers of the pair test; memory only.
 PAIRS = 1_000_000
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as itself, the rest from U+0100 in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class PrefixCoder:
     """Encodes pieces (pre-tokens) and decodes ids of one byte-level BPE vocabulary."""
 
@@ -157,8 +150,6 @@ def whole(text: str, c: PrefixCoder, specials: dict[str, int], path: str) -> lis
     """Ids of a text with special tokens or odd white space; the library only cuts it into pieces where classes are in doubt."""
     import regex
 
-    from .tokens import doubtful
-
     cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")")
     pre, ids = library(path).pre_tokenizer, []
     letter = byte_letters()
@@ -167,7 +158,7 @@ def whole(text: str, c: PrefixCoder, specials: dict[str, int], path: str) -> lis
         if part in specials:
             ids.append(specials[part])
             continue
-        if not part.isascii() and doubtful().search(part):
+        if in_doubt(part):
             pieces = [bytes(letter[x] for x in p).decode() for p, _ in pre.pre_tokenize_str(part)]
         else:
             pieces = find_pieces(part)

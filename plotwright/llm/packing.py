@@ -12,16 +12,19 @@ Null text counts as empty: such a document is the closing id alone.  Repeated ro
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import only, written
-from .tokens import LONG, REMEMBERED, chunks, default_tokenizer, library
+from .tokens import PRE_TOKEN, byte_letters, default_tokenizer, in_doubt, library
 
 END_ID = 2
 #: Pieces that a task packs at once.
@@ -32,8 +35,6 @@ GROUP = 40_000
 GROUPS, FEW, ROUNDS = 32, 250, 4
 #: A bin with at most this share of a sequence left over is nearly full.
 SLACK = 1 / 128
-#: Characters of text that are tokenised before the memory of chunks is looked at again.
-STEP = 1 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("bin_id", pa.int64()), ("bin_offset", pa.int64()), ("bin_fill", pa.int64())])
 
@@ -71,39 +72,32 @@ def pack_lengths(lengths: list[int], size: int) -> tuple[list[int], list[int], l
 
 
 class Tokeniser:
-    """Texts -> their ids as little-endian unsigned 32-bit bytes, by the tokenizers library, with a memory of chunks."""
+    """Text -> its ids as little-endian unsigned 32-bit bytes, equal to the tokenizers library's.
+
+    Where the vocabulary's ids run in merge order, ordinary texts are encoded by tiktoken over the same vocabulary, which is
+    about three times as fast; texts with special tokens or doubtful characters, and other vocabularies, by the library itself.
+    """
 
     def __init__(self, path: str):
-        self.tok, self.memory = library(path), {}
-
-    def ids(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        import numpy as np
-
-        step: list[list[str] | str] = []
-        size = 0
-        for i, text in enumerate(texts):
-            step.append(text if (parts := chunks(text)) is None else parts)
-            size += len(text)
-            if size < STEP and i + 1 < len(texts):
-                continue
-            new = list(set().union(*(x for x in step if isinstance(x, list))) - self.memory.keys())
-            for k in range(0, len(new), 4096):
-                part = new[k : k + 4096]
-                for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    self.memory[p] = np.asarray(e.ids, dtype="<u4").tobytes()
-            for x in step:
-                yield b"".join(map(self.memory.__getitem__, x)) if isinstance(x, list) else self.ids(x)
-            for p in new:
-                if len(p) > LONG:
-                    del self.memory[p]
-            if len(self.memory) > REMEMBERED:
-                self.memory.clear()
-            step, size = [], 0
+        import tiktoken
+
+        self.tok = library(path)
+        self.specials = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
+        spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        letter = byte_letters()
+        special = set(self.specials)
+        vocab = {w: i for w, i in spec["model"]["vocab"].items() if w not in special}
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.quick = None
+        if plain and merged == sorted(merged) and max(vocab.values()) == len(vocab) - 1:
+            ranks = {bytes(letter[c] for c in w): i for w, i in vocab.items()}
+            self.quick = tiktoken.Encoding("vocabulary", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str) -> bytes:
+        if self.quick is None or any(s in text for s in self.specials) or in_doubt(text):
+            return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+        return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -130,8 +124,8 @@ def _local(path: str, size: int):
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, body in zip(ids_of, tokenise(texts), strict=True):
-                ids = body + end
+            for doc_id, text in zip(ids_of, texts, strict=True):
+                ids = tokenise(text) + end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, size)):
                     rows.append((doc_id, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
                 if len(rows) >= CHUNK:

@@ -56,6 +56,22 @@ def doubtful() -> re.Pattern:
     return re.compile("[" + "".join(ranges) + "]")
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as itself, the rest from U+0100 in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def in_doubt(text: str) -> bool:
+    """Whether a text holds a doubtful character."""
+    try:
+        text.encode("latin-1")  # all of Latin-1 is old; the usual case, and quick
+    except UnicodeEncodeError:
+        return doubtful().search(text) is not None
+    return False
+
+
 class Pieces(dict):
     """Chunk -> what ``make`` says of it, remembered within bounds."""
 
@@ -83,7 +99,7 @@ def chunks(text: str, specials: tuple[str, ...] = ("<|endoftext|>",)) -> list[st
 
     None: the text holds a special token, an uneven run of white space or a doubtful character and must be encoded whole.
     """
-    if any(s in text for s in specials) or UNEVEN_SPACE.search(text) or not text.isascii() and doubtful().search(text):
+    if any(s in text for s in specials) or UNEVEN_SPACE.search(text) or in_doubt(text):
         return None
     first, *rest = text.split(" ")
     return [first, *[f" {r}" for r in rest]]
