@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, html_text, quality, secret_scan, simhash, url_filter
+from . import ann, html_text, license_scan, lm_score, quality, secret_scan, simhash, url_filter
 from .bpe import round_trip
 from .packing import pack
 from .tables import table
@@ -40,6 +40,14 @@ def op7_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_quality_forest,
         op6_bpe_round_trip,
         op7_secret_index,
+        op8_license_windows,
+        op9_context_mixing,
         op10_simhash_anchors,
     )
 }

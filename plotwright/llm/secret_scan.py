@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .tables import only
+from .tables import numbered, only, position
 
 MARK = "[SECRET]"
 
@@ -248,10 +248,10 @@ def redact(docs: DataFrame, mark: str = MARK) -> DataFrame:
 
     Rows without a span are returned as they are.
     """
-    columns = docs.columns
-    rows = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))) if "h" not in columns else docs
-    if "h" in columns:
-        raise ValueError("documents have a column h of their own: rename it")
+    rows = numbered(docs)
+    at, own = f"c{position(docs, 'text')}", f"c{position(docs, 'doc_id')}"
+    text = F.col(at)
+    rows = rows.withColumns({"doc_id": F.col(own), "h": F.xxhash64(F.coalesce(text, F.lit("")))})
     joined = _joined(rows, per_document(docs))
     # Runs of overlapping spans: (start, end) pairs, grown from the left.
     runs = F.aggregate(
@@ -262,12 +262,12 @@ def redact(docs: DataFrame, mark: str = MARK) -> DataFrame:
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))),
         ).otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))),
     )
-    text = F.col("text")
     cut = lambda a, b: text.substr((a + 1).cast("int"), (b - a).cast("int"))
     pieces = F.transform("runs", lambda x, i: cut(F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("runs", i - 1)["end"]), x["start"]))
     cleaned = F.concat(F.array_join(pieces, mark), F.lit(mark), cut(F.element_at("runs", -1)["end"], F.length(text).cast("long")))
     joined = joined.withColumn("runs", F.when(F.col("spans").isNotNull(), runs)).withColumn("clean", F.when(F.col("runs").isNotNull(), cleaned))
-    new = {"text": F.coalesce("clean", "text")}
-    if "n_chars" in columns:
-        new["n_chars"] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+    new = {at: F.coalesce("clean", text)}
+    if "n_chars" in docs.columns:
+        n = f"c{position(docs, 'n_chars')}"
+        new[n] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(rows.schema[n].dataType)).otherwise(F.col(n))
+    return joined.select(*[new.get(f"c{i}", F.col(f"c{i}")).alias(f"c{i}") for i in range(len(docs.columns))]).toDF(*docs.columns)

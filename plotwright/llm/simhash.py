@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import only, written
+from .tables import numbered, only, position, written
 
 SHINGLE, BITS, SEED = 4, 4, 42
 #: Fingerprints above which the larger code is used; both are exact.
@@ -84,14 +84,14 @@ def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarr
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) of every row of ``docs`` (doc_id, text)."""
+    """doc_id, h (the text's hash) and fp (the fingerprint's bits as a signed long) of every row of ``docs`` (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = fingerprints_of(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(found.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return only(docs, "doc_id", "text").withColumn("h", F.xxhash64("text")).mapInArrow(run, "doc_id long, h long, fp long")
 
 
 # ---- the covering code -------------------------------------------------------------------------------------------------
@@ -299,12 +299,41 @@ def fingerprint_links(distinct: DataFrame, large: bool | None = None) -> DataFra
     return cells.mapInArrow(_compare, "a long, b long")
 
 
+def _classes(marked: DataFrame) -> DataFrame:
+    """(fp, least_doc, root) of every different fingerprint of ``marked``."""
+    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least_doc"), F.min(_preferred()).alias("first")), "classes")
+    roots = components(fingerprint_links(classes.select("fp")))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least_doc", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def _preferred():
+    """Of several rows, the least of these stays: rows with an id first, then the least id, then the text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs`` (doc_id, text)."""
     marked = written(fingerprints(docs), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "classes")
-    roots = components(fingerprint_links(classes.select("fp")))
-    classes = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least_doc", F.coalesce("root", "fp").alias("root"))
+    classes = _classes(marked)
     named = classes.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     placed = classes.select("fp", "root").join(named, "root").select("fp", "component_id")
     return marked.join(placed, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one document of each group of near-duplicates is left: that with the least id.
+
+    Of rows that share the least id, the one with the least text hash stays, and of repeated rows one.
+    """
+    marked = written(fingerprints(docs), "fingerprints")
+    stay = _classes(marked).groupBy("root").agg(F.min("first").alias("x")).select(F.col("x.doc_id").alias("s_id"), F.col("x.h").alias("s_h"))
+    same = F.col("s_id").eqNullSafe(F.col("doc_id")) & F.col("s_h").eqNullSafe(F.col("h"))
+    stay = written(stay.join(marked.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("times")), same).select("s_id", "s_h", "times"), "stay")
+    rows = numbered(docs)
+    names = rows.columns
+    rows = rows.withColumns({"doc_id": F.col(f"c{position(docs, 'doc_id')}"), "h": F.xxhash64(f"c{position(docs, 'text')}")})
+    kept = rows.join(stay.where("times = 1"), same, "left_semi").select(*names)
+    if stay.where("times > 1").limit(1).count():
+        again = rows.join(stay.where("times > 1"), same, "left_semi").dropDuplicates(["doc_id", "h"])
+        kept = kept.unionByName(again.select(*names))
+    return kept.toDF(*docs.columns)

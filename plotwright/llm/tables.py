@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,16 +27,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Where the column of this name stands: an exact match first, else one in other letter case."""
+    found = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not found:
+        raise ValueError(f"no column {name}")
+    return found[0]
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1, ...: extra columns with clashing names then do no harm."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns by exact (case-sensitive) position, so that extra columns with clashing names do no harm."""
-    picked: list[Column] = []
-    renamed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    for name in names:
-        exact = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if not exact:
-            raise ValueError(f"no column {name}")
-        picked.append(F.col(f"c{exact[0]}").alias(name))
-    return renamed.select(*picked)
+    """The named columns alone."""
+    return numbered(df).select(*[F.col(f"c{position(df, n)}").alias(n) for n in names])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
