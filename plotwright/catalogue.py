@@ -1,6 +1,448 @@
-"""The registered queries of the drawing-text engine and the DuckDB SQL that they are held against."""
+"""The registered queries of the drawing-text engine over whole tables, and the DuckDB SQL that they are held against."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .config import DEFAULT, VOLTAGE_OF_DIGIT
+from .fixtures import SQL, contour_heights, device_tokens, document_words, ocr_raw, page_dims, pdf_words, read
+from .functions import device, text
+from .functions.geometry import Box, intersection, iou, least_gap, mean_height, scaled, vertical_overlap
+from .operators import folds, fonts, mapping, matching, pairs, tiling
+from .operators.voltage import voltage_levels as voltage_of
+from .plans.page import finished, page_results as assembled
+from .sources import manifest
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def registered(sql: str | None = None) -> Callable[[Query], Query]:
+    def put(query: Query) -> Query:
+        QUERIES[query.__name__] = query
+        if sql:
+            ORACLE_SQL[query.__name__] = sql
+        return query
+
+    return put
+
+
+# ---- SQL pieces ---------------------------------------------------------------------------------------------------------
+
+
+def _space(x: str) -> str:
+    return rf"trim(regexp_replace({x}, '\s+', ' ', 'g'))"
+
+
+def _bare(x: str) -> str:
+    return f"translate(strip_accents({x}), 'Đđ', 'Dd')"
+
+
+def _canon(x: str) -> str:
+    return f"upper(regexp_replace({_bare(x)}, '[^A-Za-z0-9]+', '', 'g'))"
+
+
+def _packed(x: str) -> str:
+    return f"regexp_replace(upper({_space(x)}), '[^A-Z0-9]', '', 'g')"
+
+
+def _series(x: str) -> str:
+    p = r"(?i)\bSEL[-\s]?([0-9OIl]{3,5}[A-Z]?)\b"
+    return f"CASE WHEN regexp_matches({x}, '{p}') THEN regexp_replace({x}, '{p}', 'SEL-' || translate(regexp_extract({x}, '{p}', 1), 'OoIl', '0011')) ELSE {x} END"
+
+
+def _canonical(x: str) -> str:
+    up, tight = f"upper({_space(x)})", _packed(x)
+    inside = device.INSIDE
+    return f"""CASE WHEN {x} = '' THEN {x} WHEN regexp_matches({up}, '{device.NUMBER_RIGHT}') THEN regexp_extract({up}, '{device.NUMBER_RIGHT}', 1)
+      WHEN regexp_matches({up}, '{device.NUMBER_LEFT}') THEN regexp_extract({up}, '{device.NUMBER_LEFT}', 1) WHEN regexp_matches({tight}, '{device.VALID_SWITCH}') THEN {tight}
+      WHEN regexp_matches({up}, '{inside}') THEN CASE WHEN regexp_extract({up}, '{inside}', 2) = '' THEN regexp_extract({up}, '{inside}', 1)
+        WHEN replace(regexp_extract({up}, '{inside}', 2), '0', '') = '' THEN '' ELSE regexp_extract({up}, '{inside}', 1) || replace(regexp_extract({up}, '{inside}', 2), '0', '') END
+      WHEN contains({tight}, 'DS') OR contains({tight}, 'ES') THEN '' WHEN regexp_matches({tight}, '{device.BREAKER}') THEN 'CB' ELSE {x} END"""
+
+
+def _beside(x: str) -> str:
+    up = f"upper({_space(x)})"
+    cases = [f"WHEN regexp_matches({up}, '{p}') THEN regexp_extract({up}, '{p}', {g})" for p, g in ((device.ZERO_RIGHT, 1), (device.NUMBER_RIGHT, 1), (device.NUMBER_LEFT, 2))]
+    return f"CASE {' '.join(cases)} ELSE {x} END"
+
+
+def _invalid(x: str) -> str:
+    tight = f"regexp_replace(upper({x}), '[^A-Z0-9]', '', 'g')"
+    ruled = r"^[-_/\\=.,:;|`~^''\"–—•·…]{2,}$"
+    return f"(trim({x}) = '' OR regexp_matches(trim({x}), '^[^\\pL\\pN_\\s\\pZ]+$') OR (length(trim({x})) = 1 AND NOT regexp_matches(trim({x}), '^[\\pL\\pN]$')) OR regexp_matches(trim({x}), '{ruled}') OR ((contains({tight}, 'DS') OR contains({tight}, 'ES')) AND NOT regexp_matches({tight}, '{device.VALID_SWITCH}')))"
+
+
+_NORMAL = f"""{SQL['device_tokens']},
+d1 AS (SELECT *, {_series('text')} AS series FROM device_tokens),
+d3 AS (SELECT *, {_canonical('series')} AS canonical FROM d1),
+d5 AS (SELECT *, {_beside('canonical')} AS normal FROM d3)"""
+
+# ---- identifiers --------------------------------------------------------------------------------------------------------
+
+
+@registered(f"WITH {_NORMAL} SELECT p_partkey, text, series, canonical, normal FROM d5")
+def device_canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return device_tokens(spark, sf_dir).select("p_partkey", "text", device.series(t).alias("series"), device.canonical(device.series(t)).alias("canonical"), device.normal(t).alias("normal"))
+
+
+@registered(f"WITH {SQL['document_words']} SELECT word, {_series('word')} AS series, {_beside('word')} AS beside, {_canonical('word')} AS canonical FROM (SELECT DISTINCT word FROM document_words WHERE NOT contains(word, 'ß'))")
+def word_canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The identifier rules on every different word of the documents (upper case of ß differs between engines, so not those)."""
+    w = F.col("word")
+    words = document_words(spark, sf_dir).select("word").where(~F.contains(w, F.lit("ß"))).distinct()
+    return words.select("word", device.series(w).alias("series"), device.beside_number(w).alias("beside"), device.canonical(w).alias("canonical"))
+
+
+@registered(f"WITH {_NORMAL} SELECT p_partkey, normal, {_invalid('normal')} AS invalid FROM d5")
+def invalid_pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return device_tokens(spark, sf_dir).select("p_partkey", device.normal(F.col("text")).alias("normal")).withColumn("invalid", device.invalid(F.col("normal")))
+
+
+@registered(rf"""WITH {SQL['device_tokens']} SELECT p_partkey, regexp_matches({_canon('text')}, '^\d{{1,2}}$') AS short_number,
+  regexp_matches({_packed('text')}, '{device.VALID_SWITCH}') OR regexp_matches({_packed('text')}, '{device.LETTERED}') OR regexp_matches(upper({_space('text')}), '{device.FEEDER}') AS device_like,
+  regexp_matches({_space('text')}, '{device.GUARD}') AS guarded FROM device_tokens""")
+def device_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return device_tokens(spark, sf_dir).select("p_partkey", device.short_number(text.canon_a(t)).alias("short_number"), device.device_like(t).alias("device_like"), device.guarded(t).alias("guarded"))
+
+
+_LEVELS = ", ".join(map(str, VOLTAGE_OF_DIGIT.values()))
+_KV = "CASE regexp_extract(trim(normal), '(?i)^(?:BB|C|TC|T)([1-9])\\d{1,2}$', 1) " + " ".join(f"WHEN '{d}' THEN {v}" for d, v in VOLTAGE_OF_DIGIT.items()) + " END"
+_HEAD = r"(?i)\bPHIA(?:\s+SO\s*DO)?\b.*?(\d{2,3})\s*K\s*V|\bSO\s*DO\b.*?\bPHIA\b.*?(\d{2,3})\s*K\s*V"
+_HEAD_EN = r"(?i)\b(\d{2,3})\s*K\s*V\b\s*(?:SIDE|BAY)\b"
+
+
+@registered(f"""WITH {_NORMAL}, valid AS (SELECT page_id, normal, upper({_space(_bare('normal'))}) AS head FROM d5 WHERE NOT {_invalid('normal')}),
+said AS (SELECT page_id, {_KV} AS feeder, TRY_CAST(CASE WHEN regexp_matches(head, '{_HEAD}') THEN regexp_extract(head, '{_HEAD}', 1) || regexp_extract(head, '{_HEAD}', 2) WHEN regexp_matches(head, '{_HEAD_EN}') THEN regexp_extract(head, '{_HEAD_EN}', 1) END AS INT) AS heading FROM valid),
+sets AS (SELECT page_id, list_sort(list(DISTINCT feeder) FILTER (feeder IS NOT NULL)) AS f, list_sort(list(DISTINCT heading) FILTER (heading IN ({_LEVELS}))) AS h FROM said GROUP BY page_id)
+SELECT page_id, coalesce(array_to_string(CASE WHEN len(f) > 0 THEN f ELSE h END, ','), '') AS voltage_level FROM sets""")
+def voltage_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = device_tokens(spark, sf_dir).select("page_id", device.normal(F.col("text")).alias("text"))
+    levels = voltage_of(tokens.where(~device.invalid(F.col("text"))))
+    return levels.select("page_id", F.array_join("voltage_level", ",").alias("voltage_level"))
+
+
+# ---- text ---------------------------------------------------------------------------------------------------------------
+
+
+@registered(f"""WITH {SQL['document_words']} SELECT word, {_canon('word')} AS canon_a, regexp_replace({_bare("upper(replace(word, 'ß', 'ss'))")}, '[^A-Z0-9]+', '', 'g') AS canon_b,
+  upper({_space(_bare("replace(word, 'ß', 'ss')"))}) AS bare_upper FROM (SELECT DISTINCT word FROM document_words)""")
+def text_canon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.col("word")
+    return document_words(spark, sf_dir).select("word").distinct().select("word", text.canon_a(w).alias("canon_a"), text.canon_b(w).alias("canon_b"), text.bare_upper(w).alias("bare_upper"))
+
+
+_ALNUM = r"length(regexp_replace(word, '[^\pL\pN]', '', 'g'))"
+_SHARE = r"(length(regexp_replace(word, '[\pL\pN\s]', '', 'g')) / length(word))"
+
+
+@registered(f"""WITH {SQL['document_words']} SELECT word, {_ALNUM} AS alnum, round({_SHARE}, 6) AS marks,
+  round({_ALNUM} + 0.15 * ln(greatest(144 * length(word), 1) + 1.0) + 0.35 * sqrt(0.75) - 0.5 * {_SHARE}, 6) AS quality_a,
+  round({_ALNUM} + 0.35 * sqrt(0.75) + 0.15 * ln(144 * length(word) + 1.0), 6) AS quality_b FROM (SELECT DISTINCT word FROM document_words)""")
+def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, area, sure = F.col("word"), F.length("word") * 144, F.lit(0.75)
+    return (
+        document_words(spark, sf_dir)
+        .select("word")
+        .distinct()
+        .select("word", text.alnum_count(w).alias("alnum"), F.round(text.punctuation_share(w), 6).alias("marks"), F.round(text.quality_a(w, area, sure), 6).alias("quality_a"), F.round(text.quality_b(w, area, sure), 6).alias("quality_b"))
+    )
+
+
+_JOINED = "(x || y)"
+
+
+@registered(f"""WITH {SQL['document_words']}, side AS (SELECT DISTINCT a.word AS left_word, b.word AS right_word FROM document_words a JOIN document_words b ON a.page_id = b.page_id AND a.l = b.l AND b.w = a.w + 1),
+canons AS (SELECT *, {_canon('left_word')} AS x, {_canon('right_word')} AS y FROM side)
+SELECT left_word, right_word, x <> '' AND y <> '' AND (contains(x, y) OR contains(y, x)) AS near, x <> '' AND y <> '' AND (x = y OR ends_with(x, y) OR starts_with(y, x)
+  OR len(list_filter(range(1, length({_JOINED}) // 2 + 1), lambda k: length({_JOINED}) % k = 0 AND {_JOINED} = repeat(left({_JOINED}, k), length({_JOINED}) // k))) > 0) AS repeats FROM canons""")
+def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containment and repetition tests of every two different words that stand side by side."""
+    words = document_words(spark, sf_dir)
+    nexts = words.select("page_id", "l", (F.col("w") - 1).alias("w"), F.col("word").alias("right_word"))
+    both = words.withColumnRenamed("word", "left_word").join(nexts, ["page_id", "l", "w"]).select("left_word", "right_word").distinct()
+    x, y = text.canon_a(F.col("left_word")), text.canon_a(F.col("right_word"))
+    return both.withColumns({"x": x, "y": y}).select("left_word", "right_word", text.near_by_containment(F.col("x"), F.col("y")).alias("near"), text.repeats_when_joined(F.col("x"), F.col("y")).alias("repeats"))
+
+
+# ---- tiling -------------------------------------------------------------------------------------------------------------
+
+_TILES = f"""{SQL['page_dims']},
+sized AS (SELECT *, CASE WHEN w <= 1408 AND h <= 1408 THEN w WHEN w <= 2304 AND h <= 2304 THEN 1408 ELSE least(1536, greatest(256, w // 3)) END AS tile_w,
+  CASE WHEN w <= 1408 AND h <= 1408 THEN h WHEN w <= 2304 AND h <= 2304 THEN 1408 ELSE least(1536, greatest(256, h // 3)) END AS tile_h, CASE WHEN greatest(12, font) >= 21 THEN 0.15::DOUBLE ELSE 0.20::DOUBLE END AS overlap FROM page_dims),
+stepped AS (SELECT *, greatest(1, trunc(tile_w * (1.0::DOUBLE - overlap))::BIGINT) AS step_x, greatest(1, trunc(tile_h * (1.0::DOUBLE - overlap))::BIGINT) AS step_y FROM sized),
+starts AS (SELECT *, range(0, greatest(1, w - tile_w + 1), step_x) AS rx, range(0, greatest(1, h - tile_h + 1), step_y) AS ry FROM stepped),
+flush AS (SELECT *, CASE WHEN list_extract(rx, -1) <> w - tile_w THEN list_append(rx, greatest(0, w - tile_w)) ELSE rx END AS xs, CASE WHEN list_extract(ry, -1) <> h - tile_h THEN list_append(ry, greatest(0, h - tile_h)) ELSE ry END AS ys FROM starts),
+rows AS (SELECT *, unnest(ys) AS orig_y, unnest(range(len(ys))) AS grid_y FROM flush),
+tiles AS (SELECT *, unnest(xs) AS orig_x, unnest(range(len(xs))) AS grid_x FROM rows),
+grid AS (SELECT page_id, w, h, font, grid_x, grid_y, orig_x, orig_y, grid_y * len(xs) + grid_x AS tile_id, least(w, orig_x + tile_w) - orig_x AS crop_w, least(h, orig_y + tile_h) - orig_y AS crop_h, step_x, step_y FROM tiles)"""
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.grid(tiling.overlap(tiling.downscaled(tiling.tile_size(page_dims(spark, sf_dir)))))
+
+
+@registered(f"WITH {_TILES} SELECT page_id, tile_w, tile_h FROM sized")
+def tile_size_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.tile_size(page_dims(spark, sf_dir)).select("page_id", "tile_w", "tile_h")
+
+
+@registered(f"WITH {_TILES} SELECT page_id, overlap FROM sized")
+def tile_overlap_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.overlap(page_dims(spark, sf_dir)).select("page_id", "overlap")
+
+
+@registered(f"WITH {_TILES} SELECT page_id, tile_id, grid_x, grid_y, orig_x, orig_y, crop_w, crop_h, step_x, step_y FROM grid")
+def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grid(spark, sf_dir).select("page_id", "tile_id", "grid_x", "grid_y", "orig_x", "orig_y", "crop_w", "crop_h", "step_x", "step_y")
+
+
+@registered(f"""WITH {_TILES}, p AS (SELECT *, trunc(least(192.0::DOUBLE, greatest(24.0::DOUBLE, font * 0.30::DOUBLE)))::BIGINT AS pad FROM grid)
+SELECT page_id, tile_id, least(pad, orig_x) AS pad_l, least(pad, orig_y) AS pad_t, least(pad, w - orig_x - crop_w) AS pad_r, least(pad, h - orig_y - crop_h) AS pad_b FROM p""")
+def tile_padding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.padded(_grid(spark, sf_dir)).select("page_id", "tile_id", "pad_l", "pad_t", "pad_r", "pad_b")
+
+
+@registered(f"WITH {SQL['page_dims']} SELECT page_id, font > 0 AND font < 18 AS small_font, unnest(CASE WHEN font > 0 AND font < 18 THEN [1.0::DOUBLE, 1.25, 1.5] ELSE [1.0::DOUBLE] END) AS scale FROM page_dims")
+def scale_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.scale_plan(page_dims(spark, sf_dir)).select("page_id", "small_font", "scale")
+
+
+_RANKED = f"""{SQL['contour_heights']}, r AS (SELECT tile_id, h, row_number() OVER (PARTITION BY tile_id ORDER BY h) - 1 AS r, count(*) OVER (PARTITION BY tile_id) AS n FROM contour_heights WHERE h BETWEEN 4 AND 40)"""
+
+
+@registered(f"WITH {_RANKED} SELECT tile_id, quantile_cont(h, 0.5)::DOUBLE AS font FROM r WHERE r >= trunc(n * 0.2::DOUBLE)::INT AND r < greatest(trunc(n * 0.2::DOUBLE)::INT + 1, trunc(n * 0.8::DOUBLE)::INT) GROUP BY tile_id")
+def font_height_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fonts.page_font(contour_heights(spark, sf_dir), "tile_id", F.lit(200))
+
+
+@registered(f"WITH {_RANKED} SELECT tile_id, h::DOUBLE AS font FROM r WHERE r = n // 2")
+def font_height_tile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fonts.tile_font(contour_heights(spark, sf_dir), "tile_id", F.lit(200))
+
+
+# ---- recognition --------------------------------------------------------------------------------------------------------
+
+
+@registered(f"""WITH {SQL['ocr_raw']} SELECT page_id, l, count(*) AS n, sum(least(x0, x1 - 3))::BIGINT AS x0, sum(least(y0, y1 + 1))::BIGINT AS y0, sum(greatest(x0, x1 - 3))::BIGINT AS x1, sum(greatest(y0, y1 + 1))::BIGINT AS y1,
+  sum((least(x0, x1 - 3) + greatest(x0, x1 - 3)) // 2)::BIGINT AS cx FROM ocr_raw GROUP BY ALL""")
+def polygon_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corner = lambda x, y: F.array((x + 0.5).cast("double"), (y + 0.25).cast("double"))
+    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    items = ocr_raw(spark, sf_dir).withColumn("polygon", F.array(corner(x0, y0), corner(x1 - 3, y0), corner(x1 - 3, y1 + 1), corner(x0, y1 + 1)))
+    boxes = mapping.polygon_box(items.drop("x0", "y0", "x1", "y1"))
+    return boxes.groupBy("page_id", "l").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("x0", "y0", "x1", "y1", "cx")])
+
+
+@registered(f"""WITH {SQL['ocr_raw']}, s AS (SELECT *, CASE WHEN w % 3 = 0 THEN 1.0::DOUBLE WHEN w % 3 = 1 THEN 1.25 ELSE 1.5 END AS scale FROM ocr_raw)
+SELECT page_id, l, {', '.join(f"sum(CASE WHEN scale = 1 THEN {c} ELSE trunc({c} * (1.0::DOUBLE / scale))::BIGINT END)::BIGINT AS {c}" for c in ('x0', 'y0', 'x1', 'y1'))} FROM s GROUP BY ALL""")
+def inverse_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scale = F.when(F.col("w") % 3 == 0, 1.0).when(F.col("w") % 3 == 1, 1.25).otherwise(1.5)
+    back = mapping.inverse_scale(ocr_raw(spark, sf_dir).withColumn("scale", scale))
+    return back.groupBy("page_id", "l").agg(*[F.sum(c).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+@registered(f"WITH {SQL['ocr_raw']} SELECT page_id, count(*) AS n, sum(length(text))::BIGINT AS chars FROM ocr_raw WHERE trim(text) <> '' AND NOT (length(trim(text)) = 1 AND confidence - 0.5 < 0.10) GROUP BY page_id")
+def trivial_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = ocr_raw(spark, sf_dir).withColumn("confidence", F.col("confidence") - 0.5)
+    return mapping.not_trivial(items).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+_PLACED = f"""{SQL['ocr_raw']}, moved AS (SELECT page_id, l, least(3000, greatest(0, x0 - 2 + k * 1126)) AS x0, least(4000, greatest(0, y0 - 3 + (l % 2) * 1126)) AS y0,
+  least(3000, greatest(0, x1 - 2 + k * 1126)) AS x1, least(4000, greatest(0, y1 - 3 + (l % 2) * 1126)) AS y1 FROM ocr_raw),
+tagged AS (SELECT *, least(x0 % 1126, 1126 - x1 % 1126) <= 6 OR least(y0 % 1126, 1126 - y1 % 1126) <= 6 OR least(x0, y0, 3000 - x1, 4000 - y1) <= 12 AS cut FROM moved)"""
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = {"pad_l": F.lit(2), "pad_t": F.lit(3), "orig_x": F.col("k") * 1126, "orig_y": (F.col("l") % 2) * 1126, "step_x": F.lit(1126), "step_y": F.lit(1126), "full_w": F.lit(3000).cast("long"), "full_h": F.lit(4000).cast("long")}
+    return mapping.to_page(ocr_raw(spark, sf_dir).withColumns(where))
+
+
+@registered(f"WITH {_PLACED} SELECT page_id, l, sum(x0)::BIGINT AS x0, sum(y0)::BIGINT AS y0, sum(x1)::BIGINT AS x1, sum(y1)::BIGINT AS y1, sum((x0 + x1) // 2)::BIGINT AS cx, sum((y0 + y1) // 2)::BIGINT AS cy FROM tagged GROUP BY ALL")
+def tile_to_page_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir).groupBy("page_id", "l").agg(*[F.sum(c).alias(c) for c in ("x0", "y0", "x1", "y1", "cx", "cy")])
+
+
+@registered(f"WITH {_PLACED} SELECT page_id, l, count(*) AS n, count(*) FILTER (cut) AS n_cut FROM tagged GROUP BY ALL")
+def seam_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir).groupBy("page_id", "l").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("cut"), 1)).alias("n_cut"))
+
+
+@registered(f"WITH {SQL['ocr_raw']} SELECT page_id, l, sum(least(5000, greatest(0, y0)))::BIGINT AS x0, sum(least(9000, greatest(0, 9000 - x1)))::BIGINT AS y0, sum(least(5000, greatest(0, y1)))::BIGINT AS x1, sum(least(9000, greatest(0, 9000 - x0)))::BIGINT AS y1 FROM ocr_raw GROUP BY ALL")
+def rotated_pass_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = mapping.turned_back(ocr_raw(spark, sf_dir).withColumns({"full_w": F.lit(5000).cast("long"), "full_h": F.lit(9000).cast("long")}))
+    return turned.groupBy("page_id", "l").agg(*[F.sum(c).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+# ---- pairs --------------------------------------------------------------------------------------------------------------
+
+_METRICS = f"""{SQL['ocr_raw']}, m AS (SELECT page_id, quantile_cont(greatest(1, y1 - y0), 0.5)::DOUBLE AS median_h FROM ocr_raw GROUP BY page_id),
+metrics AS (SELECT page_id, median_h, greatest(48, least(256, round_even(median_h * 3.5, 0)))::BIGINT AS grid_px, round_even(greatest(24.0::DOUBLE, median_h * 0.75), 0)::BIGINT AS center_px FROM m)"""
+_CELLS = f"""{_METRICS}, g AS (SELECT o.*, x0 // grid_px AS gx0, (x1 - 1) // grid_px AS gx1, y0 // grid_px AS gy0, (y1 - 1) // grid_px AS gy1 FROM ocr_raw o JOIN metrics USING (page_id)),
+bx AS (SELECT *, unnest(range(gx0, gx1 + 1)) AS cx FROM g), bc AS (SELECT *, unnest(range(gy0, gy1 + 1)) AS cy FROM bx),
+ax AS (SELECT *, unnest(range(gx0 - 1, gx1 + 2)) AS cx FROM g), ac AS (SELECT *, unnest(range(gy0 - 1, gy1 + 2)) AS cy FROM ax),
+near AS (SELECT a.page_id, a.text AS a_text, b.text AS b_text, a.x0 AS ax0, a.y0 AS ay0, a.x1 AS ax1, a.y1 AS ay1, b.x0 AS bx0, b.y0 AS by0, b.x1 AS bx1, b.y1 AS by1 FROM ac a JOIN bc b
+  ON a.page_id = b.page_id AND a.cx = b.cx AND a.cy = b.cy AND a.cx = greatest(a.gx0 - 1, b.gx0) AND a.cy = greatest(a.gy0 - 1, b.gy0) AND (a.l, a.w, a.k) < (b.l, b.w, b.k)),
+measured AS (SELECT *, greatest(0, least(ax1, bx1) - greatest(ax0, bx0)) * greatest(0, least(ay1, by1) - greatest(ay0, by0)) AS both_area, (ax1 - ax0) * (ay1 - ay0) + (bx1 - bx0) * (by1 - by0) AS sum_area,
+  greatest(0, least(ay1, by1) - greatest(ay0, by0)) / greatest(1, least(ay1 - ay0, by1 - by0)) AS vov, coalesce(least(CASE WHEN bx0 - ax1 >= 0 THEN bx0 - ax1 END, CASE WHEN ax0 - bx1 >= 0 THEN ax0 - bx1 END), -1)::DOUBLE AS gap FROM near)"""
+
+
+def _near(spark: SparkSession, sf_dir: str, canon: bool = False) -> DataFrame:
+    items = ocr_raw(spark, sf_dir)
+    items = items.withColumn("canon", text.canon_a(F.col("text"))) if canon else items
+    return pairs.neighbours(items.join(pairs.page_metrics(items), "page_id"), ["l", "w", "k"])
+
+
+@registered(f"WITH {_METRICS} SELECT page_id, median_h, grid_px, center_px FROM metrics")
+def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.page_metrics(ocr_raw(spark, sf_dir))
+
+
+@registered(f"WITH {_CELLS} SELECT page_id, count(*) AS n_pairs, sum(length(a_text) * 3 + length(b_text))::BIGINT AS chars FROM near GROUP BY page_id")
+def grid_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir).groupBy(F.col("a_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(F.length("a_text") * 3 + F.length("b_text")).alias("chars"))
+
+
+@registered(f"""WITH {_CELLS}, i AS (SELECT page_id, both_area / (sum_area - both_area) AS iou FROM measured WHERE sum_area > both_area)
+SELECT page_id, count(*) FILTER (iou >= 0.25) AS n_dense, count(*) FILTER (iou >= 0.40) AS n_dedupe, sum(round(iou * 1e6)::BIGINT)::BIGINT AS iou_ppm FROM i WHERE iou > 0 GROUP BY page_id""")
+def pair_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = Box.of("a_"), Box.of("b_")
+    touching = _near(spark, sf_dir).where(intersection(a, b) > 0).select(F.col("a_page_id").alias("page_id"), iou(a, b).alias("iou"))
+    return touching.groupBy("page_id").agg(F.count(F.when(F.col("iou") >= DEFAULT.nms_iou, 1)).alias("n_dense"), F.count(F.when(F.col("iou") >= DEFAULT.dedupe_iou, 1)).alias("n_dedupe"), F.sum(F.round(F.col("iou") * 1e6).cast("long")).alias("iou_ppm"))
+
+
+@registered(f"""WITH {_CELLS} SELECT page_id, count(*) FILTER (vov >= 0.6) AS n_level, count(*) FILTER (vov >= 0.6 AND gap >= 0 AND gap <= 0.35 * greatest(1.0, 0.5 * ((ay1 - ay0) + (by1 - by0)))) AS n_close, sum(gap)::BIGINT AS gaps FROM measured GROUP BY page_id""")
+def pair_line_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = Box.of("a_"), Box.of("b_")
+    level = vertical_overlap(a, b) >= DEFAULT.dup_overlap
+    gap = least_gap(a, b)
+    rows = _near(spark, sf_dir).select(F.col("a_page_id").alias("page_id"), level.alias("level"), gap.alias("gap"), (level & (gap >= 0) & (gap <= mean_height(a, b) * DEFAULT.small_gap)).alias("close"))
+    return rows.groupBy("page_id").agg(F.count(F.when(F.col("level"), 1)).alias("n_level"), F.count(F.when(F.col("close"), 1)).alias("n_close"), F.sum("gap").cast("long").alias("gaps"))
+
+
+@registered(f"""WITH {_CELLS}, c AS (SELECT *, {_canon('a_text')} AS x, {_canon('b_text')} AS y FROM measured WHERE both_area >= 0.4 * (sum_area - both_area) AND sum_area > both_area AND abs((ay0 + ay1) // 2 - (by0 + by1) // 2) <= 0.5 * greatest(1.0, 0.5 * ((ay1 - ay0) + (by1 - by0))))
+SELECT page_id, count(*) AS n, count(*) FILTER (contains(a_text, b_text) OR contains(b_text, a_text) OR (x <> '' AND y <> '' AND (contains(x, y) OR contains(y, x)))) AS n_dup FROM c GROUP BY page_id""")
+def line_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs on one baseline that overlap enough for the final dedupe, and those of them that containment decides."""
+    a, b = Box.of("a_"), Box.of("b_")
+    level = F.abs(a.center()[1] - b.center()[1]) <= mean_height(a, b) * DEFAULT.baseline
+    pairs_ = _near(spark, sf_dir, canon=True).where((intersection(a, b) > 0) & level & (iou(a, b) >= DEFAULT.dedupe_iou))
+    dup = text.held_either_way(F.col("a_text"), F.col("b_text")) | text.near_by_containment(F.col("a_canon"), F.col("b_canon"))
+    return pairs_.groupBy(F.col("a_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(dup, 1)).alias("n_dup"))
+
+
+# ---- document words -----------------------------------------------------------------------------------------------------
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document words in image pixels: pages of 550 x 450 points stand for images of 1100 x 900."""
+    rows = pdf_words(spark, sf_dir)
+    box = scaled(Box(F.col("x0"), F.col("top"), F.col("x1"), F.col("bottom")), (F.lit(550.0), F.lit(450.0)), (F.lit(1100), F.lit(900)))
+    return rows.select("page_id", "l", "w", "text", *[c.alias(n) for c, n in zip(box, ("x0", "y0", "x1", "y1"), strict=True)])
+
+
+@registered(f"WITH {SQL['pdf_words']} SELECT page_id, l, count(*) AS n, sum(x0 * 2)::BIGINT AS x0, sum(top * 2)::BIGINT AS y0, sum(x1 * 2)::BIGINT AS x1, sum(bottom * 2)::BIGINT AS y1 FROM pdf_words GROUP BY ALL")
+def pdf_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _words(spark, sf_dir).groupBy("page_id", "l").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+_MATCH = f"""{SQL['pdf_words']}, pw AS (SELECT page_id, l, w, text, x0 * 2 AS x0, top * 2 AS y0, x1 * 2 AS x1, bottom * 2 AS y1 FROM pdf_words),
+near AS (SELECT p.page_id, p.l, p.w, o.l AS ol, o.w AS ow, o.k AS ok, o.x0 AS ax0, o.y0 AS ay0, o.x1 AS ax1, o.y1 AS ay1, p.x0 AS bx0, p.y0 AS by0, p.x1 AS bx1, p.y1 AS by1
+  FROM pw p JOIN ocr_raw o ON p.page_id = o.page_id AND p.y0 // 30 - o.y0 // 30 BETWEEN -2 AND 2 AND o.x1 >= p.x0 - 400 AND o.x0 <= p.x1 + 400),
+sized AS (SELECT *, greatest(0, least(ax1, bx1) - greatest(ax0, bx0)) * greatest(0, least(ay1, by1) - greatest(ay0, by0)) AS i, (ax1 - ax0) * (ay1 - ay0) AS aa, (bx1 - bx0) * (by1 - by0) AS ba, greatest(14.0::DOUBLE, 0.35 * least(greatest(1.0, ay1 - ay0), greatest(1.0, by1 - by0))) AS tol FROM near),
+scores AS (SELECT *, greatest(CASE WHEN aa + ba - i > 0 THEN (i / (aa + ba - i)) / 0.2 ELSE 0 END, (i / greatest(1.0, least(aa, ba))) / 0.5, CASE WHEN abs((ax0 + ax1) / 2 - (bx0 + bx1) / 2) <= tol AND abs((ay0 + ay1) / 2 - (by0 + by1) / 2) <= tol THEN 1.0 ELSE 0.0 END) AS score FROM sized),
+best AS (SELECT *, row_number() OVER (PARTITION BY page_id, l, w ORDER BY score DESC, ol, ow, ok) AS n FROM scores WHERE score >= 1)"""
+
+
+@registered(f"WITH {_MATCH} SELECT page_id, l, w, ol, ow, ok, round(score, 6) AS score FROM best WHERE n = 1")
+def pdf_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = matching.best_match(_words(spark, sf_dir), ocr_raw(spark, sf_dir), ["l", "w"], ["l", "w", "k"])
+    return found.select(F.col("w_page_id").alias("page_id"), F.col("w_l").alias("l"), F.col("w_w").alias("w"), F.col("o_l").alias("ol"), F.col("o_w").alias("ow"), F.col("o_k").alias("ok"), F.round("score", 6).alias("score"))
+
+
+@registered(f"WITH {_MATCH} SELECT page_id, l, w, text FROM pw ANTI JOIN best USING (page_id, l, w)")
+def pdf_missing_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.missing_words(_words(spark, sf_dir), ocr_raw(spark, sf_dir), ["l", "w"]).select("page_id", "l", "w", "text")
+
+
+# ---- sources ------------------------------------------------------------------------------------------------------------
+
+
+@registered("SELECT page_id, url AS path, list_extract(list_filter(string_split(url, '/'), lambda x: x <> ''), -2) AS document FROM pages")
+def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = F.array(F.struct(F.col("page_id").cast("int").alias("id"), F.col("url").alias("path")))
+    rows = read(spark, sf_dir, "pages").select(F.explode(images).alias("i")).select(F.col("i.id").cast("long").alias("page_id"), F.col("i.path").alias("path"))
+    return rows.withColumn("document", manifest.document_of(F.col("path")))
+
+
+@registered("SELECT p.page_id, p.url AS path, d.n_chars, d.doc_id IS NOT NULL AS has_words FROM pages p LEFT JOIN documents d ON p.page_id = d.doc_id")
+def page_words_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    words = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "n_chars", F.lit(True).alias("found"))
+    return pages.join(words, "page_id", "left").select("page_id", "path", "n_chars", F.col("found").isNotNull().alias("has_words"))
+
+
+@registered("SELECT source AS document, NOT coalesce(bool_or(length(trim(text)) > 10), false) AS scanned FROM documents GROUP BY source")
+def scanned_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.scanned_documents(read(spark, sf_dir, "documents").select(F.col("source").alias("document"), "text"))
+
+
+# ---- folds: no SQL, held against plain forms in the tests ---------------------------------------------------------------
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    half = lambda a, b: F.floor((F.col(a) + F.col(b)) / 2)
+    seam = mapping.near_lattice(F.col("x0"), F.col("x1"), F.lit(1126)) <= DEFAULT.tile_margin
+    return ocr_raw(spark, sf_dir).withColumns({"cx": half("x0", "x1"), "cy": half("y0", "y1"), "cut": seam})
+
+
+def _fold(step: Callable[[list[folds.Item]], list[folds.Item]]) -> Query:
+    return lambda spark, sf_dir: folds.per_page(_items(spark, sf_dir), step, ["l", "w", "k"])
+
+
+@registered()
+def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fold(folds.suppress)(spark, sf_dir)
+
+
+@registered()
+def line_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with their line's number in confidence's place: lines come from the top, members in order."""
+
+    def step(items: list[folds.Item]) -> list[folds.Item]:
+        return [folds.Item(i.text, i.box, i.center, float(n), i.cut) for n, line in enumerate(folds.lines(items)) for i in line]
+
+    return _fold(step)(spark, sf_dir).withColumnRenamed("confidence", "line")
+
+
+@registered()
+def line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fold(lambda items: folds.merge_lines(folds.suppress(items)))(spark, sf_dir)
+
+
+@registered()
+def dedupe_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fold(folds.dedupe)(spark, sf_dir)
+
+
+@registered()
+def reconcile_pdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.page import with_document_words
+
+    first = _fold(finished)(spark, sf_dir)
+    words = _words(spark, sf_dir).withColumn("word_id", F.col("l") * 1_000_000 + F.col("w"))
+    return with_document_words(first, words)
+
+
+@registered()
+def page_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    items = _fold(finished)(spark, sf_dir)
+    out = assembled(pages, items, items)
+    return out.select("page_id", "path", F.to_json("voltage_level").alias("voltage_level"), F.size("ocr").alias("n_items"), F.sha2(F.to_json("ocr"), 256).alias("ocr_sha256"))
