@@ -332,7 +332,7 @@ def line_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs on one baseline that overlap enough for the final dedupe, and those of them that containment decides."""
     a, b = Box.of("a_"), Box.of("b_")
     level = F.abs(a.center()[1] - b.center()[1]) <= mean_height(a, b) * DEFAULT.baseline
-    pairs_ = _near(spark, sf_dir, canon=True).where((intersection(a, b) > 0) & level & (iou(a, b) >= DEFAULT.dedupe_iou))
+    pairs_ = _near(spark, sf_dir, canon=True).where(level & (intersection(a, b) > 0)).select("*", text.where_at_least(iou(a, b), DEFAULT.dedupe_iou))
     dup = text.held_either_way(F.col("a_text"), F.col("b_text")) | text.near_by_containment(F.col("a_canon"), F.col("b_canon"))
     return pairs_.groupBy(F.col("a_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(dup, 1)).alias("n_dup"))
 

@@ -22,6 +22,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def where_at_least(value: Column, least: float) -> Column:
+    """A generator: the value in a row of its own if it is ``least`` or more, else no row.
+
+    A filter on a costly value is pushed into the join below it, where nothing is computed once and shared; a generator is not.
+    """
+    return F.explode(F.filter(F.array(value), lambda x: x >= least))
+
+
 @functools.cache
 def accents() -> tuple[str, str]:
     """Characters and what they are without accents, for ``translate``; those beyond the second string's end are dropped."""

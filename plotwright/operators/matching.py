@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..functions.geometry import Box, iof, iou
+from ..functions.text import where_at_least
 
 CELL = 128
 
@@ -28,24 +29,24 @@ def candidates(words: DataFrame, items: DataFrame, page: str = "page_id", s: Set
 
 
 def scored(pairs: DataFrame, threshold: float | None = None, s: Settings = DEFAULT) -> DataFrame:
-    """Adds score: 1 or more where the two stand in the same place."""
+    """Adds score to the pairs that stand in the same place: where it is 1 or more."""
     a, b = Box.of("o_"), Box.of("w_")
     tall = lambda x: F.greatest(F.lit(1.0), x.y1 - x.y0)
     tolerance = F.greatest(F.lit(s.pdf_center), F.least(tall(a), tall(b)) * s.pdf_center_factor)
     (ax, ay), (bx, by) = a.middle(), b.middle()
     hit = F.when((F.abs(ax - bx) <= tolerance) & (F.abs(ay - by) <= tolerance), 1.0).otherwise(0.0)
     threshold = max(1e-6, s.pdf_iou if threshold is None else threshold)
-    return pairs.withColumn("score", F.greatest(iou(a, b) / threshold, iof(a, b) / 0.5, hit))
+    return pairs.withColumn("score", where_at_least(F.greatest(iou(a, b) / threshold, iof(a, b) / 0.5, hit), 1.0))
 
 
 def best_match(words: DataFrame, items: DataFrame, key: list[str], order: list[str], page: str = "page_id") -> DataFrame:
     """For each word (by key) the item of the best score of at least 1, the first by ``order`` on a tie."""
-    pairs = scored(candidates(words, items, page)).where("score >= 1")
+    pairs = scored(candidates(words, items, page))
     by = W.partitionBy(f"w_{page}", *[f"w_{k}" for k in key]).orderBy(F.desc("score"), *[f"o_{c}" for c in order])
     return pairs.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
 
 
 def missing_words(words: DataFrame, items: DataFrame, key: list[str], page: str = "page_id") -> DataFrame:
     """Words that no item stands in the place of."""
-    hit = scored(candidates(words, items, page)).where("score >= 1").select(*[F.col(f"w_{c}").alias(c) for c in (page, *key)])
+    hit = scored(candidates(words, items, page)).select(*[F.col(f"w_{c}").alias(c) for c in (page, *key)])
     return words.join(hit, [page, *key], "left_anti")
