@@ -167,7 +167,7 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_behind", "density_behind", "around", "place", "heading")
+FEATURES = ("around", "place", "words", "density", "words_before", "density_before", "words_behind", "density_behind", "heading")
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -179,7 +179,7 @@ def features(found: list[Block]) -> np.ndarray:
     side[1:-1] = own
     any_article = any(b.inside for b in found)
     told = np.array([(b.around, (1 if b.inside else -1) if any_article else 0, b.heading) for b in found], float).reshape(n, 3)
-    return np.hstack([own, side[:-2], side[2:], told])
+    return np.hstack([told[:, :2], own, side[:-2], side[2:], told[:, 2:]])
 
 
 # ---- the decision tree ------------------------------------------------------------------------------------------------
@@ -238,6 +238,9 @@ LABELLED = (
     ((0, '<div><a href="/">Home</a> <a href="/x">About us</a></div>'), (0, '<div><a href="/y">Letters to the editor</a></div>'), (1, "<h1>Boats of the winter</h1>"), (1, f"<p>{_LONG}</p>"), (1, f"<p>{_MID}</p>"), (1, f"<p>{_LONG} <a href='/z'>See the map</a></p>"), (1, "<p>So it went.</p>"), (1, f"<p>{_LONG}</p>"), (0, '<div><a href="/p">Imprint</a> <a href="/q">Terms and conditions</a></div>'), (0, "<div>All rights reserved</div>")),
     # no article element: a short page with a notice, a form and links with a few words around them
     ((0, f'<div class="cookie-notice"><p>{_LONG}</p></div>'), (1, f"<div><p>{_LONG}</p>"), (1, f"<p>{_MID}</p>"), (1, f"<p>{_LONG}</p></div>"), (0, '<form><p>Your name and your question to the harbour office</p></form>'), (0, '<ul><li><a href="/1">One day at sea</a></li>'), (0, '<li><a href="/2">Ten knots every sailor needs to know by heart</a></li>'), (0, '<li>by <a href="/3">Ann Lee</a></li></ul>'), (0, "<p>Page 1 of 3</p>"), (0, '<p><a href="/n">Next page</a></p>')),
+    # articles of a few short blocks right behind links
+    ((0, '<nav><a href="/">Start</a></nav>'), (1, "<article><h1>Salt</h1>"), (1, "<p>It rained.</p></article>"), (0, "<footer>Pier 4</footer>")),
+    ((0, '<ul><li><a href="/a">Sea and shore</a></li></ul>'), (1, "<main><h2>Oil</h2>"), (0, "<aside>A word</aside>"), (1, "<p>So it went.</p></main>")),
     # nothing but a few paragraphs, long or short
     ((1, f"<p>{_LONG}</p>"), (1, "<p>It rained.</p>")),
     ((1, "<p>Closed on Monday.</p>"),),
