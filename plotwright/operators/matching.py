@@ -25,7 +25,9 @@ def candidates(words: DataFrame, items: DataFrame, page: str = "page_id", s: Set
     o = o.withColumn("dx", F.explode(F.sequence("ox0", F.greatest("ox0", cell(F.col("o_x1")))))).withColumn("dy", F.explode(F.sequence("oy0", F.greatest("oy0", cell(F.col("o_y1"))))))
     met = (F.col(f"w_{page}") == F.col(f"o_{page}")) & (F.col("cx") == F.col("dx")) & (F.col("cy") == F.col("dy"))
     first = (F.col("cx") == F.greatest("wx0", "ox0")) & (F.col("cy") == F.greatest("wy0", "oy0"))
-    return w.join(o, met & first).drop("cx", "cy", "dx", "dy", "wx0", "wy0", "ox0", "oy0")
+    # Cheap and necessary: boxes that are further apart than the tolerance reaches neither overlap nor have close middles.
+    wide = (F.col("o_x1") >= F.col("w_x0") - reach) & (F.col("o_x0") <= F.col("w_x1") + reach) & (F.col("o_y1") >= F.col("w_y0") - reach) & (F.col("o_y0") <= F.col("w_y1") + reach)
+    return w.join(o, met & first & wide).drop("cx", "cy", "dx", "dy", "wx0", "wy0", "ox0", "oy0")
 
 
 def scored(pairs: DataFrame, threshold: float | None = None, s: Settings = DEFAULT) -> DataFrame:
