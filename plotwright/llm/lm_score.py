@@ -265,7 +265,7 @@ def context_counts(words: DataFrame, n_words: int) -> np.ndarray:
     tasks = min(MOST_TASKS, max(LEAST_TASKS, -(-n_words // WORDS_A_TASK)))
     found = words.where("c > 0").select("word", "c").coalesce(tasks).mapInArrow(_counted, "chunk long, counts binary")
     out = np.zeros((SLOTS // CHUNK, CHUNK * 2), np.uint8)
-    for row in found.groupBy("chunk").applyInArrow(_summed, "chunk long, packed binary").toLocalIterator():
+    for row in found.groupBy("chunk").applyInArrow(_summed, "chunk long, packed binary").collect():
         out[row.chunk] = np.frombuffer(row.packed, np.uint8)
     return out.reshape(SLOTS, 2)
 
@@ -290,7 +290,7 @@ def _learned(counts):
 
 def _fit(words: DataFrame, counts, tasks: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights averaged by tokens, and the adaptive map of what all tasks saw; one small row a task reaches the driver."""
-    rows = words.where("c > 0").select("word", "c").coalesce(tasks).mapInArrow(_learned(counts), "tokens double, weights binary, seen binary").toLocalIterator()
+    rows = words.where("c > 0").select("word", "c").coalesce(tasks).mapInArrow(_learned(counts), "tokens double, weights binary, seen binary").collect()
     mixer = Mixer(counts.value)
     total, weights, seen = 0.0, np.zeros_like(mixer.weights), np.zeros_like(mixer.seen)
     for r in rows:
