@@ -249,15 +249,19 @@ def _cells(large: bool, split: dict[int, tuple[int, int]]):
 
 
 def links_in_cell(homes: np.ndarray, guests: np.ndarray, most: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Star links (fingerprint, least fingerprint connected with it here) for what is linked between homes and guests."""
+    """Star links (fingerprint, least fingerprint connected with it here) for what is linked between homes and guests.
+
+    A home's own guest copy need not be here: where guests are split, it is in the home's own part of them alone.
+    """
     every = np.unique(np.concatenate([homes, guests]))
     label = np.arange(len(every))
     at_home, at_guest = np.searchsorted(every, homes), np.searchsorted(every, guests)
     h, g = homes.view(np.uint64), guests.view(np.uint64)
     step = max(1, 2_000_000 // max(1, len(g)))
     for k in range(0, len(h), step):
-        near = np.bitwise_count(h[k : k + step, None] ^ g[None, :]) <= most
-        for i in np.nonzero(near.sum(axis=1) > 1)[0]:
+        apart = h[k : k + step, None] ^ g[None, :]
+        near = (np.bitwise_count(apart) <= most) & (apart != 0)
+        for i in np.nonzero(near.any(axis=1))[0]:
             met = label[np.append(at_guest[near[i]], at_home[k + i])]
             least = met.min()
             if (met != least).any():
@@ -278,7 +282,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     homes = np.add.reduceat(home.astype(np.int64), np.concatenate([[0], bounds]))
     left, right = [], []
     for a, b, n in zip(np.concatenate([[0], bounds]), np.concatenate([bounds, [len(cell)]]), homes, strict=True):
-        if n and b - a > 2:
+        if n and b - a > n and (b - a > 2 or fp[a] != fp[a + 1]):
             x, y = links_in_cell(fp[b - n : b], fp[a : b - n])
             if len(x):
                 left.append(x)

@@ -398,6 +398,18 @@ def test_anchors_bring_linked_fingerprints_together(spark, large):
     assert {(r.node, r.root) for r in found} == {(f, find(f)) for f in fps if find(f) != f}
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_lone_pairs_of_a_split_anchor_are_linked(spark, monkeypatch, large):
+    """Pairs that have no other neighbour, with a few rows a cell."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(simhash, "CELL", 4)
+    first = rng.integers(0, 1 << 62, 200)
+    pairs = {tuple(sorted((int(f), int(f) ^ 1 << int(b)))) for f, b in zip(first, rng.integers(0, 62, len(first)), strict=True)}
+    fps = [f for pair in pairs for f in pair]
+    found = components.components(simhash.fingerprint_links(spark.createDataFrame([(f,) for f in fps], "fp long"), large)).collect()
+    assert {(r.root, r.node) for r in found} == pairs
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(50)] + [(200, 100), (100, 150), (7, 7), (None, 3), (3, None), (3, 4)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
