@@ -1,9 +1,11 @@
 """The corpus pipeline, stage by stage, against brute force on the smallest tables."""
 
+import random
+
 from test_operators import SMALL, brute_components, brute_counts, brute_secrets, packed_right
 
 import corpus_pipeline
-from plotwright.llm import quality
+from plotwright.llm import quality, simhash
 
 
 def test_stages(spark, tmp_path):
@@ -28,5 +30,21 @@ def test_stages(spark, tmp_path):
     packed_right(seen[3], [(r.doc_id, r.text) for r in seen[2]])
 
 
+def test_near_dedup_with_split_anchors(spark, monkeypatch):
+    """Of groups of exactly two near copies one stays, also where each anchor's guests are dealt over several cells."""
+    monkeypatch.setattr(simhash, "CELL", 1)
+    rng = random.Random(5)
+    rows = []
+    for i in range(0, 60, 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        rows.append((i, " ".join(words)))
+        words[1000] = "changed"
+        rows.append((i + 1, " ".join(words)))
+    groups = brute_components(rows)
+    assert len({c for _, _, c in groups}) < 40
+    left = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    assert {r.doc_id for r in left.collect()} == {c for _, _, c in groups}
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
