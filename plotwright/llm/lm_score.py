@@ -10,11 +10,15 @@ How it is learned, all from the whole training part (ids whose CRC-32 modulo ten
 1. Each task codes its documents over dictionaries of at most ``BLOCK_WORDS`` words ("blocks") and writes both, so that texts
    are read and cut once and never shuffled.
 2. Dictionaries are summed to corpus-wide counts of every word, a table that grows with the corpus.
-3. Bit counts of every hashed context are summed over all words.  The tables have a fixed number of slots (``SLOTS``), which
-   bounds what is broadcast (two bytes a slot).  Words met once are left out of the whole-beginning table only.
-4. Weights and the adaptive map are learned online over all words, on each task's share, every token predicted as if it had not
+3. Words are dealt by range into groups of about ``GROUP_WORDS``, one row each.  A beginning's words lie side by side then, so a
+   group counts its whole beginnings itself, exactly and by 64-bit keys.  Only beginnings of a group's first or last word can go on
+   in another group; their counts are summed over all groups and sent out (a few hundred numbers a group).  Words met once are
+   left out of the whole-beginning counts only.
+4. Bit counts of the hashed contexts of one to four bytes are summed over all words.  Their tables get ``ROOM`` slots for each
+   different pair of a context and its next byte, as estimated by sketches; two bytes a slot are broadcast.
+5. Weights and the adaptive map are learned online over all words, on each task's share, every token predicted as if it had not
    been counted itself; the tasks' weights are averaged by tokens seen.
-5. Every word is scored once; words go back to their blocks with count and score, and documents add them up.
+6. Every word is scored once; words go back to their blocks with count and score, and documents add them up.
 
 Null text is empty: the end token alone.  A null doc_id counts as the empty text (held out).  Repeated rows count and are scored
 each.  Empty table: no rows.  With nothing to learn from every count is zero and bits are even.
@@ -36,10 +40,14 @@ from .tables import only, written
 END = b"\n"
 #: A block's dictionary is closed at this many words, or its documents at this many tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 400_000, 6_000_000
-#: Contexts: last bytes (0: the whole beginning of the word) and the table's slots, as powers of two.
+#: Contexts: last bytes (0: the whole beginning of the word) and the table's least slots, as powers of two; the whole beginning has
+#: no table where its exact counts are given.
 ORDERS = ((1, 16), (2, 18), (3, 20), (4, 21), (0, 22))
 SLOTS = sum(1 << s for _, s in ORDERS)
 CHUNK = 1 << 12
+#: Words of a group that counts its whole beginnings, about, and of the partitions that groups are cut from, about; slots for each
+#: different context and next byte; a sketch's registers.
+GROUP_WORDS, PART_WORDS, ROOM, REGISTERS = 25_000, 100_000, 8, 1 << 12
 #: Words that a task of the counting step takes, about; its tables are summed after.
 WORDS_A_TASK, LEAST_TASKS, MOST_TASKS = 2_000_000, 8, 256
 PRIOR, STIFF, SMOOTH = 0.4, 20.0, 0.1
@@ -143,7 +151,6 @@ def walk(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         node = node * 2 + bit
 
 
-_OFFSETS = np.cumsum([0, *(1 << s for _, s in ORDERS)])[:-1]
 #: Counts are kept as eighths of the binary logarithm of one more than them.
 _COUNT = (2.0 ** (np.arange(256) / 8) - 1).astype(np.float32)
 
@@ -153,10 +160,14 @@ def packed_counts(n: np.ndarray) -> np.ndarray:
 
 
 class Mixer:
-    """Counts of all contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit."""
+    """Counts of all contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit.
 
-    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.counts = counts
+    bits: each order's slots, as powers of two.  ``own`` of the methods: by bit position, each byte's counts of the whole beginning.
+    """
+
+    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None, bits: tuple[int, ...] = tuple(s for _, s in ORDERS)):
+        self.counts, self.bits = counts, bits
+        self.offsets = np.cumsum([0, *(1 << s for s in bits)])[:-1]
         self.weights = np.full((GATES, len(ORDERS)), 1.0 / 3, np.float64) if weights is None else weights
         grid = np.linspace(-8, 8, BUCKETS)
         even = 1 / (1 + np.exp(-grid))
@@ -164,12 +175,15 @@ class Mixer:
         self.seen = np.zeros((2, GATES, BUCKETS))
         self.curves = np.tile(np.eye(len(ORDERS)) * STIFF, (GATES, 1, 1))
 
-    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray, leave_out: bool, own: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(logits by order, gate) of one bit of many bytes; leave_out: as if the bit itself had been counted once less."""
         logits = np.empty((len(ORDERS), len(node)), np.float32)
         level = []
-        for o, (_, s) in enumerate(ORDERS):
-            pair = _COUNT[self.counts[_OFFSETS[o] + _slots(contexts[o], node, s)]]
+        for o, (order, _) in enumerate(ORDERS):
+            if order or own is None:
+                pair = _COUNT[self.counts[self.offsets[o] + _slots(contexts[o], node, self.bits[o])]]
+            else:
+                pair = own[k]
             zero, one = pair[:, 0], pair[:, 1]
             if leave_out:
                 one, zero = np.maximum(0, one - bit), np.maximum(0, zero - (1 - bit))
@@ -190,7 +204,7 @@ class Mixer:
         said = self.refined[gate, low] * (1 - part) + self.refined[gate, low + 1] * part
         return np.clip(0.75 / (1 + np.exp(-x)) + 0.25 * said, 1e-6, 1 - 1e-6)
 
-    def learn(self, words: list[bytes], times: np.ndarray, late: bool, bent: bool = True) -> None:
+    def learn(self, words: list[bytes], times: np.ndarray, late: bool, bent: bool = True, own: list[np.ndarray] | None = None) -> None:
         """One online step a bit position: of each gate, along the loss's slope over its curvature summed so far (online Newton).
 
         bent: add this step's curvature, for itself and for the ``BEND - 1`` steps behind it that leave it out.
@@ -199,7 +213,7 @@ class Mixer:
         weight = np.repeat(times, np.diff(np.append(starts, len(flat)))).astype(float)
         n = len(ORDERS)
         for k, node, bit in walk(flat):
-            logits, gate = self.inputs(contexts, node, k, bit, True)
+            logits, gate = self.inputs(contexts, node, k, bit, True, own)
             x = self.mix(logits, gate)
             p = 1 / (1 + np.exp(-x))
             miss, bend = (bit - p) * weight, p * (1 - p) * weight
@@ -217,40 +231,151 @@ class Mixer:
                 np.add.at(self.seen, (0, gate, at), weight)
                 np.add.at(self.seen, (1, gate, at), weight * bit)
 
-    def score(self, words: list[bytes]) -> np.ndarray:
+    def score(self, words: list[bytes], own: list[np.ndarray] | None = None) -> np.ndarray:
         """log10 of each word's probability."""
         flat, starts, contexts = spelled(words)
         total = np.zeros(len(flat))
         for k, node, bit in walk(flat):
-            logits, gate = self.inputs(contexts, node, k, bit, False)
+            logits, gate = self.inputs(contexts, node, k, bit, False, own)
             p = self.refine(self.mix(logits, gate), gate)
             total += np.log10(np.where(bit == 1, p, 1 - p))
         return np.add.reduceat(total, starts) if len(words) else total
 
 
-# ---- 3: context counts ------------------------------------------------------------------------------------------------
+# ---- 3: groups and whole beginnings -----------------------------------------------------------------------------------
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for about ``GROUP_WORDS`` words, which no reader can cut; words come sorted."""
+    held: list[pa.RecordBatch] = []
+
+    def row() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held)
+        lists = [pa.array([whole.column(i).to_pylist()], pa.list_(t)) for i, t in enumerate((pa.binary(), pa.int64()))]
+        return pa.RecordBatch.from_arrays(lists, names=["words", "times"])
+
+    for batch in batches:
+        for a in range(0, batch.num_rows, GROUP_WORDS):
+            held.append(batch.slice(a, GROUP_WORDS))
+            if sum(x.num_rows for x in held) >= GROUP_WORDS:
+                yield row()
+                held = []
+    if held:
+        yield row()
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros((SLOTS, 2), np.float32)
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     for batch in batches:
-        for a in range(0, batch.num_rows, STEP):
-            part = batch.slice(a, STEP)
-            words, times = part.column(0).to_pylist(), part.column(1).to_numpy()
-            flat, starts, contexts = spelled(words)
-            weight = np.repeat(times, np.diff(np.append(starts, len(flat)))).astype(np.float32)
-            for _, node, bit in walk(flat):
-                for o, (order, s) in enumerate(ORDERS):
-                    at = (_OFFSETS[o] + _slots(contexts[o], node, s)) * 2 + bit
-                    if order:
-                        np.add.at(table.reshape(-1), at, weight)
-                    else:
-                        often = weight > 1.5
-                        np.add.at(table.reshape(-1), at[often], weight[often])
-    chunks = table.reshape(-1, CHUNK * 2)
-    used = np.nonzero(chunks.any(axis=1))[0]
-    for k in used.tolist():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([chunks[k].tobytes()], pa.binary())], names=["chunk", "counts"])
+        for words, times in zip(batch.column(0), batch.column(1), strict=True):
+            yield words.as_py(), times.values.to_numpy()
+
+
+def _sizes(words: list[bytes]) -> np.ndarray:
+    return np.array([len(w) + (w != END) for w in words])
+
+
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """HyperLogLog registers of 64-bit values, well mixed or not."""
+    h = (grams ^ grams >> np.uint64(32)) * _M3
+    h = (h ^ h >> np.uint64(29)) * _M1
+    h ^= h >> np.uint64(32)
+    rest = (h >> np.uint64(12)).astype(np.float64)
+    out = np.zeros(REGISTERS, np.uint8)
+    np.maximum.at(out, (h & np.uint64(REGISTERS - 1)).astype(np.int64), (53 - np.frexp(rest)[1]).astype(np.uint8))
+    return out
+
+
+def sketched(registers: np.ndarray) -> float:
+    """About how many different values the registers have seen."""
+    m, none = len(registers), int((registers == 0).sum())
+    raw = 0.7213 / (1 + 1.079 / m) * m * m / (2.0 ** -registers.astype(float)).sum()
+    return m * np.log(m / none) if raw < 2.5 * m and none else raw
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Next bytes of the beginnings that a group may share with others (context, byte, n); at the end a row of sketches by order."""
+    seen = np.zeros((len(ORDERS), REGISTERS), np.uint8)
+    for words, times in _groups(batches):
+        shared = spelled([words[0], words[-1]])[2][-1]
+        for a in range(0, len(words), 20_000):
+            part = words[a : a + 20_000]
+            flat, _, contexts = spelled(part)
+            weight = np.repeat(times[a : a + 20_000], _sizes(part))
+            learned, often = weight > 0, weight > 1
+            for o, (order, _) in enumerate(ORDERS):
+                if order:
+                    seen[o] = np.maximum(seen[o], sketch(np.unique(((contexts[o] * np.uint64(257) + flat) * _M1)[learned])))
+            at = often & np.isin(contexts[-1], shared)
+            keys, back = np.unique(np.stack([contexts[-1][at], flat[at].astype(np.uint64)]), axis=1, return_inverse=True)
+            n = np.bincount(back.reshape(-1), weight[at], keys.shape[1]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[0].view(np.int64)), pa.array(keys[1].astype(np.int32)), pa.array(n), pa.nulls(len(n), pa.binary())], names=["context", "byte", "n", "seen"])
+    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())], names=["context", "byte", "n", "seen"])
+
+
+def edges(groups: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[int, ...]]:
+    """(contexts in order, counts [context, node, bit]) of the beginnings at groups' edges, and the tables' slots as powers of two."""
+    found = written(groups.mapInArrow(_edges, "context long, byte int, n long, seen binary"), "edges")
+    seen = np.zeros((len(ORDERS), REGISTERS), np.uint8)
+    for row in found.where("seen is not null").select("seen").toLocalIterator():
+        seen = np.maximum(seen, np.frombuffer(row.seen, np.uint8).reshape(seen.shape))
+    bits = tuple(max(s, int(np.ceil(np.log2(max(1.0, ROOM * sketched(r)))))) if order else 0 for (order, s), r in zip(ORDERS, seen, strict=True))
+    rows = found.where("context is not null").groupBy("context", "byte").agg(F.sum("n").alias("n")).toPandas()
+    contexts, at = np.unique(rows["context"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    counts = np.zeros((len(contexts), 256, 2), np.float32)
+    for _, node, bit in walk(rows["byte"].to_numpy(np.uint8)):
+        np.add.at(counts, (at, node, bit), rows["n"].to_numpy(np.float32))
+    return (contexts, counts), bits
+
+
+def own_counts(words: list[bytes], times: np.ndarray, shared: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(by bit position: counts (zero, one) of different beginnings and next bytes; which of those each byte is).
+
+    They are the group's own, or at its edges those of all groups.
+    """
+    flat, _, contexts = spelled(words)
+    weight = np.repeat(np.where(times > 1, times, 0), _sizes(words)).astype(float)
+    different, number = np.unique(contexts[-1], return_inverse=True)
+    keys, back = np.unique(number * 256 + flat, return_inverse=True)  # a node's bytes are a run of these
+    total = np.bincount(back, weight, len(keys))
+    edge = np.minimum(np.searchsorted(shared[0], different), max(0, len(shared[0]) - 1))
+    at_edge = shared[0][edge] == different if len(shared[0]) else np.zeros(len(different), bool)
+    edge, at_edge = edge[keys >> 8], at_edge[keys >> 8]
+    out = []
+    for k, node, bit in walk((keys & 255).astype(np.uint8)):
+        new = np.diff(keys >> (8 - k), prepend=-1) != 0
+        first = np.flatnonzero(new)
+        n = np.stack([np.add.reduceat(total * (bit == v), first) for v in (0, 1)], axis=1).astype(np.float32)[np.cumsum(new) - 1]
+        n[at_edge] = shared[1][edge[at_edge], node[at_edge]]
+        out.append(n)
+    return out, back
+
+
+# ---- 4: context counts ------------------------------------------------------------------------------------------------
+
+
+def _counted(bits: tuple[int, ...]):
+    size = -(-sum(1 << s for (order, _), s in zip(ORDERS, bits, strict=True) if order) // CHUNK) * CHUNK
+    offsets = np.cumsum([0, *(1 << s for s in bits)])[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((size, 2), np.float32)
+        for words, times in _groups(batches):
+            learned = np.flatnonzero(times > 0)
+            for a in range(0, len(learned), STEP):
+                at = learned[a : a + STEP]
+                part = [words[i] for i in at]
+                flat, _, contexts = spelled(part)
+                weight = np.repeat(times[at], _sizes(part)).astype(np.float32)
+                for _, node, bit in walk(flat):
+                    for o, (order, _) in enumerate(ORDERS):
+                        if order:
+                            np.add.at(table.reshape(-1), (offsets[o] + _slots(contexts[o], node, bits[o])) * 2 + bit, weight)
+        chunks = table.reshape(-1, CHUNK * 2)
+        used = np.nonzero(chunks.any(axis=1))[0]
+        for k in used.tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([chunks[k].tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    return size, run
 
 
 def _summed(group: pa.Table) -> pa.Table:
@@ -260,38 +385,48 @@ def _summed(group: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()], pa.int64()), "packed": pa.array([packed_counts(total).tobytes()], pa.binary())})
 
 
-def context_counts(words: DataFrame, n_words: int) -> np.ndarray:
-    """Packed counts of all contexts; at most ``2 * SLOTS`` bytes reach the driver."""
-    tasks = min(MOST_TASKS, max(LEAST_TASKS, -(-n_words // WORDS_A_TASK)))
-    found = words.where("c > 0").select("word", "c").coalesce(tasks).mapInArrow(_counted, "chunk long, counts binary")
-    out = np.zeros((SLOTS // CHUNK, CHUNK * 2), np.uint8)
+def context_counts(groups: DataFrame, bits: tuple[int, ...], tasks: int) -> np.ndarray:
+    """Packed counts of the contexts of one to four bytes; two bytes a slot reach the driver."""
+    size, run = _counted(bits)
+    found = groups.coalesce(tasks).mapInArrow(run, "chunk long, counts binary")
+    out = np.zeros((size // CHUNK, CHUNK * 2), np.uint8)
     for row in found.groupBy("chunk").applyInArrow(_summed, "chunk long, packed binary").collect():
         out[row.chunk] = np.frombuffer(row.packed, np.uint8)
-    return out.reshape(SLOTS, 2)
+    return out.reshape(size, 2)
+
+
+# ---- 5 and 6: weights and scores --------------------------------------------------------------------------------------
 
 
-# ---- 4 and 5: weights and scores --------------------------------------------------------------------------------------
+def _steps(words: list[bytes], own: tuple[list[np.ndarray], np.ndarray], step: int) -> Iterator[tuple[int, list[bytes], list[np.ndarray]]]:
+    ends = np.concatenate([[0], np.cumsum(_sizes(words))])
+    for a in range(0, len(words), step):
+        part = words[a : a + step]
+        yield a, part, [x[own[1][ends[a] : ends[a + len(part)]]] for x in own[0]]
 
 
-def _learned(counts):
+def _learned(counts, shared, bits: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, tokens, step = Mixer(counts.value), 0.0, 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, LEARN_STEP):
-                part = batch.slice(a, LEARN_STEP)
-                times = part.column(1).to_numpy()
-                mixer.learn(part.column(0).to_pylist(), times, step >= 2, step % BEND == 0)
-                tokens, step = tokens + float(times.sum()), step + 1
+        mixer, tokens, step = Mixer(counts.value, bits=bits), 0.0, 0
+        for words, times in _groups(batches):
+            order = np.random.default_rng(len(words)).permutation(np.flatnonzero(times > 0))  # not by the alphabet
+            if not len(order):
+                continue
+            words, times = [words[i] for i in order], times[order]
+            for a, part, own in _steps(words, own_counts(words, times, shared.value), LEARN_STEP):
+                t = times[a : a + len(part)]
+                mixer.learn(part, t, step >= 2, step % BEND == 0, own)
+                tokens, step = tokens + float(t.sum()), step + 1
         if step:
             yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary())], names=["tokens", "weights", "seen"])
 
     return run
 
 
-def _fit(words: DataFrame, counts, tasks: int) -> tuple[np.ndarray, np.ndarray]:
+def _fit(groups: DataFrame, counts, shared, bits: tuple[int, ...], tasks: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights averaged by tokens, and the adaptive map of what all tasks saw; one small row a task reaches the driver."""
-    rows = words.where("c > 0").select("word", "c").coalesce(tasks).mapInArrow(_learned(counts), "tokens double, weights binary, seen binary").collect()
-    mixer = Mixer(counts.value)
+    rows = groups.coalesce(tasks).mapInArrow(_learned(counts, shared, bits), "tokens double, weights binary, seen binary").collect()
+    mixer = Mixer(counts.value, bits=bits)
     total, weights, seen = 0.0, np.zeros_like(mixer.weights), np.zeros_like(mixer.seen)
     for r in rows:
         weights += r.tokens * np.frombuffer(r.weights).reshape(weights.shape)
@@ -302,13 +437,12 @@ def _fit(words: DataFrame, counts, tasks: int) -> tuple[np.ndarray, np.ndarray]:
     return weights / total, (seen[1] + 20 * mixer.refined) / (seen[0] + 20)
 
 
-def _word_scores(counts, weights: np.ndarray, refined: np.ndarray):
+def _word_scores(counts, shared, bits: tuple[int, ...], weights: np.ndarray, refined: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(counts.value, weights, refined)
-        for batch in batches:
-            for a in range(0, batch.num_rows, STEP):
-                part = batch.slice(a, STEP)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(mixer.score(part.column(0).to_pylist()))], names=["word", "c", "s"])
+        mixer = Mixer(counts.value, weights, refined, bits)
+        for words, times in _groups(batches):
+            for a, part, own in _steps(words, own_counts(words, times, shared.value), STEP):
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(times[a : a + len(part)]), pa.array(mixer.score(part, own))], names=["word", "c", "s"])
 
     return run
 
@@ -343,9 +477,13 @@ def score(docs: DataFrame) -> DataFrame:
     got = words.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v")).first()
     n, v = got.n or 0, got.v or 0
     tasks = min(MOST_TASKS, max(LEAST_TASKS, -(-got.d // WORDS_A_TASK)))
-    counts = spark.sparkContext.broadcast(context_counts(words, got.d))
-    weights, refined = _fit(words, counts, tasks)
-    scored = words.mapInArrow(_word_scores(counts, weights, refined), "word binary, c long, s double")
+    sorted_words = words.select("word", "c").repartitionByRange(max(1, -(-got.d // PART_WORDS)), "word").sortWithinPartitions("word")
+    groups = written(sorted_words.mapInArrow(_grouped, "words array<binary>, times array<long>"), "groups")
+    at_edges, bits = edges(groups)
+    shared = spark.sparkContext.broadcast(at_edges)
+    counts = spark.sparkContext.broadcast(context_counts(groups, bits, tasks))
+    weights, refined = _fit(groups, counts, shared, bits, tasks)
+    scored = groups.mapInArrow(_word_scores(counts, shared, bits, weights, refined), "word binary, c long, s double")
     back = listed.join(scored, "word").select(F.col("block").alias("of_block"), "at", "c", "s")
     coded = blocks.where("codes is not null").select("block", "doc_id", "held_out", "n_tokens", "codes")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

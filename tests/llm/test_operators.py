@@ -302,6 +302,36 @@ def test_lm_score(spark, docs, none, real):
     assert lm_score.score(none).count() == 0
 
 
+def test_whole_beginnings_are_counted_exactly(spark, monkeypatch):
+    """Groups of a few words know what the others hold of a beginning that they share."""
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 4)
+    rng = np.random.default_rng(2)
+    times = {bytes(rng.choice(list(b"abc"), rng.integers(1, 7))): 2 * int(rng.integers(0, 4)) for _ in range(60)} | {lm_score.END: 3}
+    df = spark.createDataFrame([(bytearray(w), c) for w, c in times.items()], "word binary, c long").repartitionByRange(12, "word").sortWithinPartitions("word")
+    rows = df.mapInArrow(lm_score._grouped, "words array<binary>, times array<long>")
+    groups = [([bytes(w) for w in r.words], np.array(r.times)) for r in rows.collect()]
+    assert len(groups) > 5
+    shared, bits = lm_score.edges(rows)
+    ended = {w if w == lm_score.END else w + b" ": c for w, c in times.items()}
+    for words, n in groups:
+        tables, which = lm_score.own_counts(words, n, shared)
+        spelled = [(w if w == lm_score.END else w + b" ", i) for w in words for i in range(len(w) + (w != lm_score.END))]
+        for k in range(8):
+            for j, (w, i) in enumerate(spelled):
+                like = [(x[i] >> 7 - k & 1, c) for x, c in ended.items() if x[:i] == w[:i] and len(x) > i and x[i] >> 8 - k == w[i] >> 8 - k]
+                assert tables[k][which[j]].tolist() == [sum(c for b, c in like if b == v) for v in (0, 1)]
+
+
+def test_tables_grow_with_the_corpus(spark):
+    rng = np.random.default_rng(4)
+    words = sorted({bytes(x) for x in rng.integers(128, 256, (60_000, 8), np.uint8)})
+    rows = spark.createDataFrame([([bytearray(w) for w in words], [1] * len(words))], "words array<binary>, times array<long>")
+    _, bits = lm_score.edges(rows)
+    grams = len({w[i : i + 5] for w in words for i in range(4)})
+    assert 2 ** bits[3] > 4 * grams > 2 ** lm_score.ORDERS[3][1] / 4 and bits[3] > lm_score.ORDERS[3][1]
+    assert abs(lm_score.sketched(lm_score.sketch(np.arange(200_000, dtype=np.uint64))) / 200_000 - 1) < 0.1
+
+
 def test_model_is_a_distribution():
     counts = np.zeros((lm_score.SLOTS, 2), np.uint8)
     counts[:] = np.random.default_rng(0).integers(0, 40, counts.shape)
