@@ -12,8 +12,7 @@ How it is learned, all from the whole training part (ids whose CRC-32 modulo ten
 2. Dictionaries are summed to corpus-wide counts of every word, a table that grows with the corpus.
 3. Words are dealt by range into groups of about ``GROUP_WORDS``, one row each.  A beginning's words lie side by side then, so a
    group counts its whole beginnings itself, exactly and by 64-bit keys.  Only beginnings of a group's first or last word can go on
-   in another group; their counts are summed over all groups and sent out (a few hundred numbers a group).  Words met once are
-   left out of the whole-beginning counts only.
+   in another group; their counts are summed over all groups and sent out (a few hundred numbers a group).
 4. Bit counts of the hashed contexts of one to four bytes are summed over all words.  Their tables get ``ROOM`` slots for each
    different pair of a context and its next byte, as estimated by sketches; two bytes a slot are broadcast.
 5. Weights and the adaptive map are learned online over all words, on each task's share, every token predicted as if it had not
@@ -301,11 +300,11 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = words[a : a + 20_000]
             flat, _, contexts = spelled(part)
             weight = np.repeat(times[a : a + 20_000], _sizes(part))
-            learned, often = weight > 0, weight > 1
+            learned = weight > 0
             for o, (order, _) in enumerate(ORDERS):
                 if order:
                     seen[o] = np.maximum(seen[o], sketch(np.unique(((contexts[o] * np.uint64(257) + flat) * _M1)[learned])))
-            at = often & np.isin(contexts[-1], shared)
+            at = learned & np.isin(contexts[-1], shared)
             keys, back = np.unique(np.stack([contexts[-1][at], flat[at].astype(np.uint64)]), axis=1, return_inverse=True)
             n = np.bincount(back.reshape(-1), weight[at], keys.shape[1]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys[0].view(np.int64)), pa.array(keys[1].astype(np.int32)), pa.array(n), pa.nulls(len(n), pa.binary())], names=["context", "byte", "n", "seen"])
@@ -333,7 +332,7 @@ def own_counts(words: list[bytes], times: np.ndarray, shared: tuple[np.ndarray,
     They are the group's own, or at its edges those of all groups.
     """
     flat, _, contexts = spelled(words)
-    weight = np.repeat(np.where(times > 1, times, 0), _sizes(words)).astype(float)
+    weight = np.repeat(times, _sizes(words)).astype(float)
     different, number = np.unique(contexts[-1], return_inverse=True)
     keys, back = np.unique(number * 256 + flat, return_inverse=True)  # a node's bytes are a run of these
     total = np.bincount(back, weight, len(keys))
