@@ -60,8 +60,8 @@ def held_out(doc_id: int | None) -> bool:
 
 # ---- 1: blocks --------------------------------------------------------------------------------------------------------
 
-_BLOCKS = "block long, word binary, at int, n long, doc_id long, held_out boolean, n_tokens long, codes binary"
-_ROW = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("codes", pa.binary())])
+_BLOCKS = "block long, word binary, at int, n long, doc_id long, held_out boolean, n_tokens long, n_bytes long, codes binary"
+_ROW = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("codes", pa.binary())])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +79,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = words[a : a + 50_000]
             m = len(part)
             empty = lambda t: pa.nulls(m, t)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, base + k)), pa.array(part, pa.binary()), pa.array(np.arange(a, a + m, dtype=np.int32)), pa.array(learned[a : a + m]), empty(pa.int64()), empty(pa.bool_()), empty(pa.int64()), empty(pa.binary())], schema=_ROW)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, base + k)), pa.array(part, pa.binary()), pa.array(np.arange(a, a + m, dtype=np.int32)), pa.array(learned[a : a + m]), empty(pa.int64()), empty(pa.bool_()), empty(pa.int64()), empty(pa.int64()), empty(pa.binary())], schema=_ROW)
         for a in range(0, len(docs), 2000):
             part = docs[a : a + 2000]
             m = len(part)
@@ -89,7 +89,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = (text.as_py() or "").encode().lower().split()
+            whole = (text.as_py() or "").encode()
+            words = whole.lower().split()
             words.append(END)
             put = numbers.setdefault
             codes = np.fromiter((put(w, len(numbers)) for w in words), np.int32, len(words))
@@ -98,7 +99,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 learned = np.concatenate([learned, np.zeros(max(len(numbers) - len(learned), len(learned), 1024), np.int64)])
             if not held:
                 np.add.at(learned, codes, 1)
-            docs.append((doc_id, held, len(words), codes.tobytes()))
+            docs.append((doc_id, held, len(words), len(whole), codes.tobytes()))
             tokens += len(words)
             if len(numbers) >= BLOCK_WORDS or tokens >= BLOCK_TOKENS:
                 yield from closed()
@@ -462,13 +463,18 @@ def _added(n: int, v: int):
             b.append(float(base[code].sum()))
             x.append(float(s[code].sum()))
         k = docs.num_rows
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n_tokens"), "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array(np.full(k, n)), "base_score": pa.array(b, pa.float64()), "score": pa.array(x, pa.float64())})
+        n_bytes = docs.column("n_bytes").to_pylist()
+        bits = [-y / np.log10(2) / z if z else None for y, z in zip(x, n_bytes, strict=True)]
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n_tokens"), "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array(np.full(k, n)), "base_score": pa.array(b, pa.float64()), "score": pa.array(x, pa.float64()), "n_bytes": pa.array(n_bytes, pa.int64()), "bits_per_byte": pa.array(bits, pa.float64())})
 
     return run
 
 
 def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs`` (doc_id, text)."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte of every row of ``docs`` (doc_id, text).
+
+    bits_per_byte: all bits of the score, the end token's included, over the text's bytes; null for a text without bytes.
+    """
     spark = docs.sparkSession
     blocks = written(only(docs, "doc_id", "text").mapInArrow(_blocks, _BLOCKS), "blocks")
     listed = blocks.where("word is not null").select("block", "word", "at", "n")
@@ -484,6 +490,6 @@ def score(docs: DataFrame) -> DataFrame:
     weights, refined = _fit(groups, counts, shared, bits, tasks)
     scored = groups.mapInArrow(_word_scores(counts, shared, bits, weights, refined), "word binary, c long, s double")
     back = listed.join(scored, "word").select(F.col("block").alias("of_block"), "at", "c", "s")
-    coded = blocks.where("codes is not null").select("block", "doc_id", "held_out", "n_tokens", "codes")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    coded = blocks.where("codes is not null").select("block", "doc_id", "held_out", "n_tokens", "n_bytes", "codes")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
     return coded.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(_added(n, v), schema)

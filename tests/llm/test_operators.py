@@ -302,6 +302,14 @@ def test_lm_score(spark, docs, none, real):
     assert lm_score.score(none).count() == 0
 
 
+def test_bits_per_byte(spark, docs):
+    rows = lm_score.score(docs).collect()
+    assert sorted((str(r.doc_id), r.n_bytes) for r in rows) == sorted((str(i), len((t or "").encode())) for i, t in ODD)
+    for r in rows:
+        assert (r.bits_per_byte is None) == (r.n_bytes == 0)
+        assert not r.n_bytes or math.isclose(r.bits_per_byte * r.n_bytes, -r.score / math.log10(2))
+
+
 def test_whole_beginnings_are_counted_exactly(spark, monkeypatch):
     """Words met once count, and groups of a few words know what the others hold of a beginning that they share."""
     monkeypatch.setattr(lm_score, "GROUP_WORDS", 4)
