@@ -2,9 +2,10 @@
 
 Every text's words (lower-cased, punctuation dropped) are cut into overlapping windows as long as each size of template.  A
 window's MinHash signature over five-word shingles retrieves the templates that share a band with it.  Band settings follow
-from the wanted certainty: with ``BANDS`` bands of ``ROWS`` rows a window whose Jaccard similarity with a template is 0.8 or
-more is found with a probability of at least ``1 - (1 - 0.8**ROWS) ** BANDS``; here over 0.9999.  A retrieved template matches
-where the share of its shingles that the window holds exactly is 0.8 or more.
+from the wanted certainty.  A template matches where the share of its shingles that the window holds exactly is ``SIMILAR`` or
+more; the window has no more shingles than the template has places for them, so their Jaccard similarity is at least
+``JACCARD`` (0.667).  With ``BANDS`` bands of ``ROWS`` rows such a window is retrieved with a probability of at least
+``1 - (1 - JACCARD**ROWS) ** BANDS``; here over 0.9999.
 
 Every window is meant, but a window without any of the templates' shingles cannot share a band, as a band's rows are hashes of
 shingles; so signatures are only computed for windows that hold one.  Templates have five words at least; short license lines
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame
 from .tables import only
 
 SHINGLE, SIMILAR = 5, 0.8
-BANDS, ROWS = 24, 4
+#: The least Jaccard similarity of a match whose shingles are all different.
+JACCARD = SIMILAR / (2 - SIMILAR)
+BANDS, ROWS = 48, 4
 SEED = 11
 #: Windows whose signatures are computed at once.
 STEP = 4096

@@ -280,6 +280,11 @@ def test_licenses(spark, docs, none, real):
     assert 1 - (1 - license_scan.SIMILAR**license_scan.ROWS) ** license_scan.BANDS > 0.999
 
 
+def test_license_bands_follow_from_containment():
+    """A window of the template's size that holds 0.8 of its shingles has a Jaccard similarity of 0.8 / 1.2."""
+    assert 1 - (1 - (0.8 / 1.2) ** license_scan.ROWS) ** license_scan.BANDS > 0.9999
+
+
 # ---- 9 --------------------------------------------------------------------------------------------------------------------
 
 
