@@ -7,7 +7,9 @@
 3. A bin's place in its final sequence moves the pieces in it; pieces carry no token ids through the shuffle.
 
 Memory: a task packs at most ``CHUNK`` pieces at once, a group at most about ``GROUP`` bins.
-Null text counts as empty: such a document is the closing id alone.  Repeated rows are packed each.  Empty table: no rows.
+Null text counts as empty: such a document is the closing id alone.  Repeated rows and rows of one id are packed each.  A null
+doc_id is kept.  Very long texts are encoded whole, then cut.  Ties in length go by the order of the rows.  Extra columns, also
+ones whose names clash, are ignored.  Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -75,7 +77,8 @@ class Tokeniser:
     """Text -> its ids as little-endian unsigned 32-bit bytes, equal to the tokenizers library's.
 
     Where the vocabulary's ids run in merge order, ordinary texts are encoded by tiktoken over the same vocabulary, which is
-    about three times as fast; texts with special tokens or doubtful characters, and other vocabularies, by the library itself.
+    about three times as fast; texts with special tokens or doubtful characters, texts that it gives up on, and other
+    vocabularies are encoded by the library itself.
     """
 
     def __init__(self, path: str):
@@ -95,9 +98,12 @@ class Tokeniser:
             self.quick = tiktoken.Encoding("vocabulary", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if self.quick is None or any(s in text for s in self.specials) or in_doubt(text):
-            return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
-        return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        if self.quick is not None and not any(s in text for s in self.specials) and not in_doubt(text):
+            try:
+                return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # its expressions give up on about a million white-space characters in a row
+                pass
+        return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
