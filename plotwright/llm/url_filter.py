@@ -1,13 +1,17 @@
 """URL filters: explicit rules, then Empirical-Bayes host reputation (operator 3), in DataFrame operations only.
 
-A page's outcome is bad if its labels say toxic 1 or quality 0 (the worst of several label rows).  Hosts, registered domains and
-suffixes are three levels of beta-binomial priors: a suffix is shrunk towards the share of bad pages over all, a domain towards
-its suffix, a host towards its domain.  How strongly, is estimated at each level from how much the groups differ beyond what
-chance explains (method of moments).  Without a rule, a url is blocked if the lower posterior bound of its host's bad share is
-above ``LIMIT``.
-
-Null urls and urls without ``://`` have empty host and path and count as one host.  Hosts without labels take their domain's
-posterior mean as prior and nothing more.  Repeated rows are judged each; no labels: nothing is blocked but by rules.
+A label's ``doc_id`` names the page of the same ``page_id``; labels of other ids are of no page here and left out.  A page's outcome
+is bad if its labels say toxic 1 or quality 0 (the worst of several label rows).  Hosts, registered domains and suffixes are three
+levels of beta-binomial priors: a suffix is shrunk towards the share of bad pages over all, a domain towards its suffix, a host
+towards its domain.  How strongly, is estimated at each level from how much the groups differ beyond what chance explains (method
+of moments).  Without a rule, a url is blocked if the lower posterior bound of its host's bad share is above ``LIMIT``.  Mean and
+bound are returned.  A host without labelled pages has its domain's posterior as prior and nothing more, one of a domain without
+any its suffix's, and so on; its bound is as wide as one page drawn from that prior leaves it.
+
+Null urls and urls without ``://`` have empty host and path and count as one host.  Repeated rows are judged each, and count each
+where they are labelled.  No labels: nothing is blocked but by rules.  Null page ids are judged and have no label.  Very long urls
+are judged whole.  Ties: of rules of one length the first by spelling.  Extra columns, also ones whose names clash, are ignored.
+Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import only
+from .tables import only, written
 
 #: (host and path, verdict): the host's part is up to the first slash.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -94,8 +98,23 @@ def _strength(groups: DataFrame) -> float:
     return min(STRONGEST, max(WEAKEST, within / between - 1))
 
 
-def reputations(seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Prior]:
-    """Posterior mean of suffixes and domains, mean and lower bound of hosts, and the priors.  Only sums reach the driver."""
+@dataclass(frozen=True)
+class Reputation:
+    """(key, p, low) by host, domain and suffix: posterior mean of the bad share and its lower bound; and the prior over all."""
+
+    host: DataFrame
+    domain: DataFrame
+    suffix: DataFrame
+    prior: Prior
+
+
+def lower(p: Column, strength: Column) -> Column:
+    """The lower bound of a share whose beta distribution has this mean and as many pages behind it."""
+    return p - DEVIATIONS * F.sqrt(p * (1 - p) / (strength + 1))
+
+
+def reputations(seen: DataFrame) -> Reputation:
+    """From :func:`outcomes`.  Only sums reach the driver."""
     total = seen.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     mean = ((total.bad or 0) + 1) / ((total.n or 0) + 2)
     shrunk = lambda k: (F.lit(k) * F.col("mu") + F.col("bad")) / (F.lit(k) + F.col("n"))
@@ -109,22 +128,26 @@ def reputations(seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Prior
     host = seen.join(domain.withColumnRenamed("p", "mu"), "domain")
     k_host = _strength(host)
     p = F.col("p")
-    host = host.select("host", shrunk(k_host).alias("p"), F.col("n")).select("host", (p - DEVIATIONS * F.sqrt(p * (1 - p) / (k_host + F.col("n") + 1))).alias("low"))
-    return suffix, domain, host, Prior(mean, (k_suffix, k_domain, k_host))
+    host = host.select("host", shrunk(k_host).alias("p"), "n").select("host", "p", lower(p, k_host + F.col("n")).alias("low"))
+    domain = domain.withColumn("low", lower(p, F.lit(k_host)))
+    suffix = suffix.withColumn("low", lower(p, F.lit(k_domain)))
+    return Reputation(host, domain, suffix, Prior(mean, (k_suffix, k_domain, k_host)))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, limit: float = LIMIT) -> DataFrame:
-    """page_id, host, path, rule and verdict of every row of ``pages`` (page_id, url)."""
+    """page_id, host, path, rule, verdict, posterior and bound of every row of ``pages`` (page_id, url); labels: doc_id, quality, toxic."""
     url = F.col("url")
     rows = only(pages, "page_id", "url").select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    _, domain, host, prior = reputations(outcomes(rows, labels))
-    # Hosts without a label have only their domain's posterior; its bound is that of the prior alone.
-    low = lambda p: p - DEVIATIONS * F.sqrt(p * (1 - p) / (prior.strengths[2] + 1))
-    unseen = domain.select("domain", low(F.col("p")).alias("domain_low")).where(F.col("domain_low") > limit)
-    bad = host.where(F.col("low") > limit).select("host", F.lit("block").alias("said")).unionByName(host.where(F.col("low") <= limit).select("host", F.lit("allow").alias("said")))
-    joined = rows.join(bad, "host", "left").join(unseen, domain_of(F.col("host")) == F.col("domain"), "left")
-    verdict = F.coalesce(rule_of(F.col("host"), F.col("path"), rules, 1), "said", F.when(F.col("domain_low").isNotNull(), "block"), F.lit("allow"))
-    return joined.select("page_id", "host", "path", rule_of(F.col("host"), F.col("path"), rules, 0).alias("rule"), verdict.alias("verdict"))
+    known = reputations(written(outcomes(rows, labels), "outcomes"))
+    named = lambda df, key: df.select(F.col(key).alias(f"of_{key}"), F.col("p").alias(f"{key}_p"), F.col("low").alias(f"{key}_low"))
+    joined = rows
+    for df, key, own in ((known.host, "host", F.col("host")), (known.domain, "domain", domain_of(F.col("host"))), (known.suffix, "suffix", suffix_of(F.col("host")))):
+        joined = joined.join(named(df, key), own == F.col(f"of_{key}"), "left")
+    least = lower(F.lit(known.prior.mean), F.lit(known.prior.strengths[0]))
+    posterior = F.round(F.coalesce("host_p", "domain_p", "suffix_p", F.lit(known.prior.mean)), 6)
+    bound = F.round(F.coalesce("host_low", "domain_low", "suffix_low", least), 6)
+    verdict = F.coalesce(rule_of(F.col("host"), F.col("path"), rules, 1), F.when(bound > limit, "block").otherwise("allow"))
+    return joined.select("page_id", "host", "path", rule_of(F.col("host"), F.col("path"), rules, 0).alias("rule"), verdict.alias("verdict"), posterior.alias("posterior"), bound.alias("bound"))
 
 
 def _sql_case(part: int) -> str:
@@ -161,9 +184,14 @@ d0 AS (SELECT domain, s.suffix, s.n, s.bad, s1.p AS mu FROM (SELECT domain, suff
 d1 AS (SELECT domain, (k * mu + bad) / (k + n) AS p FROM d0, (SELECT {_sql_strength('d0')} AS k)),
 h0 AS (SELECT host, seen.n, seen.bad, d1.p AS mu FROM seen JOIN d1 ON seen.domain = d1.domain),
 kh AS (SELECT {_sql_strength('h0')} AS k),
-h1 AS (SELECT host, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + n + 1)) AS low FROM (SELECT host, n, k, (k * mu + bad) / (k + n) AS p FROM h0, kh)),
-d2 AS (SELECT domain, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + 1)) AS low FROM d1, kh)
-SELECT page_id, named.host AS host, path, {_sql_case(0).replace('host', 'named.host')} AS rule,
-  coalesce({_sql_case(1).replace('host', 'named.host')}, CASE WHEN coalesce(h1.low, d2.low, 0) > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
-FROM named LEFT JOIN h1 ON named.host = h1.host LEFT JOIN d2 ON named.domain = d2.domain
+kd AS (SELECT {_sql_strength('d0')} AS k),
+ks AS (SELECT {_sql_strength('s0')} AS k),
+h1 AS (SELECT host, p, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + n + 1)) AS low FROM (SELECT host, n, k, (k * mu + bad) / (k + n) AS p FROM h0, kh)),
+d2 AS (SELECT domain, p, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + 1)) AS low FROM d1, kh),
+s2 AS (SELECT suffix, p, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + 1)) AS low FROM s1, kd),
+a0 AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS p FROM seen),
+a1 AS (SELECT p, p - {DEVIATIONS} * sqrt(p * (1 - p) / (k + 1)) AS low FROM a0, ks),
+said AS (SELECT page_id, named.host AS host, path, round(coalesce(h1.p, d2.p, s2.p, a1.p), 6) AS posterior, round(coalesce(h1.low, d2.low, s2.low, a1.low), 6) AS bound
+  FROM named LEFT JOIN h1 ON named.host = h1.host LEFT JOIN d2 ON named.domain = d2.domain LEFT JOIN s2 ON named.suffix = s2.suffix, a1)
+SELECT page_id, host, path, {_sql_case(0)} AS rule, coalesce({_sql_case(1)}, CASE WHEN bound > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, posterior, bound FROM said
 """
