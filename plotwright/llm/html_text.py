@@ -1,18 +1,26 @@
-"""HTML extraction: flat text blocks, classified by a small decision tree (operator 4).
-
-A page is read once, tag by tag, into flat blocks of text: runs between block-level tags.  A block's features are its words, its
-link density (share of its words inside links), both of the blocks before and behind it, and what its containers say (navigation,
-advert, form, ... or article).  A decision tree grown on a small labelled table - the blocks of a few hand-labelled pages -
-tells text from the rest.  Kept blocks are joined in page order by a newline; nothing is capped.
-
-Null and empty html give empty text.  Repeated rows are extracted each.  Broken markup: a tag whose quotes never close ends at
-the next ``>``; a comment or script that never closes takes the rest of the page; a lone ``<`` is text.
+"""HTML extraction: flat text blocks, classified by a decision tree (operator 4).
+
+A page is read once, tag by tag, into flat blocks of text: runs between block-level tags.  A block's features are its words and
+its link density (share of its words inside links), both of the block before and the one behind it and of the two blocks on
+either side together, whether it is a heading, and what its containers say: an element that surrounds articles (navigation,
+footer, form, ...) or only a class or id that is named so, the share of the page's plain words that are marked alike (a name that
+holds nearly all of a page says nothing), and whether it lies in an article or outside one that the page has.  A decision tree
+grown on a small labelled table (:func:`labelled_pages`) tells text from the rest.  Words and link densities decide where
+containers say nothing or too much: pages without any, wrappers named after a part of them, lists of links within articles.
+Containers decide where words cannot: readers' comments and side columns read like articles.
+
+Kept blocks are joined in page order by a newline; nothing is capped.  Null and empty html give empty text.  Repeated rows and
+rows of one id are extracted each; a null id or url is kept.  Broken markup: a tag whose quotes never close ends at the next
+``>``; a comment or script that never closes takes the rest of the page; a lone ``<`` is text.  Very long pages are read whole, in
+memory in proportion.  Ties between equal cuts of the tree go to the first feature and the lowest cut.  Extra columns, also ones
+whose names clash, are ignored.  Empty table: no rows.
 """
 
 from __future__ import annotations
 
 import functools
 import html as entities
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,34 +62,36 @@ class Block:
     text: str
     words: int
     linked: int
-    around: bool
+    around: int
     inside: bool
     heading: bool
 
 
 @dataclass
 class _Open:
+    """around: 0, 1 where a class or id says so, 2 where an element itself does."""
+
     tag: str
-    around: bool
+    around: int
     inside: bool
 
 
-def _says(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+def _says(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
     """(belongs to what surrounds an article, is one) by a tag and its attributes."""
-    around, article = tag in AROUND, tag in ARTICLE
+    around, article = 2 * (tag in AROUND), tag in ARTICLE
     if tag == "header" and inside:  # an article's own header holds its title
-        around = False
+        around = 0
     if attributes and tag not in ("body", "html"):
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
-                around = True
+                around = 2
             elif name in ("class", "id", "role"):
                 said = {w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", value))}
                 is_article = bool(said & ARTICLE_WORDS)
                 hit = said & AROUND_WORDS
                 if hit and not (hit <= {"header", "meta"} and (is_article or inside)):
-                    around = True
+                    around = max(around, 1)
                 elif is_article and tag in ("div", "section", "td", "main", "article"):
                     article = True
     return around, article
@@ -103,7 +113,7 @@ def blocks(page: str) -> list[Block]:
         text = _SPACE.sub(" ", entities.unescape(raw) if "&" in raw else raw).strip()
         if text:
             linked = sum(len(p.split()) for p, inner in parts if inner)
-            top = stack[-1] if stack else _Open("", False, False)
+            top = stack[-1] if stack else _Open("", 0, False)
             out.append(Block(text, text.count(" ") + 1, linked, top.around, top.inside, heading))
         parts = []
 
@@ -160,26 +170,32 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if tag in OWN_KIND and stack and stack[-1].tag == tag:
             stack.pop()
-        top = stack[-1] if stack else _Open("", False, False)
+        top = stack[-1] if stack else _Open("", 0, False)
         around, article = _says(tag, attributes, top.inside)
-        stack.append(_Open(tag, top.around or around, (top.inside or article) and not around))
+        stack.append(_Open(tag, max(top.around, around), (top.inside or article) and not around))
     flush()
     return out
 
 
-FEATURES = ("around", "place", "words", "density", "words_before", "density_before", "words_behind", "density_behind", "heading")
+FEATURES = ("words", "density", "words_before", "density_before", "words_behind", "density_behind", "words_near", "density_near", "heading", "around", "marked_alike", "place")
 
 
 def features(found: list[Block]) -> np.ndarray:
     """A row of FEATURES for each block; place: 1 inside an article, -1 outside one that the page has, 0 on pages without."""
     n = len(found)
-    own = np.array([(b.words, b.linked / b.words) for b in found], float).reshape(n, 2)
-    own[:, 1] = np.minimum(1, own[:, 1])
-    side = np.zeros((n + 2, 2))
-    side[1:-1] = own
-    any_article = any(b.inside for b in found)
-    told = np.array([(b.around, (1 if b.inside else -1) if any_article else 0, b.heading) for b in found], float).reshape(n, 3)
-    return np.hstack([told[:, :2], own, side[:-2], side[2:], told[:, 2:]])
+    words, linked = (np.array([getattr(b, k) for b in found], float) for k in ("words", "linked"))
+    linked = np.minimum(words, linked)
+    around = np.array([b.around for b in found], int)
+    inside = np.array([b.inside for b in found], bool)
+    pad = lambda x: np.concatenate([[0, 0], x, [0, 0]])
+    w, k = pad(words), pad(linked)
+    share = lambda a, b: np.divide(a, b, out=np.zeros(n), where=b > 0)
+    near_w, near_k = (sum(x[i : i + n] for i in (0, 1, 3, 4)) for x in (w, k))
+    plain = np.bincount(around, words - linked, 3)
+    alike = plain[around] / max(1.0, plain.sum())
+    place = np.where(inside, 1, -1 if inside.any() else 0)
+    columns = (words, share(linked, words), w[1 : n + 1], share(k[1 : n + 1], w[1 : n + 1]), w[3 : n + 3], share(k[3 : n + 3], w[3 : n + 3]), near_w, share(near_k, near_w), [b.heading for b in found], around, alike, place)
+    return np.column_stack(columns).astype(float).reshape(n, len(FEATURES))
 
 
 # ---- the decision tree ------------------------------------------------------------------------------------------------
@@ -196,26 +212,26 @@ class Tree:
     above: Tree | None = None
 
     @classmethod
-    def grow(cls, rows: np.ndarray, keep: np.ndarray, depth: int = 6, least: int = 1) -> Tree:
-        """CART by Gini impurity; ties go to the first feature and the lowest cut."""
+    def grow(cls, rows: np.ndarray, keep: np.ndarray, depth: int = 12, least: int = 3) -> Tree:
+        """CART by Gini impurity, with ``least`` rows in a leaf; ties go to the first feature and the lowest cut."""
         verdict = bool(keep.mean() >= 0.5)
         if depth == 0 or keep.all() or not keep.any():
             return cls(verdict)
         best, n = None, len(keep)
         for f in range(rows.shape[1]):
-            values = np.unique(rows[:, f])
-            for c in (values[1:] + values[:-1]) / 2:
-                low = rows[:, f] < c
-                a = int(low.sum())
-                if min(a, n - a) < least:
-                    continue
-                p, q = keep[low].mean(), keep[~low].mean()
-                impurity = (a * p * (1 - p) + (n - a) * q * (1 - q)) / n
-                if best is None or impurity < best[0] - 1e-12:
-                    best = (impurity, f, float(c), low)
+            order = np.argsort(rows[:, f], kind="stable")
+            value, kept = rows[order, f], np.cumsum(keep[order])
+            a = np.arange(1, n)  # rows below each cut
+            p, q = kept[:-1] / a, (kept[-1] - kept[:-1]) / (n - a)
+            impurity = (a * p * (1 - p) + (n - a) * q * (1 - q)) / n
+            impurity[(value[1:] == value[:-1]) | (a < least) | (n - a < least)] = np.inf
+            if len(impurity) and impurity.min() < (np.inf if best is None else best[0] - 1e-12):
+                i = int(np.argmin(impurity))
+                best = (impurity[i], f, float(value[i] + value[i + 1]) / 2)
         if best is None:
             return cls(verdict)
-        _, f, c, low = best
+        _, f, c = best
+        low = rows[:, f] < c
         return cls(verdict, f, c, cls.grow(rows[low], keep[low], depth - 1, least), cls.grow(rows[~low], keep[~low], depth - 1, least))
 
     def judge(self, rows: np.ndarray) -> np.ndarray:
@@ -226,57 +242,163 @@ class Tree:
         return out
 
 
-_LONG = "The keeper of the northern light wrote every evening what the sea had brought to the rocks below the tower and what it took away again."
-_MID = "Nobody had counted the boats that winter, she said."
-#: The labelled table: small pages as (keep, html of a block with its containers); blocks of a page stand together.
-LABELLED = (
-    # an article element among navigation, advert and footer
-    ((0, '<nav><ul><li><a href="/a">News</a></li>'), (0, '<li><a href="/b">Sport today</a></li></ul></nav>'), (0, '<div class="ad">Buy two lamps and pay for one.</div>'), (1, "<article><h1>The light</h1>"), (1, f"<p>{_LONG}</p>"), (1, "<p>It rained.</p>"), (1, f"<p>{_MID} <a href='/c'>More of it</a></p>"), (1, "<p><a href='/source'>The keeper's book</a></p>"), (1, "<ul><li>Oil</li>"), (1, "<li>Salt and rope</li></ul></article>"), (0, "<footer>&copy; 2020 Harbour Press</footer>")),
-    # main element, a header with a slogan, a side column with long text, comments
-    ((0, "<header><h1>Harbour Press</h1>"), (0, "<p>All that the tide brings, told every day by the people who live with it.</p></header>"), (1, "<main><h2>Winter</h2>"), (1, f"<p>{_LONG} {_LONG}</p>"), (1, f"<p>{_MID}</p></main>"), (0, f"<aside><p>{_LONG}</p></aside>"), (0, f'<section id="comments"><p>{_LONG}</p>'), (0, "<p>Thank you!</p></section>"), (0, f"<div><p>{_MID}</p></div>")),
-    # no article element: text in plain divisions among lists of links
-    ((0, '<div><a href="/">Home</a> <a href="/x">About us</a></div>'), (0, '<div><a href="/y">Letters to the editor</a></div>'), (1, "<h1>Boats of the winter</h1>"), (1, f"<p>{_LONG}</p>"), (1, f"<p>{_MID}</p>"), (1, f"<p>{_LONG} <a href='/z'>See the map</a></p>"), (1, "<p>So it went.</p>"), (1, f"<p>{_LONG}</p>"), (0, '<div><a href="/p">Imprint</a> <a href="/q">Terms and conditions</a></div>'), (0, "<div>All rights reserved</div>")),
-    # no article element: a short page with a notice, a form and links with a few words around them
-    ((0, f'<div class="cookie-notice"><p>{_LONG}</p></div>'), (1, f"<div><p>{_LONG}</p>"), (1, f"<p>{_MID}</p>"), (1, f"<p>{_LONG}</p></div>"), (0, '<form><p>Your name and your question to the harbour office</p></form>'), (0, '<ul><li><a href="/1">One day at sea</a></li>'), (0, '<li><a href="/2">Ten knots every sailor needs to know by heart</a></li>'), (0, '<li>by <a href="/3">Ann Lee</a></li></ul>'), (0, "<p>Page 1 of 3</p>"), (0, '<p><a href="/n">Next page</a></p>')),
-    # articles of a few short blocks right behind links
-    ((0, '<nav><a href="/">Start</a></nav>'), (1, "<article><h1>Salt</h1>"), (1, "<p>It rained.</p></article>"), (0, "<footer>Pier 4</footer>")),
-    ((0, '<ul><li><a href="/a">Sea and shore</a></li></ul>'), (1, "<main><h2>Oil</h2>"), (0, "<aside>A word</aside>"), (1, "<p>So it went.</p></main>")),
-    # nothing but a few paragraphs, long or short
-    ((1, f"<p>{_LONG}</p>"), (1, "<p>It rained.</p>")),
-    ((1, "<p>Closed on Monday.</p>"),),
-    ((1, f"<div>{_MID}</div>"), (1, "<div>So it went.</div>"), (1, f"<div>{_LONG}</div>"), (1, "<div>The sea was calm.</div>")),
-    # divisions named as content, with sharing, related links and an advert inside
-    ((0, '<div id="menu"><a href="/">Start</a></div>'), (1, '<div class="post-content"><h2>Rope</h2>'), (1, f"<p>{_LONG}</p>"), (0, f'<div class="advert"><p>{_LONG}</p></div>'), (1, f"<p>{_MID}</p>"), (0, '<div class="share">Tell a friend</div>'), (1, "<blockquote>We tied it twice.</blockquote>"), (0, '<div class="related"><a href="/r">Knots</a></div></div>'), (0, "<div>Harbour Press, Pier 4</div>")),
-)
+# ---- the labelled table -----------------------------------------------------------------------------------------------
 
+#: Pages of the labelled table and the seed that they are made from.
+PAGES, SEED = 240, 4
+_SAID = "the keeper of northern light wrote what sea had brought to rocks below tower and took away again nobody counted boats that winter she said it rained salt rope oil harbour press".split()
 
-@functools.cache
-def tree() -> Tree:
-    """The tree grown on the labelled table."""
+Part = tuple[int, str]
+
+
+class _Writer:
+    """Labelled parts of made-up pages: (1 if it belongs to the article, html of one block with what opens and closes around it)."""
+
+    def __init__(self, seed: int):
+        self.rng = random.Random(seed)
+
+    def words(self, low: int, high: int) -> list[str]:
+        return self.rng.choices(_SAID, k=self.rng.randint(low, high))
+
+    def plain(self, low: int, high: int) -> str:
+        return " ".join(self.words(low, high)).capitalize() + "."
+
+    def link(self, low: int = 1, high: int = 3) -> str:
+        return f'<a href="/{self.rng.randrange(99)}">{" ".join(self.words(low, high))}</a>'
+
+    def links(self, n: int, low: int = 1, high: int = 3, shell: str = "li") -> list[Part]:
+        return [(0, f"<{shell}>{self.link(low, high)}</{shell}>") for _ in range(n)]
+
+    def paragraph(self) -> str:
+        """Long mostly; now and then short, with a link in it, or nothing but a link."""
+        roll = self.rng.random()
+        if roll < 0.2:
+            return self.plain(1, 9)
+        text = self.plain(10, 90)
+        if roll < 0.35:
+            text += f" {self.link(1, 6)} {self.plain(1, 12)}"
+        return self.link(2, 6) if roll > 0.97 else text
+
+    def article(self, shell: str = "p") -> list[Part]:
+        n = self.rng.choice((1, 1, 2, 3, 5, 8, 12))
+        out = [(1, f"<h1>{' '.join(self.words(1, 14))}</h1>")] if self.rng.random() < 0.8 else []
+        for _ in range(n):
+            if out and self.rng.random() < 0.15:
+                out.append((1, f"<h2>{' '.join(self.words(1, 6))}</h2>"))
+            out.append((1, f"<{shell}>{self.paragraph()}</{shell}>"))
+        if n > 4 and self.rng.random() < 0.3:
+            out += [(1, f"<li>{self.plain(2, 14)}</li>") for _ in range(3)]
+        return out
+
+    def around(self, text: list[Part], opening: str, closing: str) -> list[Part]:
+        """The parts within one element."""
+        (k, first), *rest = text
+        text = [(k, opening + first), *rest]
+        k, last = text[-1]
+        return [*text[:-1], (k, last + closing)]
+
+    def side(self, opening: str, closing: str) -> list[Part]:
+        """What reads like an article and is none."""
+        return self.around([(0, f"<p>{self.plain(3, 60)}</p>") for _ in range(self.rng.randint(1, 4))], opening, closing)
+
+    def maybe(self, share: float, parts: list[Part]) -> list[Part]:
+        return parts if self.rng.random() < share else []
+
+    def small_print(self) -> list[Part]:
+        return [(0, f"<div>&copy; {self.plain(2, 12)}</div>")]
+
+    def with_elements(self) -> list[Part]:
+        """An article or main element; navigation, footer and side columns in elements or named divisions."""
+        name = self.rng.choice(("article", "main"))
+        body = self.around(self.article(), f"<{name}>", f"</{name}>")
+        at = self.rng.randrange(1, len(body)) if len(body) > 2 else 0
+        if at:  # links and adverts within it
+            inner = self.rng.choice((self.links(self.rng.randint(3, 6), 2, 8), self.side('<div class="advert">', "</div>"), self.side("<aside>", "</aside>"), []))
+            body = [*body[:at], *inner, *body[at:]]
+        return [
+            *self.maybe(0.9, self.around(self.links(self.rng.randint(2, 8)), "<nav><ul>", "</ul></nav>")),
+            *self.maybe(0.3, [(0, f"<header><p>{self.plain(3, 16)}</p></header>")]),
+            *self.maybe(0.5, [(0, f'<div class="ad">{self.plain(4, 20)}</div>')]),
+            *body,
+            *self.maybe(0.3, self.side('<section id="comments">', "</section>")),
+            *self.maybe(0.3, self.side("<aside>", "</aside>")),
+            *self.maybe(0.2, [(0, f"<form><p>{self.plain(3, 14)}</p></form>")]),
+            *self.maybe(0.2, self.side("<div>", "</div>")),
+            *self.maybe(0.8, [(0, f"<footer>&copy; {self.plain(3, 20)}</footer>")]),
+        ]
+
+    def with_names(self) -> list[Part]:
+        """Divisions named by class or id alone."""
+        name = self.rng.choice(('class="post-content"', 'id="content"', 'class="entry"', 'class="story"'))
+        return [
+            *self.around(self.links(self.rng.randint(2, 8)), '<ul id="menu">', "</ul>"),
+            *self.maybe(0.4, self.side('<div class="cookie-notice">', "</div>")),
+            *self.around(self.article(), f"<div {name}>", "</div>"),
+            *self.maybe(0.4, self.side('<div id="comments">', "</div>")),
+            *self.maybe(0.4, self.side('<div class="sidebar">', "</div>")),
+            *self.maybe(0.3, [(0, f'<div class="share">{self.plain(2, 5)}</div>')]),
+            *self.maybe(0.5, [(0, f'<div class="footer">&copy; {self.plain(2, 12)}</div>')]),
+        ]
+
+    def without(self, shell: str = "p") -> list[Part]:
+        """No containers: links in front and behind, small print at the end."""
+        return [
+            *self.maybe(0.8, self.links(self.rng.randint(3, 9), shell=self.rng.choice(("li", "div", "td")))),
+            *self.article(shell),
+            *self.maybe(0.6, self.links(self.rng.randint(3, 8), 1, 6, self.rng.choice(("li", "div")))),
+            *self.maybe(0.4, self.small_print()),
+        ]
+
+    def misnamed(self) -> list[Part]:
+        """All of a page within a wrapper that is named after a part of it."""
+        name = self.rng.choice(('class="with-sidebar"', 'class="page widget"', 'id="search-page"', 'class="no-comments banner"'))
+        return self.around(self.without(), f"<div {name}>", "</div>")
+
+    def bare(self) -> list[Part]:
+        shell = self.rng.choice(("p", "div"))
+        return [(1, f"<{shell}>{self.plain(1, 60)}</{shell}>") for _ in range(self.rng.randint(1, 4))]
+
+
+def labelled_pages(pages: int = PAGES, seed: int = SEED) -> list[list[Part]]:
+    """The labelled table: the blocks of made-up pages of five kinds in turn."""
+    w = _Writer(seed)
+    kinds = (w.with_elements, w.without, w.with_names, w.with_elements, w.misnamed, w.bare)
+    return [kinds[i % len(kinds)]() for i in range(pages)]
+
+
+def labelled_rows(pages: list[list[Part]]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, keep) of the blocks of labelled pages."""
     rows, keep = [], []
-    for page in LABELLED:
+    for page in pages:
         found = blocks("".join(part for _, part in page))
         if len(found) != len(page):
             raise ValueError("the labelled table must have one block a part")
         rows.append(features(found))
         keep += [k == 1 for k, _ in page]
-    return Tree.grow(np.vstack(rows), np.array(keep))
+    return np.vstack(rows), np.array(keep)
+
+
+@functools.cache
+def tree() -> Tree:
+    """The tree grown on the labelled table."""
+    return Tree.grow(*labelled_rows(labelled_pages()))
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, judge: Tree | None = None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    keep = tree().judge(features(found))
+    keep = (judge or tree()).judge(features(found))
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
+    judge = tree()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x.as_py()) for x in batch.column(2)]
+            texts = [main_text(x.as_py(), judge) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return only(pages, "page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
