@@ -1,32 +1,45 @@
-"""LM scoring by logistic context mixing (operator 9).
+"""LM scoring by online logistic context mixing over whole texts (operator 9).
 
-A text is lower-cased (A-Z), cut into words at ASCII white space, and closed by one end token.  The model spells a token byte
-by byte and bit by bit: hashed contexts of the last one to four bytes and of the whole beginning of the word each predict the
-next bit from counts, a gated set of weights mixes their logits, and an adaptive map refines the mix.  A token's probability is
-the product over its bits, so the model is a proper one; a text's is the product over its tokens.
+A text is lower-cased (A-Z), cut into words at ASCII white space, and closed by one end token.  The model spells every token byte
+by byte and bit by bit, given the tokens before it.  Hashed contexts each predict the next bit from counts: the last one to four
+bytes (which reach into the word before), the token's whole beginning, and that beginning together with the end of the word
+before.  Weights chosen by a gate mix their logits, and an adaptive map refines the mix.  A document's own words so far then
+predict its next one as well, with a share that follows how often the document has repeated itself up to there; so every text is
+learned as it is read.  All of it is a product of proper distributions over the next token.
+
+A token's first ``OPEN`` bytes are its opening; contexts reach across the border between words there and nowhere else.  What comes
+behind the opening depends on the word alone.  Openings are scored once for each different (last ``TAIL`` bytes of the word
+before, opening) of a block of documents, the rest once for each different word of the corpus.
 
 How it is learned, all from the whole training part (ids whose CRC-32 modulo ten is not zero):
 
-1. Each task codes its documents over dictionaries of at most ``BLOCK_WORDS`` words ("blocks") and writes both, so that texts
-   are read and cut once and never shuffled.
-2. Dictionaries are summed to corpus-wide counts of every word, a table that grows with the corpus.
-3. Words are dealt by range into groups of about ``GROUP_WORDS``, one row each.  A beginning's words lie side by side then, so a
-   group counts its whole beginnings itself, exactly and by 64-bit keys.  Only beginnings of a group's first or last word can go on
-   in another group; their counts are summed over all groups and sent out (a few hundred numbers a group).
-4. Bit counts of the hashed contexts of one to four bytes are summed over all words.  Their tables get ``ROOM`` slots for each
-   different pair of a context and its next byte, as estimated by sketches; two bytes a slot are broadcast.
-5. Weights and the adaptive map are learned online over all words, on each task's share, every token predicted as if it had not
-   been counted itself; the tasks' weights are averaged by tokens seen.
-6. Every word is scored once; words go back to their blocks with count and score, and documents add them up.
+1. Each task codes its documents over dictionaries of at most ``BLOCK_WORDS`` words ("blocks") and writes both, and counts the
+   block's openings; texts are read and cut once and never shuffled.
+2. Dictionaries are summed to corpus-wide counts of every word, and openings to theirs: tables that grow with the corpus.
+3. Words in order are cut into groups in front of every word whose hash ``GROUP_WORDS`` divides, so groups depend on the words
+   alone.  A beginning's words lie side by side, so a group counts its whole beginnings itself, exactly; those of a group's first
+   and last word are summed over all groups and sent out (about a kilobyte a group).  Openings are dealt to shares by hash.
+4. Bit counts of the hashed contexts are summed over all words and openings as whole numbers.  Their tables get ``ROOM`` slots for
+   each different context and next byte, as estimated by sketches, within the sizes of ``TABLES``; beyond the largest, which
+   bounds what is broadcast to about 45 MB, contexts share slots.  Two bytes a slot are broadcast.
+5. Weights are learned online within each group and share, in hash order, every byte predicted as if it had not been counted
+   itself; they are averaged by how often each gate was met, in whole numbers, as are the adaptive map's counts.
+6. Words go back to their blocks with count and score, where documents add them up.
+
+Nothing depends on partitions, tasks or the order of files (but for the last digits of sums).  Of a token only the first ``HEAD``
+bytes have whole beginnings; very long tokens are scored to their end by the last four bytes, in pieces of ``STEP`` bytes, so
+memory does not grow with them.
 
 Null text is empty: the end token alone.  A null doc_id counts as the empty text (held out).  Repeated rows count and are scored
-each.  Empty table: no rows.  With nothing to learn from every count is zero and bits are even.
+each.  Extra columns, also ones whose names clash, are ignored.  Empty table: no rows.  With nothing to learn from every count is
+zero and bits are even.
 """
 
 from __future__ import annotations
 
+import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +49,32 @@ from pyspark.sql import functions as F
 
 from .tables import only, written
 
-END = b"\n"
+END, SPACE = b"\n", b" "
 #: A block's dictionary is closed at this many words, or its documents at this many tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 400_000, 6_000_000
-#: Contexts: last bytes (0: the whole beginning of the word) and the table's least slots, as powers of two; the whole beginning has
-#: no table where its exact counts are given.
-ORDERS = ((1, 16), (2, 18), (3, 20), (4, 21), (0, 22))
-SLOTS = sum(1 << s for _, s in ORDERS)
+#: Bytes of a token's opening, of the word before that it sees, and of a token that have whole beginnings.
+OPEN, TAIL, HEAD = 3, 3, 32
+#: Hashed tables and their least and greatest sizes, as powers of two: last one to four bytes, opening behind a word's end, opening.
+TABLES = (("last 1", 16, 20), ("last 2", 18, 22), ("last 3", 20, 22), ("last 4", 21, 22), ("across", 20, 22), ("opening", 16, 22))
+INPUTS, ACROSS, WHOLE = len(TABLES), 4, 5
 CHUNK = 1 << 12
-#: Words of a group that counts its whole beginnings, about, and of the partitions that groups are cut from, about; slots for each
-#: different context and next byte; a sketch's registers.
-GROUP_WORDS, PART_WORDS, ROOM, REGISTERS = 25_000, 100_000, 8, 1 << 12
-#: Words that a task of the counting step takes, about; its tables are summed after.
-WORDS_A_TASK, LEAST_TASKS, MOST_TASKS = 2_000_000, 8, 256
-PRIOR, STIFF, SMOOTH = 0.4, 20.0, 0.1
-GATES, BUCKETS = 8 * 9, 33
-STEP, LEARN_STEP, BEND = 2000, 1000, 4
+#: Words of a group, about, and openings of a share; slots for each different context and next byte; a sketch's registers.
+GROUP_WORDS, SHARE_OPENINGS, ROOM, REGISTERS = 25_000, 50_000, 8, 1 << 12
+#: Words or openings that a task of the counting step takes, about, for each table that it hands on.
+WORDS_A_TASK = 2_000_000
+PRIOR, STIFF, SMOOTH = 0.1, 20.0, 0.1
+#: A gate: place in the token (first, second, third byte, behind), how sure two contexts are, and the bit's number.
+GATES, BUCKETS = 4 * 9 * 8, 33
+#: Bytes looked at together when scoring and learning; steps between updates of the curvature.
+STEP, LEARN_STEP, BEND = 32_768, 4_096, 4
+#: A weight moves by this much a step at most: where a mix is sure and wrong its curvature says nothing.
+MOVE = 0.1
+#: Whole numbers a unit of weight.
+UNITS = 1 << 16
+#: Greatest share of a document's own words in a prediction, and the strength of its first guess, in tokens.
+CACHE, CACHE_PRIOR = 0.5, 5.0
+#: Tokens of a block that are added up at once.
+TOKENS = 1_000_000
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -60,17 +83,37 @@ def held_out(doc_id: int | None) -> bool:
 
 # ---- 1: blocks --------------------------------------------------------------------------------------------------------
 
-_BLOCKS = "block long, word binary, at int, n long, doc_id long, held_out boolean, n_tokens long, n_bytes long, codes binary"
-_ROW = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("codes", pa.binary())])
+_ROW = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.int32()), ("n", pa.int64()), ("opening", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("codes", pa.binary())])
+_BLOCKS = "block long, word binary, at int, n long, opening long, doc_id long, held_out boolean, n_tokens long, n_bytes long, codes binary"
+_START = 10  # what stands before a text's first token
+
+
+def ends_of(word: bytes) -> int:
+    """A word's last bytes above its opening, each as a number; what is missing is zero."""
+    tail = int.from_bytes(word[-TAIL:], "big") if word != END else _START
+    return tail << 8 * OPEN | int.from_bytes((word if word == END else word + SPACE)[:OPEN].ljust(OPEN, b"\0"), "big")
+
+
+def opening_keys(codes: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of documents one after the other, which begin at ``firsts``: each token's opening under the end of the word before."""
+    before = np.empty(len(codes), np.int64)
+    before[1:] = ends[codes[:-1]] >> 8 * OPEN
+    before[firsts] = _START
+    return before << 8 * OPEN | ends[codes] & (1 << 8 * OPEN) - 1
+
+
+def _row_batch(m: int, **given: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(m, f.type)) for f in _ROW], schema=_ROW)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two kinds of rows: a block's words with their training counts, and its documents as word numbers."""
+    """Three kinds of rows: a block's words with their training counts, its openings with theirs, its documents as word numbers."""
     base, k = TaskContext.get().partitionId() << 32, 0
     numbers: dict[bytes, int] = {}
     learned = np.zeros(0, np.int64)
     docs: list[tuple] = []
     tokens = 0
+    codec = pa.Codec("zstd")
 
     def closed() -> Iterator[pa.RecordBatch]:
         nonlocal numbers, learned, docs, tokens, k
@@ -78,13 +121,23 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a in range(0, len(words), 50_000):
             part = words[a : a + 50_000]
             m = len(part)
-            empty = lambda t: pa.nulls(m, t)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, base + k)), pa.array(part, pa.binary()), pa.array(np.arange(a, a + m, dtype=np.int32)), pa.array(learned[a : a + m]), empty(pa.int64()), empty(pa.bool_()), empty(pa.int64()), empty(pa.int64()), empty(pa.binary())], schema=_ROW)
+            yield _row_batch(m, block=pa.array(np.full(m, base + k)), word=pa.array(part, pa.binary()), at=pa.array(np.arange(a, a + m, dtype=np.int32)), n=pa.array(learned[a : a + m]))
+        ends = np.fromiter(map(ends_of, words), np.int64, len(words))
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
+        for part in _token_chunks([d[-1] for d in docs if not d[1]]):
+            codes = np.concatenate(part)
+            firsts = np.cumsum([0, *map(len, part)])[:-1]
+            sums.append(np.unique(opening_keys(codes, firsts, ends), return_counts=True))
+        if sums:
+            keys, back = np.unique(np.concatenate([s[0] for s in sums]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([s[1] for s in sums])).astype(np.int64)
+            for a in range(0, len(keys), 100_000):
+                yield _row_batch(len(keys[a : a + 100_000]), opening=pa.array(keys[a : a + 100_000]), n=pa.array(n[a : a + 100_000]))
         for a in range(0, len(docs), 2000):
             part = docs[a : a + 2000]
-            m = len(part)
-            cols = list(zip(*part, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, base + k)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), *(pa.array(c, f.type) for c, f in zip(cols, list(_ROW)[4:], strict=True))], schema=_ROW)
+            ids, held, size, codes = zip(*part, strict=True)
+            packed = [codec.compress(c.tobytes(), asbytes=True) for c in codes]
+            yield _row_batch(len(part), block=pa.array(np.full(len(part), base + k)), doc_id=pa.array(ids, pa.int64()), held_out=pa.array(held), n_tokens=pa.array(list(map(len, codes)), pa.int64()), n_bytes=pa.array(size, pa.int64()), codes=pa.array(packed, pa.binary()))
         numbers, learned, docs, tokens, k = {}, np.zeros(0, np.int64), [], 0, k + 1
 
     for batch in batches:
@@ -99,7 +152,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 learned = np.concatenate([learned, np.zeros(max(len(numbers) - len(learned), len(learned), 1024), np.int64)])
             if not held:
                 np.add.at(learned, codes, 1)
-            docs.append((doc_id, held, len(words), len(whole), codes.tobytes()))
+            docs.append((doc_id, held, len(whole), codes))
             tokens += len(words)
             if len(numbers) >= BLOCK_WORDS or tokens >= BLOCK_TOKENS:
                 yield from closed()
@@ -107,34 +160,137 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from closed()
 
 
-# ---- the model ----------------------------------------------------------------------------------------------------------
+def _token_chunks(docs: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Whole documents, about ``TOKENS`` tokens at once."""
+    held, n = [], 0
+    for d in docs:
+        held.append(d)
+        n += len(d)
+        if n >= TOKENS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+# ---- contexts ----------------------------------------------------------------------------------------------------------
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of words in a row: their bytes (with a space behind each but the end token), where each begins, and each byte's contexts."""
-    ends = [w if w == END else w + b" " for w in words]
-    size = np.array([len(w) for w in ends])
-    starts = np.cumsum(size) - size
-    flat = np.frombuffer(b"".join(ends), np.uint8)
-    place = np.arange(len(flat)) - np.repeat(starts, size)
-    big = flat.astype(np.uint64) + np.uint64(1)
-    contexts = []
-    for order, _ in ORDERS:
-        if order:
-            h = np.full(len(flat), order, np.uint64)
-            for back in range(1, order + 1):
-                before = np.zeros(len(flat), np.uint64)
-                before[back:] = big[:-back]
-                before[place < back] = 0
-                h = (h * np.uint64(257) + before) * _M1
-        else:
-            power = np.cumprod(np.full(int(size.max(initial=1)) + 1, _M2, np.uint64), dtype=np.uint64)
-            total = np.concatenate([[np.uint64(0)], np.cumsum(big * power[place], dtype=np.uint64)])
-            h = total[:-1] - np.repeat(total[starts], size) + np.uint64(77)
-        contexts.append(h ^ h >> np.uint64(31))
-    return flat, starts, contexts
+def _hashed(seed: int, *parts: np.ndarray) -> np.ndarray:
+    h = np.full(len(parts[0]) if parts else 1, seed, np.uint64)
+    for p in parts:
+        h = (h * np.uint64(257) + p) * _M1
+    return h ^ h >> np.uint64(31)
+
+
+class Openings:
+    """Openings place by place: which of them have a byte there, that byte, and its contexts by table."""
+
+    def __init__(self, keys: np.ndarray):
+        self.n = len(keys)
+        seq = [(keys >> 8 * k & 255).astype(np.uint64) for k in range(TAIL + OPEN - 1, -1, -1)]
+        self.tail, self.bytes = seq[:TAIL], seq[TAIL:]
+
+    def places(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """(place, which, byte, contexts)."""
+        alive = np.ones(self.n, bool)
+        for p in range(OPEN):
+            at = np.flatnonzero(alive)
+            before = [x[at] + np.uint64(1) for x in (*self.tail, np.full(self.n, SPACE[0], np.uint64), *self.bytes[:p])]
+            last = [_hashed(k, *before[: -k - 1 : -1]) for k in range(1, 5)]
+            own = [x[at] + np.uint64(1) for x in self.bytes[:p]]
+            where = np.full(len(at), p, np.uint64)
+            yield p, at, self.bytes[p][at].astype(np.uint8), [*last, _hashed(91, where, *before[:TAIL], *own), _hashed(92, where, *own)]
+            alive &= (self.bytes[p] != SPACE[0]) & (self.bytes[p] != END[0])
+
+
+class Words:
+    """The bytes behind the openings of sorted words: each one's owner and contexts, and the counts of whole beginnings.
+
+    ``steps`` hands out (owner, byte, contexts, counts by bit) in pieces; very long tokens come in pieces of their own.
+    """
+
+    def __init__(self, words: list[bytes], times: np.ndarray):
+        self.words, self.times = words, times
+        tokens = [w if w == END else w[:HEAD] + SPACE if len(w) < HEAD else w[:HEAD] for w in words]
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        starts = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(tokens), np.uint8)
+        place = np.arange(len(flat)) - np.repeat(starts, size)
+        at = np.flatnonzero(place >= OPEN)
+        self.place = place[at]
+        self.owner = np.repeat(np.arange(len(words)), size)[at]
+        self.byte = flat[at]
+        self.last = _last_four(flat, place, at)
+        big = flat.astype(np.uint64) + np.uint64(1)
+        power = np.cumprod(np.full(HEAD + 1, _M2, np.uint64), dtype=np.uint64)
+        total = np.concatenate([[np.uint64(0)], np.cumsum(big * power[place], dtype=np.uint64)])
+        h = total[:-1] - np.repeat(total[starts], size) + np.uint64(77)
+        self.whole = (h ^ h >> np.uint64(31))[at]
+        self.long = [i for i, w in enumerate(words) if len(w) >= HEAD]
+
+    def beginnings(self, word: int) -> np.ndarray:
+        """Contexts of the whole beginnings that a word has."""
+        return self.whole[self.owner == word]
+
+    def count_whole(self, shared: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        """Counts (zero, one) by bit of each different beginning and next byte; of the beginnings in ``shared`` those of all groups."""
+        weight = self.times[self.owner].astype(float)
+        different, number = np.unique(self.whole, return_inverse=True)
+        keys, back = np.unique(number * 256 + self.byte, return_inverse=True)  # a node's bytes are a run of these
+        total = np.bincount(back, weight, len(keys))
+        context, byte, n = shared
+        lo, hi = np.searchsorted(context, different), np.searchsorted(context, different, "right")
+        others = {int(d): (a, b) for d, a, b in zip(np.flatnonzero(hi > lo), lo[hi > lo], hi[hi > lo], strict=True)}
+        if others:  # next bytes that only other groups have count as well
+            extra = np.concatenate([np.array([d], np.int64).repeat(b - a) * 256 + byte[a:b] for d, (a, b) in others.items()])
+            counts = np.concatenate([n[a:b] for a, b in others.values()])
+            every = np.union1d(keys, extra)
+            more = np.zeros(len(every))
+            more[np.searchsorted(every, keys)] = total
+            more[np.searchsorted(every, extra)] = counts
+            back = np.searchsorted(every, keys)[back]
+            keys, total = every, more
+        self.back = back
+        self.counts = []
+        for k, _, bit in walk((keys & 255).astype(np.uint8)):
+            new = np.diff(keys >> (8 - k), prepend=-1) != 0
+            first = np.flatnonzero(new)
+            n = np.stack([np.add.reduceat(total * (bit == v), first) for v in (0, 1)], axis=1).astype(np.float32) if len(first) else np.zeros((0, 2), np.float32)
+            self.counts.append(n[np.cumsum(new) - 1])
+
+    def steps(self, size: int, learned_only: bool, by_hash: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]]:
+        at = np.flatnonzero(self.times[self.owner] > 0) if learned_only else np.arange(len(self.owner))
+        if by_hash:  # not by the alphabet
+            rank = np.argsort(np.argsort([zlib.crc32(w[:HEAD]) for w in self.words], kind="stable"), kind="stable")
+            at = at[np.argsort(rank[self.owner[at]], kind="stable")]
+        for a in range(0, len(at), size):
+            i = at[a : a + size]
+            counts = [c[self.back[i]] for c in self.counts] if hasattr(self, "counts") else []
+            yield self.owner[i], self.byte[i], [x[i] for x in self.last], counts
+        for w in self.long:
+            if self.times[w] > 0 or not learned_only:
+                token = self.words[w][HEAD - 4 :] + SPACE
+                for a in range(4, len(token), size):
+                    flat = np.frombuffer(token[a - 4 : a + size], np.uint8)
+                    place = np.arange(len(flat))
+                    i = place[4:]
+                    none = np.zeros((len(i), 2), np.float32)
+                    yield np.full(len(i), w), flat[i], _last_four(flat, place, i), [none] * 8
+
+
+def _last_four(flat: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Contexts of the last one to four bytes at some bytes; none reaches over a token's beginning."""
+    before = []
+    for back in range(1, 5):
+        x = np.zeros(len(at), np.uint64)
+        there = place[at] >= back
+        x[there] = flat[at[there] - back].astype(np.uint64) + np.uint64(1)
+        x[place[at] == back - 1] = SPACE[0] + 1
+        before.append(x)
+    return [_hashed(k, *before[:k]) for k in range(1, 5)]
 
 
 def _slots(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -151,6 +307,8 @@ def walk(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         node = node * 2 + bit
 
 
+# ---- the model ----------------------------------------------------------------------------------------------------------
+
 #: Counts are kept as eighths of the binary logarithm of one more than them.
 _COUNT = (2.0 ** (np.arange(256) / 8) - 1).astype(np.float32)
 
@@ -159,42 +317,53 @@ def packed_counts(n: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.rint(8 * np.log2(1 + n))).astype(np.uint8)
 
 
-class Mixer:
-    """Counts of all contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit.
+def least_bits() -> tuple[int, ...]:
+    return tuple(low for _, low, _ in TABLES)
 
-    bits: each order's slots, as powers of two.  ``own`` of the methods: by bit position, each byte's counts of the whole beginning.
-    """
 
-    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None, bits: tuple[int, ...] = tuple(s for _, s in ORDERS)):
-        self.counts, self.bits = counts, bits
-        self.offsets = np.cumsum([0, *(1 << s for s in bits)])[:-1]
-        self.weights = np.full((GATES, len(ORDERS)), 1.0 / 3, np.float64) if weights is None else weights
-        grid = np.linspace(-8, 8, BUCKETS)
-        even = 1 / (1 + np.exp(-grid))
+class Mixer:
+    """Counts of all hashed contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit."""
+
+    def __init__(self, counts: np.ndarray, bits: tuple[int, ...] | None = None, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
+        self.counts, self.bits = counts, bits or least_bits()
+        self.offsets = np.cumsum([0, *(1 << s for s in self.bits)])[:-1]
+        self.weights = np.full((GATES, INPUTS), 1.0 / 3) if weights is None else weights
+        even = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
         self.refined = np.tile(even, (GATES, 1)) if refined is None else refined
-        self.seen = np.zeros((2, GATES, BUCKETS))
-        self.curves = np.tile(np.eye(len(ORDERS)) * STIFF, (GATES, 1, 1))
-
-    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray, leave_out: bool, own: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(logits by order, gate) of one bit of many bytes; leave_out: as if the bit itself had been counted once less."""
-        logits = np.empty((len(ORDERS), len(node)), np.float32)
-        level = []
-        for o, (order, _) in enumerate(ORDERS):
-            if order or own is None:
-                pair = _COUNT[self.counts[self.offsets[o] + _slots(contexts[o], node, self.bits[o])]]
-            else:
-                pair = own[k]
-            zero, one = pair[:, 0], pair[:, 1]
-            if leave_out:
-                one, zero = np.maximum(0, one - bit), np.maximum(0, zero - (1 - bit))
-            logits[o] = np.log((one + PRIOR) / (zero + PRIOR))
-            if o >= len(ORDERS) - 2:
-                n = zero + one
-                level.append((n > 0.5).astype(np.int64) + (n > 6))
-        return logits, (level[0] * 3 + level[1]) * 8 + k
-
-    def mix(self, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("no,on->n", self.weights[gate], logits), -12, 12)
+        self.start()
+
+    def start(self) -> None:
+        """Forget what was learned: each group learns from the same beginning."""
+        self.now = self.weights.copy()
+        self.met = np.zeros(GATES)
+        self.curves = np.tile(np.eye(INPUTS) * STIFF, (GATES, 1, 1))
+        self.step = 0
+
+    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray, place: int, leave_out: bool, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(logits by context, gate) of one bit of many bytes; leave_out: as if the bit itself had been counted once less.
+
+        ``own``: counts of whole beginnings behind an opening, where nothing reaches across.
+        """
+        logits = np.zeros((INPUTS, len(node)), np.float32)
+        sure = {}
+        for o, c in enumerate(contexts):
+            logits[o], sure[o] = self._said(_COUNT[self.counts[self.offsets[o] + _slots(c, node, self.bits[o])]], bit, leave_out)
+        if own is not None:
+            logits[WHOLE], sure[WHOLE] = self._said(own, bit, leave_out)
+        a, b = (3, WHOLE) if own is not None else (3, ACROSS)
+        return logits, ((place * 3 + sure[a]) * 3 + sure[b]) * 8 + k
+
+    @staticmethod
+    def _said(pair: np.ndarray, bit: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
+        zero, one = pair[:, 0], pair[:, 1]
+        if leave_out:
+            one, zero = np.maximum(0, one - bit), np.maximum(0, zero - (1 - bit))
+        n = zero + one
+        return np.log((one + PRIOR) / (zero + PRIOR)), (n > 0.5).astype(np.int64) + (n > 6)
+
+    @staticmethod
+    def mix(weights: np.ndarray, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        return np.clip(np.einsum("no,on->n", weights[gate], logits), -12, 12)
 
     def refine(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """The probability of a one bit: three parts the mix, one part what such mixes came to."""
@@ -204,74 +373,116 @@ class Mixer:
         said = self.refined[gate, low] * (1 - part) + self.refined[gate, low + 1] * part
         return np.clip(0.75 / (1 + np.exp(-x)) + 0.25 * said, 1e-6, 1 - 1e-6)
 
-    def learn(self, words: list[bytes], times: np.ndarray, late: bool, bent: bool = True, own: list[np.ndarray] | None = None) -> None:
-        """One online step a bit position: of each gate, along the loss's slope over its curvature summed so far (online Newton).
+    def learn(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, weight: np.ndarray, own: list[np.ndarray] | None, seen: np.ndarray) -> None:
+        """One online step a bit: of each gate, along the loss's slope over its curvature summed so far (online Newton).
 
-        bent: add this step's curvature, for itself and for the ``BEND - 1`` steps behind it that leave it out.
+        Every ``BEND``-th step adds its curvature, for itself and for those that leave it out.
         """
-        flat, starts, contexts = spelled(words)
-        weight = np.repeat(times, np.diff(np.append(starts, len(flat)))).astype(float)
-        n = len(ORDERS)
-        for k, node, bit in walk(flat):
-            logits, gate = self.inputs(contexts, node, k, bit, True, own)
-            x = self.mix(logits, gate)
+        bent = self.step % BEND == 0
+        late = self.step >= 2
+        self.step += 1
+        for k, node, bit in walk(byte):
+            logits, gate = self.inputs(contexts, node, k, bit, place, True, None if own is None else own[k])
+            x = self.mix(self.now, logits, gate)
             p = 1 / (1 + np.exp(-x))
             miss, bend = (bit - p) * weight, p * (1 - p) * weight
-            slope = np.empty((GATES, n))
-            for o in range(n):
-                slope[:, o] = np.bincount(gate, miss * logits[o], GATES)
-                for q in range(o + 1 if bent else 0):
-                    c = BEND * np.bincount(gate, bend * logits[o] * logits[q], GATES)
-                    self.curves[:, o, q] += c
-                    if q != o:
-                        self.curves[:, q, o] += c
-            self.weights += np.linalg.solve(self.curves, slope[:, :, None])[:, :, 0]
+            met = np.unique(gate)
+            local = np.searchsorted(met, gate)
+            slope = np.stack([np.bincount(local, miss * logits[o], len(met)) for o in range(INPUTS)], axis=1)
+            if bent:
+                for o in range(INPUTS):
+                    for q in range(o + 1):
+                        c = BEND * np.bincount(local, bend * logits[o] * logits[q], len(met))
+                        self.curves[met, o, q] += c
+                        if q != o:
+                            self.curves[met, q, o] += c
+            self.now[met] += np.clip(np.linalg.solve(self.curves[met], slope[:, :, None])[:, :, 0], -MOVE, MOVE)
+            self.met += np.bincount(gate, weight, GATES)
             if late:
-                at = np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)
-                np.add.at(self.seen, (0, gate, at), weight)
-                np.add.at(self.seen, (1, gate, at), weight * bit)
-
-    def score(self, words: list[bytes], own: list[np.ndarray] | None = None) -> np.ndarray:
-        """log10 of each word's probability."""
-        flat, starts, contexts = spelled(words)
-        total = np.zeros(len(flat))
-        for k, node, bit in walk(flat):
-            logits, gate = self.inputs(contexts, node, k, bit, False, own)
-            p = self.refine(self.mix(logits, gate), gate)
+                at = gate * BUCKETS + np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)
+                n = GATES * BUCKETS
+                seen += np.stack([np.bincount(at, weight, n), np.bincount(at, weight * bit, n)]).astype(np.int64)
+
+    def log10(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, own: list[np.ndarray] | None = None) -> np.ndarray:
+        """log10 of each byte's probability."""
+        total = np.zeros(len(byte))
+        for k, node, bit in walk(byte):
+            logits, gate = self.inputs(contexts, node, k, bit, place, False, None if own is None else own[k])
+            p = self.refine(self.mix(self.weights, logits, gate), gate)
             total += np.log10(np.where(bit == 1, p, 1 - p))
-        return np.add.reduceat(total, starts) if len(words) else total
+        return total
 
+    def opening_scores(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
+        for a in range(0, len(keys), STEP):
+            for p, at, byte, contexts in Openings(keys[a : a + STEP]).places():
+                out[a + at] += self.log10(byte, contexts, p)
+        return out
 
-# ---- 3: groups and whole beginnings -----------------------------------------------------------------------------------
+    def word_scores(self, group: Words) -> np.ndarray:
+        out = np.zeros(len(group.words))
+        for owner, byte, contexts, own in group.steps(STEP, False):
+            out += np.bincount(owner, self.log10(byte, contexts, OPEN, own), len(out))
+        return out
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for about ``GROUP_WORDS`` words, which no reader can cut; words come sorted."""
-    held: list[pa.RecordBatch] = []
+# ---- 3: groups and shares, whole beginnings at their edges -------------------------------------------------------------
 
-    def row() -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held)
-        lists = [pa.array([whole.column(i).to_pylist()], pa.list_(t)) for i, t in enumerate((pa.binary(), pa.int64()))]
-        return pa.RecordBatch.from_arrays(lists, names=["words", "times"])
 
-    for batch in batches:
-        for a in range(0, batch.num_rows, GROUP_WORDS):
-            held.append(batch.slice(a, GROUP_WORDS))
-            if sum(x.num_rows for x in held) >= GROUP_WORDS:
-                yield row()
-                held = []
-    if held:
-        yield row()
+def _numbered(cuts: list[bytes]):
+    """(group, word, c): a word's group is how many cuts are not behind it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [bisect.bisect_right(cuts, w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0), batch.column(1)], names=["part", "value", "n"])
+
+    return run
+
+
+def _packed(kind: pa.DataType):
+    """Rows (part, value, n) in order -> one row a part, which no reader can cut."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, values, n = None, [], []
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([pa.concat_arrays(values)], pa.list_(kind)), pa.array([pa.concat_arrays(n)], pa.list_(pa.int64()))], names=["vals", "times"])
+
+        for batch in batches:
+            part = batch.column(0).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if part[a] != now and values:
+                    yield row()
+                    values, n = [], []
+                now = part[a]
+                values.append(batch.column(1).slice(a, b - a).cast(kind))
+                n.append(batch.column(2).slice(a, b - a))
+        if values:
+            yield row()
+
+    return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def packed(parts: DataFrame, n_parts: int, order: str, kind: str, name: str) -> DataFrame:
+    """(part, value, n) -> (vals, times): one row a part, values in order."""
+    dealt = parts.repartitionByRange(max(1, n_parts), "part").sortWithinPartitions("part", order).select("part", "value", "n")
+    return written(dealt.mapInArrow(_packed(pa.binary() if kind == "binary" else pa.int64()), f"vals array<{kind}>, times array<long>"), name)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     for batch in batches:
         for words, times in zip(batch.column(0), batch.column(1), strict=True):
-            yield words.as_py(), times.values.to_numpy()
+            yield Words(words.as_py(), times.values.to_numpy())
 
 
-def _sizes(words: list[bytes]) -> np.ndarray:
-    return np.array([len(w) + (w != END) for w in words])
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for keys, times in zip(batch.column(0), batch.column(1), strict=True):
+            yield keys.values.to_numpy(), times.values.to_numpy()
 
 
 def sketch(grams: np.ndarray) -> np.ndarray:
@@ -292,103 +503,103 @@ def sketched(registers: np.ndarray) -> float:
     return m * np.log(m / none) if raw < 2.5 * m and none else raw
 
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Next bytes of the beginnings that a group may share with others (context, byte, n); at the end a row of sketches by order."""
-    seen = np.zeros((len(ORDERS), REGISTERS), np.uint8)
-    for words, times in _groups(batches):
-        shared = spelled([words[0], words[-1]])[2][-1]
-        for a in range(0, len(words), 20_000):
-            part = words[a : a + 20_000]
-            flat, _, contexts = spelled(part)
-            weight = np.repeat(times[a : a + 20_000], _sizes(part))
-            learned = weight > 0
-            for o, (order, _) in enumerate(ORDERS):
-                if order:
-                    seen[o] = np.maximum(seen[o], sketch(np.unique(((contexts[o] * np.uint64(257) + flat) * _M1)[learned])))
-            at = learned & np.isin(contexts[-1], shared)
-            keys, back = np.unique(np.stack([contexts[-1][at], flat[at].astype(np.uint64)]), axis=1, return_inverse=True)
-            n = np.bincount(back.reshape(-1), weight[at], keys.shape[1]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[0].view(np.int64)), pa.array(keys[1].astype(np.int32)), pa.array(n), pa.nulls(len(n), pa.binary())], names=["context", "byte", "n", "seen"])
-    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())], names=["context", "byte", "n", "seen"])
-
-
-def edges(groups: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[int, ...]]:
-    """(contexts in order, counts [context, node, bit]) of the beginnings at groups' edges, and the tables' slots as powers of two."""
-    found = written(groups.mapInArrow(_edges, "context long, byte int, n long, seen binary"), "edges")
-    seen = np.zeros((len(ORDERS), REGISTERS), np.uint8)
-    for row in found.where("seen is not null").select("seen").toLocalIterator():
-        seen = np.maximum(seen, np.frombuffer(row.seen, np.uint8).reshape(seen.shape))
-    bits = tuple(max(s, int(np.ceil(np.log2(max(1.0, ROOM * sketched(r)))))) if order else 0 for (order, s), r in zip(ORDERS, seen, strict=True))
-    rows = found.where("context is not null").groupBy("context", "byte").agg(F.sum("n").alias("n")).toPandas()
-    contexts, at = np.unique(rows["context"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    counts = np.zeros((len(contexts), 256, 2), np.float32)
-    for _, node, bit in walk(rows["byte"].to_numpy(np.uint8)):
-        np.add.at(counts, (at, node, bit), rows["n"].to_numpy(np.float32))
-    return (contexts, counts), bits
+def _sketch_into(seen: np.ndarray, contexts: list[np.ndarray], byte: np.ndarray) -> None:
+    for o, c in enumerate(contexts):
+        seen[o] = np.maximum(seen[o], sketch(np.unique((c * np.uint64(257) + byte) * _M1)))
 
 
-def own_counts(words: list[bytes], times: np.ndarray, shared: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(by bit position: counts (zero, one) of different beginnings and next bytes; which of those each byte is).
+_EDGES = "context long, byte int, n long, t int, seen binary"
+
+
+def _sketch_rows(seen: np.ndarray) -> pa.RecordBatch:
+    m = len(seen)
+    return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.array(np.arange(m, dtype=np.int32)), pa.array([x.tobytes() for x in seen], pa.binary())], names=["context", "byte", "n", "t", "seen"])
 
-    They are the group's own, or at its edges those of all groups.
-    """
-    flat, _, contexts = spelled(words)
-    weight = np.repeat(times, _sizes(words)).astype(float)
-    different, number = np.unique(contexts[-1], return_inverse=True)
-    keys, back = np.unique(number * 256 + flat, return_inverse=True)  # a node's bytes are a run of these
-    total = np.bincount(back, weight, len(keys))
-    edge = np.minimum(np.searchsorted(shared[0], different), max(0, len(shared[0]) - 1))
-    at_edge = shared[0][edge] == different if len(shared[0]) else np.zeros(len(different), bool)
-    edge, at_edge = edge[keys >> 8], at_edge[keys >> 8]
-    out = []
-    for k, node, bit in walk((keys & 255).astype(np.uint8)):
-        new = np.diff(keys >> (8 - k), prepend=-1) != 0
-        first = np.flatnonzero(new)
-        n = np.stack([np.add.reduceat(total * (bit == v), first) for v in (0, 1)], axis=1).astype(np.float32)[np.cumsum(new) - 1]
-        n[at_edge] = shared[1][edge[at_edge], node[at_edge]]
-        out.append(n)
-    return out, back
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Next bytes of the beginnings that a group may share with others (context, byte, n); at the end a sketch a table."""
+    seen = np.zeros((INPUTS, REGISTERS), np.uint8)
+    for group in _groups(batches):
+        for _, byte, contexts, _ in group.steps(1 << 20, True):
+            _sketch_into(seen, contexts, byte)
+        mine = np.concatenate([group.beginnings(0), group.beginnings(len(group.words) - 1)])
+        at = np.flatnonzero(np.isin(group.whole, mine) & (group.times[group.owner] > 0))
+        keys, back = np.unique(np.stack([group.whole[at], group.byte[at].astype(np.uint64)]), axis=1, return_inverse=True)
+        n = np.bincount(back.reshape(-1), group.times[group.owner[at]], keys.shape[1]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[0].view(np.int64)), pa.array(keys[1].astype(np.int32)), pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["context", "byte", "n", "t", "seen"])
+    yield _sketch_rows(seen)
+
+
+def _opening_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros((INPUTS, REGISTERS), np.uint8)
+    for keys, _ in _shares(batches):
+        for _, _, byte, contexts in Openings(keys).places():
+            _sketch_into(seen, contexts, byte)
+    yield _sketch_rows(seen)
+
+
+def _most(group: pa.Table) -> pa.Table:
+    seen = np.zeros(REGISTERS, np.uint8)
+    for x in group.column("seen"):
+        seen = np.maximum(seen, np.frombuffer(x.as_py(), np.uint8))
+    return pa.table({"t": group.column("t").slice(0, 1), "seen": pa.array([seen.tobytes()], pa.binary())})
+
+
+def edges(groups: DataFrame, shares: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[int, ...]]:
+    """(context, byte, n) of the beginnings at groups' edges, in order, and the tables' slots as powers of two."""
+    found = written(groups.mapInArrow(_edges, _EDGES).unionByName(shares.mapInArrow(_opening_sketches, _EDGES)), "edges")
+    different = {r.t: sketched(np.frombuffer(r.seen, np.uint8)) for r in found.where("seen is not null").groupBy("t").applyInArrow(_most, "t int, seen binary").collect()}
+    bits = tuple(min(high, max(low, int(np.ceil(np.log2(max(1.0, ROOM * different.get(t, 0.0))))))) for t, (_, low, high) in enumerate(TABLES))
+    rows = found.where("context is not null").groupBy("context", "byte").agg(F.sum("n").alias("n")).toPandas()
+    context, byte, n = rows["context"].to_numpy(np.int64).view(np.uint64), rows["byte"].to_numpy(np.int64), rows["n"].to_numpy(float)
+    order = np.lexsort((byte, context))
+    return (context[order], byte[order], n[order]), bits
 
 
 # ---- 4: context counts ------------------------------------------------------------------------------------------------
 
 
-def _counted(bits: tuple[int, ...]):
-    size = -(-sum(1 << s for (order, _), s in zip(ORDERS, bits, strict=True) if order) // CHUNK) * CHUNK
+def _count_into(table: np.ndarray, offsets: np.ndarray, bits: tuple[int, ...], byte: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray) -> None:
+    for _, node, bit in walk(byte):
+        for o, c in enumerate(contexts):
+            np.add.at(table, (offsets[o] + _slots(c, node, bits[o])) * 2 + bit, weight)
+
+
+def _counted(bits: tuple[int, ...], of_openings: bool):
+    size = -(-sum(1 << s for s in bits) // CHUNK) * CHUNK
     offsets = np.cumsum([0, *(1 << s for s in bits)])[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((size, 2), np.float32)
-        for words, times in _groups(batches):
-            learned = np.flatnonzero(times > 0)
-            for a in range(0, len(learned), STEP):
-                at = learned[a : a + STEP]
-                part = [words[i] for i in at]
-                flat, _, contexts = spelled(part)
-                weight = np.repeat(times[at], _sizes(part)).astype(np.float32)
-                for _, node, bit in walk(flat):
-                    for o, (order, _) in enumerate(ORDERS):
-                        if order:
-                            np.add.at(table.reshape(-1), (offsets[o] + _slots(contexts[o], node, bits[o])) * 2 + bit, weight)
+        table = np.zeros(size * 2)  # whole numbers, exact up to 2**53
+        if of_openings:
+            for keys, times in _shares(batches):
+                for _, at, byte, contexts in Openings(keys).places():
+                    _count_into(table, offsets, bits, byte, contexts, times[at].astype(float))
+        else:
+            for group in _groups(batches):
+                for owner, byte, contexts, _ in group.steps(1 << 17, True):
+                    _count_into(table, offsets, bits, byte, contexts, group.times[owner].astype(float))
         chunks = table.reshape(-1, CHUNK * 2)
-        used = np.nonzero(chunks.any(axis=1))[0]
-        for k in used.tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([chunks[k].tobytes()], pa.binary())], names=["chunk", "counts"])
+        for k in np.flatnonzero(chunks.any(axis=1)).tolist():
+            at = np.flatnonzero(chunks[k])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([chunks[k][at].astype(np.int64).tobytes()], pa.binary())], names=["chunk", "at", "n"])
 
     return size, run
 
 
 def _summed(group: pa.Table) -> pa.Table:
     total = np.zeros(CHUNK * 2)
-    for x in group.column("counts"):
-        total += np.frombuffer(x.as_py(), np.float32)
+    for at, n in zip(group.column("at"), group.column("n"), strict=True):
+        total[np.frombuffer(at.as_py(), np.uint16)] += np.frombuffer(n.as_py(), np.int64)
     return pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()], pa.int64()), "packed": pa.array([packed_counts(total).tobytes()], pa.binary())})
 
 
-def context_counts(groups: DataFrame, bits: tuple[int, ...], tasks: int) -> np.ndarray:
-    """Packed counts of the contexts of one to four bytes; two bytes a slot reach the driver."""
-    size, run = _counted(bits)
-    found = groups.coalesce(tasks).mapInArrow(run, "chunk long, counts binary")
+def context_counts(groups: DataFrame, shares: DataFrame, bits: tuple[int, ...], tasks: tuple[int, int]) -> np.ndarray:
+    """Packed counts of the hashed contexts; two bytes a slot reach the driver."""
+    size, of_words = _counted(bits, False)
+    _, of_openings = _counted(bits, True)
+    schema = "chunk long, at binary, n binary"
+    found = groups.coalesce(tasks[0]).mapInArrow(of_words, schema).unionByName(shares.coalesce(tasks[1]).mapInArrow(of_openings, schema))
     out = np.zeros((size // CHUNK, CHUNK * 2), np.uint8)
     for row in found.groupBy("chunk").applyInArrow(_summed, "chunk long, packed binary").collect():
         out[row.chunk] = np.frombuffer(row.packed, np.uint8)
@@ -398,74 +609,113 @@ def context_counts(groups: DataFrame, bits: tuple[int, ...], tasks: int) -> np.n
 # ---- 5 and 6: weights and scores --------------------------------------------------------------------------------------
 
 
-def _steps(words: list[bytes], own: tuple[list[np.ndarray], np.ndarray], step: int) -> Iterator[tuple[int, list[bytes], list[np.ndarray]]]:
-    ends = np.concatenate([[0], np.cumsum(_sizes(words))])
-    for a in range(0, len(words), step):
-        part = words[a : a + step]
-        yield a, part, [x[own[1][ends[a] : ends[a + len(part)]]] for x in own[0]]
+def _learned(make: Callable[[], Mixer], shared, of_openings: bool):
+    """A task's sums in whole numbers, (number, sum): weights times meetings by gate, meetings, and the map's counts."""
 
-
-def _learned(counts, shared, bits: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, tokens, step = Mixer(counts.value, bits=bits), 0.0, 0
-        for words, times in _groups(batches):
-            order = np.random.default_rng(len(words)).permutation(np.flatnonzero(times > 0))  # not by the alphabet
-            if not len(order):
-                continue
-            words, times = [words[i] for i in order], times[order]
-            for a, part, own in _steps(words, own_counts(words, times, shared.value), LEARN_STEP):
-                t = times[a : a + len(part)]
-                mixer.learn(part, t, step >= 2, step % BEND == 0, own)
-                tokens, step = tokens + float(t.sum()), step + 1
-        if step:
-            yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.seen.tobytes()], pa.binary())], names=["tokens", "weights", "seen"])
+        mixer = make()
+        weights, met = np.zeros((GATES, INPUTS), np.int64), np.zeros(GATES, np.int64)
+        seen = np.zeros((2, GATES * BUCKETS), np.int64)
+
+        def part_done() -> None:
+            n = np.rint(mixer.met).astype(np.int64)
+            weights[:] += np.rint(mixer.now * UNITS).astype(np.int64) * n[:, None]
+            met[:] += n
+            mixer.start()
+
+        if of_openings:
+            for keys, times in _shares(batches):
+                for a in range(0, len(keys), LEARN_STEP):
+                    for p, at, byte, contexts in Openings(keys[a : a + LEARN_STEP]).places():
+                        mixer.learn(byte, contexts, p, times[a + at].astype(float), None, seen)
+                part_done()
+        else:
+            for group in _groups(batches):
+                group.count_whole(shared.value)
+                for owner, byte, contexts, own in group.steps(LEARN_STEP, True, by_hash=True):
+                    mixer.learn(byte, contexts, OPEN, group.times[owner].astype(float), own, seen)
+                part_done()
+        every = np.concatenate([weights.ravel(), met, seen.ravel()])
+        at = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(every[at])], names=["i", "v"])
 
     return run
 
 
-def _fit(groups: DataFrame, counts, shared, bits: tuple[int, ...], tasks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights averaged by tokens, and the adaptive map of what all tasks saw; one small row a task reaches the driver."""
-    rows = groups.coalesce(tasks).mapInArrow(_learned(counts, shared, bits), "tokens double, weights binary, seen binary").collect()
-    mixer = Mixer(counts.value, bits=bits)
-    total, weights, seen = 0.0, np.zeros_like(mixer.weights), np.zeros_like(mixer.seen)
-    for r in rows:
-        weights += r.tokens * np.frombuffer(r.weights).reshape(weights.shape)
-        seen += np.frombuffer(r.seen).reshape(seen.shape)
-        total += r.tokens
-    if not total:
-        return mixer.weights, mixer.refined
-    return weights / total, (seen[1] + 20 * mixer.refined) / (seen[0] + 20)
+def _fit(groups: DataFrame, shares: DataFrame, make: Callable[[], Mixer], shared) -> tuple[np.ndarray, np.ndarray]:
+    """Weights averaged by meetings, and the adaptive map of what all groups and shares saw; a few numbers a gate reach the driver."""
+    rows = groups.mapInArrow(_learned(make, shared, False), "i long, v long").unionByName(shares.mapInArrow(_learned(make, shared, True), "i long, v long"))
+    every = np.zeros(GATES * INPUTS + GATES + 2 * GATES * BUCKETS)
+    for r in rows.groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).collect():
+        every[r.i] = float(r.v)
+    weights, met, seen = np.split(every, [GATES * INPUTS, GATES * INPUTS + GATES])
+    mixer = make()
+    weights, seen = weights.reshape(GATES, INPUTS) / UNITS, seen.reshape(2, GATES, BUCKETS)
+    weights = np.where(met[:, None] > 0, weights / np.maximum(met, 1)[:, None], mixer.weights)
+    return weights, (seen[1] + 20 * mixer.refined) / (seen[0] + 20)
 
 
-def _word_scores(counts, shared, bits: tuple[int, ...], weights: np.ndarray, refined: np.ndarray):
+def _word_scores(make: Callable[[], Mixer], shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(counts.value, weights, refined, bits)
-        for words, times in _groups(batches):
-            for a, part, own in _steps(words, own_counts(words, times, shared.value), STEP):
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(times[a : a + len(part)]), pa.array(mixer.score(part, own))], names=["word", "c", "s"])
+        mixer = make()
+        for group in _groups(batches):
+            group.count_whole(shared.value)
+            said = mixer.word_scores(group)
+            ends = np.fromiter(map(ends_of, group.words), np.int64, len(said))
+            for a in range(0, len(said), 20_000):
+                b = slice(a, a + 20_000)
+                yield pa.RecordBatch.from_arrays([pa.array(group.words[b], pa.binary()), pa.array(group.times[b]), pa.array(said[b].astype(np.float32)), pa.array(ends[b])], names=["word", "c", "s", "ends"])
 
     return run
 
 
-def _added(n: int, v: int):
+def with_own_words(codes: np.ndarray, firsts: np.ndarray, said: np.ndarray) -> np.ndarray:
+    """log10 probabilities of tokens (of documents that begin at ``firsts``) once each document's words so far predict as well.
+
+    A document that has come to token ``i`` having repeated ``r`` of its tokens gives its own words ``CACHE * r / (i + CACHE_PRIOR)``
+    of the prediction, shared out by how often each was met.
+    """
+    n = len(codes)
+    doc = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, n)))
+    i = np.arange(n) - firsts[doc]
+    order = np.lexsort((codes, doc))
+    new = np.ones(n, bool)
+    new[1:] = (codes[order[1:]] != codes[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
+    run = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    times = np.empty(n)
+    times[order] = np.arange(n) - run  # how often the token was met before
+    again = np.cumsum(times > 0) - (times > 0)
+    share = CACHE * (again - again[firsts][doc]) / (i + CACHE_PRIOR)
+    return np.log10((1 - share) * 10.0**said + share * times / np.maximum(i, 1))
+
+
+def _added(n: int, v: int, make: Callable[[], Mixer]):
     bottom = n + SMOOTH * (v + 1)
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         m = words.num_rows
-        c, s = np.zeros(m, np.int64), np.zeros(m)
+        c, s, ends = np.zeros(m, np.int64), np.zeros(m), np.zeros(m, np.int64)
         at = words.column("at").to_numpy()
-        c[at], s[at] = words.column("c").to_numpy(), words.column("s").to_numpy()
+        c[at], s[at], ends[at] = words.column("c").to_numpy(), words.column("s").to_numpy(), words.column("ends").to_numpy()
         base = np.log10((c + SMOOTH) / bottom)
+        codec = pa.Codec("zstd")
+        coded = [np.frombuffer(codec.decompress(x.as_py(), 4 * k, asbytes=True), np.int32) for x, k in zip(docs.column("codes"), docs.column("n_tokens").to_pylist(), strict=True)]
+        chunks = [(np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1]) for part in _token_chunks(coded)]
+        del coded
+        keys = np.zeros(0, np.int64)
+        for codes, firsts in chunks:
+            keys = np.union1d(keys, opening_keys(codes, firsts, ends))
+        opened = make().opening_scores(keys)
         known, b, x = [], [], []
-        for codes in docs.column("codes"):
-            code = np.frombuffer(codes.as_py(), np.int32)
-            known.append(int((c[code] > 0).sum()))
-            b.append(float(base[code].sum()))
-            x.append(float(s[code].sum()))
-        k = docs.num_rows
+        for codes, firsts in chunks:
+            said = s[codes] + opened[np.searchsorted(keys, opening_keys(codes, firsts, ends))]
+            known.append(np.add.reduceat((c[codes] > 0).astype(np.int64), firsts))
+            b.append(np.add.reduceat(base[codes], firsts))
+            x.append(np.add.reduceat(with_own_words(codes, firsts, said), firsts))
+        known, b, x = (np.concatenate(y) for y in (known, b, x))
         n_bytes = docs.column("n_bytes").to_pylist()
-        bits = [-y / np.log10(2) / z if z else None for y, z in zip(x, n_bytes, strict=True)]
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n_tokens"), "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array(np.full(k, n)), "base_score": pa.array(b, pa.float64()), "score": pa.array(x, pa.float64()), "n_bytes": pa.array(n_bytes, pa.int64()), "bits_per_byte": pa.array(bits, pa.float64())})
+        bits = [-y / np.log10(2) / z if z else None for y, z in zip(x.tolist(), n_bytes, strict=True)]
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n_tokens"), "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(x), n)), "base_score": pa.array(b), "score": pa.array(x), "n_bytes": pa.array(n_bytes, pa.int64()), "bits_per_byte": pa.array(bits, pa.float64())})
 
     return run
 
@@ -481,15 +731,24 @@ def score(docs: DataFrame) -> DataFrame:
     words = written(listed.groupBy("word").agg(F.sum("n").alias("c")), "words")
     got = words.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v")).first()
     n, v = got.n or 0, got.v or 0
-    tasks = min(MOST_TASKS, max(LEAST_TASKS, -(-got.d // WORDS_A_TASK)))
-    sorted_words = words.select("word", "c").repartitionByRange(max(1, -(-got.d // PART_WORDS)), "word").sortWithinPartitions("word")
-    groups = written(sorted_words.mapInArrow(_grouped, "words array<binary>, times array<long>"), "groups")
-    at_edges, bits = edges(groups)
+    opened = written(blocks.where("opening is not null").groupBy("opening").agg(F.sum("n").alias("n")), "openings")
+    n_opened = opened.count()
+
+    cut = words.where((F.pmod(F.xxhash64("word"), F.lit(GROUP_WORDS)) == 0) & (F.length("word") <= HEAD)).select("word")
+    cuts = sorted(bytes(r.word) for r in cut.collect())
+    groups = packed(words.select("word", "c").mapInArrow(_numbered(cuts), "part int, value binary, n long"), len(cuts) + 1, "value", "binary", "groups")
+    n_shares = max(1, -(-n_opened // SHARE_OPENINGS))
+    dealt = opened.select(F.pmod(F.xxhash64("opening"), F.lit(n_shares)).cast("int").alias("part"), F.col("opening").alias("value"), "n", F.xxhash64("opening", F.lit(1)).alias("h"))
+    shares = packed(dealt, n_shares, "h", "bigint", "shares")
+
+    at_edges, bits = edges(groups, shares)
     shared = spark.sparkContext.broadcast(at_edges)
-    counts = spark.sparkContext.broadcast(context_counts(groups, bits, tasks))
-    weights, refined = _fit(groups, counts, shared, bits, tasks)
-    scored = groups.mapInArrow(_word_scores(counts, shared, bits, weights, refined), "word binary, c long, s double")
-    back = listed.join(scored, "word").select(F.col("block").alias("of_block"), "at", "c", "s")
+    a_task = lambda k: max(8, -(-k // WORDS_A_TASK))
+    counts = spark.sparkContext.broadcast(context_counts(groups, shares, bits, (a_task(got.d), a_task(n_opened))))
+    weights, refined = _fit(groups, shares, lambda: Mixer(counts.value, bits), shared)
+    make = lambda: Mixer(counts.value, bits, weights, refined)
+    scored = groups.mapInArrow(_word_scores(make, shared), "word binary, c long, s float, ends long")
+    back = listed.select("block", "word", "at").join(scored, "word").select(F.col("block").alias("of_block"), "at", "c", "s", "ends")
     coded = blocks.where("codes is not null").select("block", "doc_id", "held_out", "n_tokens", "n_bytes", "codes")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    return coded.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(_added(n, v), schema)
+    return coded.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(_added(n, v, make), schema)
