@@ -501,10 +501,133 @@ def test_lm_score(spark, docs, none, real):
     assert sorted(key((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score)) for r in got) == sorted(map(key, brute_base(ODD)))
     rows = lm_score.score(table(spark, "documents")).collect()
     assert sorted(key((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score)) for r in rows) == sorted(map(key, brute_base(real.items())))
-    held = [r for r in rows if r.held_out]
-    bits = -sum(r.score for r in held) / math.log10(2) / sum(len(real[r.doc_id].encode()) for r in held)
-    assert bits < 3.0  # the bytes' own entropy is over four bits
     assert lm_score.score(none).count() == 0
+    held = [r for r in rows if r.held_out]
+    bits = -sum(r.score for r in held) / math.log10(2) / sum(r.n_bytes for r in held)
+    assert bits < order_two_bits(real) - 0.1 and sum(r.score > r.base_score for r in held) > 0.3 * len(held)
+
+
+def order_two_bits(texts):
+    """Bits per byte of the held-out texts under counts of the last two bytes, interpolated with those of one and none."""
+    flat = lambda t: b" ".join([w.encode() for w in words_of(lowered(t))] + [b"\n"])
+    seen = [Counter(), Counter(), Counter()]
+    tops = [Counter(), Counter(), Counter()]
+    total = n = 0
+    for held in (False, True):
+        for i, t in texts.items():
+            if (zlib.crc32(str(i).encode()) % 10 == 0) != held:
+                continue
+            x = b"\n\n" + flat(t)
+            for at in range(2, len(x)):
+                p = 1 / 256
+                for k in range(3):
+                    c = x[at - k : at]
+                    if held:
+                        p = (seen[k][c, x[at]] + 4 * p) / (tops[k][c] + 4)
+                    else:
+                        seen[k][c, x[at]] += 1
+                        tops[k][c] += 1
+                total -= math.log2(p) if held else 0
+            n += len((t or "").encode()) if held else 0
+    return total / n
+
+
+def spelled(word):
+    return word if word == b"\n" else word + b" "
+
+
+def brute_scores(rows, weights, refined):
+    """Scores by plain loops over texts, bytes and bits, with contexts as they are instead of hashed."""
+    docs = [(i, [w.encode() for w in words_of(lowered(t))] + [b"\n"]) for i, t in rows]
+
+    def contexts(before, token, p):
+        tail = b"\0\0\n" if before is None else before[-3:].rjust(3, b"\0")
+        if p < 3:
+            seq = tail + b" " + token[:p]
+            return [*((k, seq[-k:]) for k in range(1, 5)), ("across", p, tail, token[:p]), ("opening", token[:p])]
+        seq = b" " + token[:p]
+        return [*((k, seq[-k:]) for k in range(1, 5)), None, ("whole", token[:p]) if p < lm_score.HEAD else ("none",)]
+
+    def steps(words):
+        for before, word in zip([None, *words], words, strict=False):
+            token = spelled(word)
+            yield [(contexts(before, token, p), p, token[p]) for p in range(len(token))]
+
+    counts = Counter()
+    for i, words in docs:
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 10:
+            for token in steps(words):
+                for cs, _, byte in token:
+                    for k in range(8):
+                        for c in cs:
+                            if c not in (None, ("none",)):
+                                counts[c, byte >> 8 - k, k, byte >> 7 - k & 1] += 1
+    out = []
+    for _, words in docs:
+        met, again, total = Counter(), 0, 0.0
+        for at, (word, token) in enumerate(zip(words, steps(words), strict=True)):
+            p_word = 1.0
+            for cs, p, byte in token:
+                for k in range(8):
+                    bit, logits, sure = byte >> 7 - k & 1, [], []
+                    for c in cs:
+                        pair = [counts[c, byte >> 8 - k, k, v] for v in (0, 1)]
+                        if c is not None and c[0] not in ("whole", "none"):
+                            pair = [2 ** (min(255, round(8 * math.log2(1 + n))) / 8) - 1 for n in pair]
+                        logits.append(0.0 if c is None else math.log((pair[1] + lm_score.PRIOR) / (pair[0] + lm_score.PRIOR)))
+                        sure.append((sum(pair) > 0.5) + (sum(pair) > 6))
+                    gate = ((min(p, 3) * 3 + sure[3]) * 3 + sure[4 if p < 3 else 5]) * 8 + k
+                    x = max(-12.0, min(12.0, sum(w * v for w, v in zip(weights[gate], logits, strict=True))))
+                    place = max(0.0, min(lm_score.BUCKETS - 1.001, (x + 8) * 2))
+                    low = int(place)
+                    said = refined[gate, low] * (low + 1 - place) + refined[gate, low + 1] * (place - low)
+                    one = max(1e-6, min(1 - 1e-6, 0.75 / (1 + math.exp(-x)) + 0.25 * said))
+                    p_word *= one if bit else 1 - one
+            share = lm_score.CACHE * again / (at + lm_score.CACHE_PRIOR)
+            total += math.log10((1 - share) * p_word + share * met[word] / max(at, 1))
+            again += met[word] > 0
+            met[word] += 1
+        out.append(total)
+    return out
+
+
+def test_scores_against_plain_loops(spark, monkeypatch):
+    """Given weights and map, with groups and shares of a few words and long tokens in pieces."""
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 7)
+    monkeypatch.setattr(lm_score, "SHARE_OPENINGS", 9)
+    rng = np.random.default_rng(6)
+    weights = rng.normal(0.3, 0.2, (lm_score.GATES, lm_score.INPUTS))
+    refined = np.sort(rng.uniform(0.01, 0.99, (lm_score.GATES, lm_score.BUCKETS)), axis=1)
+    monkeypatch.setattr(lm_score, "_fit", lambda *_: (weights, refined))
+    words = ["a", "ab", "abc", "abcd", "abca", "b" * 31, "b" * 32, "b" * 33, "bbbbbc", "c" * 150, "é", "ßx", "abcdefghijkl", "The", "of"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 14)))) for i in range(40)] + [(60, "d" * 33_000 + " of"), (None, "ab of"), (3, None), (50, "x\0y \0")]
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = sorted((str(i), round(x, 3)) for (i, _), x in zip(rows, brute_scores(rows, weights, refined), strict=True))
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 0.01 for a, b in zip(sorted((str(r.doc_id), r.score) for r in got), want, strict=True))
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 1500)
+    docs, said = table(spark, "documents"), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 16, 211):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            said.append({r.doc_id: r.score for r in lm_score.score(docs.repartition(min(n, 16))).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in said[1:]:
+        assert all(math.isclose(x, other[i], rel_tol=1e-9) for i, x in said[0].items())
+
+
+def test_order_of_words_counts(spark, real):
+    """Contexts reach across words: a text with its words shuffled scores worse."""
+    rng = random.Random(2)
+    known = {i: t for i, t in real.items() if len(words_of(t)) > 100}
+    rows = list(known.items()) + [(10_000 + 10 * i, " ".join(rng.sample(words_of(t), len(words_of(t))))) for i, t in known.items()]
+    got = {r.doc_id: (r.held_out, r.score) for r in lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = [(got[i][1], got[10_000 + 10 * i][1]) for i in known if not got[i][0] and got[10_000 + 10 * i][0]]
+    assert len(pairs) > 5 and sum(a > b for a, b in pairs) == len(pairs)
 
 
 def test_bits_per_byte(spark, docs):
@@ -515,55 +638,60 @@ def test_bits_per_byte(spark, docs):
         assert not r.n_bytes or math.isclose(r.bits_per_byte * r.n_bytes, -r.score / math.log10(2))
 
 
-def test_whole_beginnings_are_counted_exactly(spark, monkeypatch):
+def packed_words(spark, times, n_parts):
+    cuts = sorted(w for w in times if zlib.crc32(w) % max(1, len(times) // n_parts) == 0)
+    rows = spark.createDataFrame([(bytearray(w), c) for w, c in times.items()], "word binary, c long").repartition(3)
+    return lm_score.packed(rows.mapInArrow(lm_score._numbered(cuts), "part int, value binary, n long"), len(cuts) + 1, "value", "binary", "groups")
+
+
+def test_whole_beginnings_are_counted_exactly(spark):
     """Words met once count, and groups of a few words know what the others hold of a beginning that they share."""
-    monkeypatch.setattr(lm_score, "GROUP_WORDS", 4)
     rng = np.random.default_rng(2)
     times = {bytes(rng.choice(list(b"abc"), rng.integers(1, 7))): int(rng.integers(0, 4)) for _ in range(60)} | {lm_score.END: 3}
-    df = spark.createDataFrame([(bytearray(w), c) for w, c in times.items()], "word binary, c long").repartitionByRange(12, "word").sortWithinPartitions("word")
-    rows = df.mapInArrow(lm_score._grouped, "words array<binary>, times array<long>")
-    groups = [([bytes(w) for w in r.words], np.array(r.times)) for r in rows.collect()]
-    assert len(groups) > 5
-    shared, bits = lm_score.edges(rows)
-    ended = {w if w == lm_score.END else w + b" ": c for w, c in times.items()}
-    for words, n in groups:
-        tables, which = lm_score.own_counts(words, n, shared)
-        spelled = [(w if w == lm_score.END else w + b" ", i) for w in words for i in range(len(w) + (w != lm_score.END))]
-        for k in range(8):
-            for j, (w, i) in enumerate(spelled):
-                like = [(x[i] >> 7 - k & 1, c) for x, c in ended.items() if x[:i] == w[:i] and len(x) > i and x[i] >> 8 - k == w[i] >> 8 - k]
-                assert tables[k][which[j]].tolist() == [sum(c for b, c in like if b == v) for v in (0, 1)]
+    rows = packed_words(spark, times, 12)
+    none = spark.createDataFrame([], "vals array<bigint>, times array<long>")
+    shared, _ = lm_score.edges(rows, none)
+    groups = [lm_score.Words([bytes(w) for w in r.vals], np.array(r.times)) for r in rows.collect()]
+    assert len(groups) > 4 and sorted(w for g in groups for w in g.words) == sorted(times)
+    ended = {spelled(w): c for w, c in times.items()}
+    for g in groups:
+        g.count_whole(shared)
+        for j, (w, p) in enumerate(zip(g.owner, g.place, strict=True)):
+            x = spelled(g.words[w])
+            for k in range(8):
+                like = [(y[p] >> 7 - k & 1, c) for y, c in ended.items() if y[:p] == x[:p] and len(y) > p and y[p] >> 8 - k == x[p] >> 8 - k]
+                assert g.counts[k][g.back[j]].tolist() == [sum(c for b, c in like if b == v) for v in (0, 1)]
 
 
 def test_tables_grow_with_the_corpus(spark):
     rng = np.random.default_rng(4)
     words = sorted({bytes(x) for x in rng.integers(128, 256, (60_000, 8), np.uint8)})
-    rows = spark.createDataFrame([([bytearray(w) for w in words], [1] * len(words))], "words array<binary>, times array<long>")
-    _, bits = lm_score.edges(rows)
-    grams = len({w[i : i + 5] for w in words for i in range(4)})
-    assert 2 ** bits[3] > 4 * grams > 2 ** lm_score.ORDERS[3][1] / 4 and bits[3] > lm_score.ORDERS[3][1]
+    rows = spark.createDataFrame([([bytearray(w) for w in words], [1] * len(words))], "vals array<binary>, times array<long>")
+    _, bits = lm_score.edges(rows, spark.createDataFrame([], "vals array<bigint>, times array<long>"))
+    assert bits[3] > lm_score.TABLES[3][1] and all(b <= high for b, (_, _, high) in zip(bits, lm_score.TABLES, strict=True))
     assert abs(lm_score.sketched(lm_score.sketch(np.arange(200_000, dtype=np.uint64))) / 200_000 - 1) < 0.1
 
 
 def test_model_is_a_distribution():
-    counts = np.zeros((lm_score.SLOTS, 2), np.uint8)
-    counts[:] = np.random.default_rng(0).integers(0, 40, counts.shape)
-    mixer = lm_score.Mixer(counts)
-    letters = [bytes([b]) for b in range(256) if b not in b" \n"]
-    one = 10.0 ** mixer.score(letters)
-    assert one.sum() < 1 and 10.0 ** mixer.score([lm_score.END])[0] < 1
-    # Every next byte after "a", the closing space among them, comes to one in all.
+    rng = np.random.default_rng(0)
+    mixer = lm_score.Mixer(rng.integers(0, 40, (sum(1 << b for b in lm_score.least_bits()), 2)).astype(np.uint8))
+    tail = int.from_bytes(b"xyz", "big") << 24
+    # All bytes behind "ab", one of them the closing space; and all behind an opening, with whole beginnings met 3 and 5 times.
+    keys = np.array([tail | int.from_bytes(b"ab" + bytes([c]), "big") for c in range(256)])
+    places = list(lm_score.Openings(keys).places())
+    assert abs((10 ** mixer.log10(places[2][2], places[2][3], 2)).sum() - 1) < 1e-9
+    flat, place = np.frombuffer(b"".join(b"abc" + bytes([c]) for c in range(256)), np.uint8), np.tile(np.arange(4), 256)
+    at = np.flatnonzero(place == 3)
+    own = [np.tile(np.array([[3.0, 5.0]], np.float32), (256, 1))] * 8
+    assert abs((10 ** mixer.log10(flat[at], lm_score._last_four(flat, place, at), 3, own)).sum() - 1) < 1e-9
+    # A text's own words: the shares come to one over the vocabulary.
+    codes, firsts = np.array([0, 1, 0, 2, 0]), np.array([0])
     total = 0.0
-    flat, starts, contexts = lm_score.spelled([b"ab"])
-    for byte in range(256):
-        flat = np.array([ord("a"), byte, ord(" ")], np.uint8)
-        p = 1.0
-        for k, node, bit in lm_score.walk(flat):
-            logits, gate = mixer.inputs(contexts, node, k, bit, False)
-            x = mixer.refine(mixer.mix(logits, gate), gate)[1]
-            p *= x if bit[1] else 1 - x
-        total += p
-    assert abs(total - 1) < 1e-9
+    for last in range(4):
+        said = np.log10(np.array([0.4, 0.3, 0.2, 0.1]))
+        with_last = np.append(codes[:-1], last)
+        total += 10 ** lm_score.with_own_words(with_last, firsts, said[with_last])[-1]
+    assert abs(total - 1) < 1e-12
 
 
 # ---- 10 -------------------------------------------------------------------------------------------------------------------
