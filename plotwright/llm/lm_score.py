@@ -38,6 +38,7 @@ zero and bits are even.
 from __future__ import annotations
 
 import bisect
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -209,7 +210,8 @@ class Openings:
 class Words:
     """The bytes behind the openings of sorted words: each one's owner and contexts, and the counts of whole beginnings.
 
-    ``steps`` hands out (owner, byte, contexts, counts by bit) in pieces; very long tokens come in pieces of their own.
+    ``steps`` hands out (owner, byte, contexts, what whole beginnings say by bit) in pieces; very long tokens come in pieces of
+    their own.
     """
 
     def __init__(self, words: list[bytes], times: np.ndarray):
@@ -230,13 +232,17 @@ class Words:
         h = total[:-1] - np.repeat(total[starts], size) + np.uint64(77)
         self.whole = (h ^ h >> np.uint64(31))[at]
         self.long = [i for i, w in enumerate(words) if len(w) >= HEAD]
+        self.said: list[tuple[np.ndarray, np.ndarray]] = []
 
     def beginnings(self, word: int) -> np.ndarray:
         """Contexts of the whole beginnings that a word has."""
         return self.whole[self.owner == word]
 
-    def count_whole(self, shared: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        """Counts (zero, one) by bit of each different beginning and next byte; of the beginnings in ``shared`` those of all groups."""
+    def count_whole(self, shared: tuple[np.ndarray, np.ndarray, np.ndarray], leave_out: bool = False) -> None:
+        """Counts (zero, one) by bit of each different beginning and next byte; of the beginnings in ``shared`` those of all groups.
+
+        What they say is kept with them; leave_out: as if each bit had been counted once less.
+        """
         weight = self.times[self.owner].astype(float)
         different, number = np.unique(self.whole, return_inverse=True)
         keys, back = np.unique(number * 256 + self.byte, return_inverse=True)  # a node's bytes are a run of these
@@ -254,22 +260,23 @@ class Words:
             back = np.searchsorted(every, keys)[back]
             keys, total = every, more
         self.back = back
-        self.counts = []
+        self.counts, self.said = [], []
         for k, _, bit in walk((keys & 255).astype(np.uint8)):
             new = np.diff(keys >> (8 - k), prepend=-1) != 0
             first = np.flatnonzero(new)
             n = np.stack([np.add.reduceat(total * (bit == v), first) for v in (0, 1)], axis=1).astype(np.float32) if len(first) else np.zeros((0, 2), np.float32)
             self.counts.append(n[np.cumsum(new) - 1])
+            self.said.append(_said(self.counts[-1][:, 0], self.counts[-1][:, 1], bit if leave_out else None))
 
-    def steps(self, size: int, learned_only: bool, by_hash: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]]:
+    def steps(self, size: int, learned_only: bool, by_hash: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]]:
         at = np.flatnonzero(self.times[self.owner] > 0) if learned_only else np.arange(len(self.owner))
         if by_hash:  # not by the alphabet
             rank = np.argsort(np.argsort([zlib.crc32(w[:HEAD]) for w in self.words], kind="stable"), kind="stable")
             at = at[np.argsort(rank[self.owner[at]], kind="stable")]
         for a in range(0, len(at), size):
             i = at[a : a + size]
-            counts = [c[self.back[i]] for c in self.counts] if hasattr(self, "counts") else []
-            yield self.owner[i], self.byte[i], [x[i] for x in self.last], counts
+            back = self.back[i] if self.said else None
+            yield self.owner[i], self.byte[i], [x[i] for x in self.last], [(logit[back], sure[back]) for logit, sure in self.said]
         for w in self.long:
             if self.times[w] > 0 or not learned_only:
                 token = self.words[w][HEAD - 4 :] + SPACE
@@ -277,8 +284,8 @@ class Words:
                     flat = np.frombuffer(token[a - 4 : a + size], np.uint8)
                     place = np.arange(len(flat))
                     i = place[4:]
-                    none = np.zeros((len(i), 2), np.float32)
-                    yield np.full(len(i), w), flat[i], _last_four(flat, place, i), [none] * 8
+                    nothing = (np.zeros(len(i), np.float32), np.zeros(len(i), np.uint8))
+                    yield np.full(len(i), w), flat[i], _last_four(flat, place, i), [nothing] * 8
 
 
 def _last_four(flat: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -321,11 +328,31 @@ def least_bits() -> tuple[int, ...]:
     return tuple(low for _, low, _ in TABLES)
 
 
+def _said(zero: np.ndarray, one: np.ndarray, bit: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(logit, how sure from 0 to 2) that counts give; with ``bit`` as if it had been counted once less."""
+    if bit is not None:
+        one, zero = np.maximum(0, one - bit), np.maximum(0, zero - (1 - bit))
+    n = zero + one
+    return np.log((one + PRIOR) / (zero + PRIOR)).astype(np.float32), (n > 0.5).astype(np.uint8) + (n > 6)
+
+
+@functools.cache
+def _tables_said() -> tuple[np.ndarray, np.ndarray]:
+    """What every pair of packed counts says, as it is and as if a zero or a one had been counted once less: [3 * 65536]."""
+    zero, one = np.repeat(_COUNT, 256), np.tile(_COUNT, 256)
+    parts = [_said(zero, one, None), _said(zero, one, np.zeros(len(zero), np.int64)), _said(zero, one, np.ones(len(zero), np.int64))]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
 class Mixer:
-    """Counts of all hashed contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit."""
+    """Counts of all hashed contexts (``counts[slot, bit]``, packed), weights by gate and the adaptive map by gate and logit.
+
+    Bits of one number at one place in the token share nine gates, told apart by how sure two of the contexts are.
+    """
 
     def __init__(self, counts: np.ndarray, bits: tuple[int, ...] | None = None, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.counts, self.bits = counts, bits or least_bits()
+        self.bits = bits or least_bits()
+        self.pairs = np.ascontiguousarray(counts, np.uint8).view(">u2").ravel()
         self.offsets = np.cumsum([0, *(1 << s for s in self.bits)])[:-1]
         self.weights = np.full((GATES, INPUTS), 1.0 / 3) if weights is None else weights
         even = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
@@ -339,41 +366,53 @@ class Mixer:
         self.curves = np.tile(np.eye(INPUTS) * STIFF, (GATES, 1, 1))
         self.step = 0
 
-    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray, place: int, leave_out: bool, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(logits by context, gate) of one bit of many bytes; leave_out: as if the bit itself had been counted once less.
+    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray | None, own: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(logits by context, which of the nine gates) of one bit of many bytes; with ``bit`` as if it had been counted once less.
 
-        ``own``: counts of whole beginnings behind an opening, where nothing reaches across.
+        ``own``: what whole beginnings say behind an opening, where nothing reaches across.
         """
+        logit_of, sure_of = _tables_said()
         logits = np.zeros((INPUTS, len(node)), np.float32)
+        shift = None if bit is None else (bit + 1) << 16
         sure = {}
+        spread = node.astype(np.uint64) * _M2
         for o, c in enumerate(contexts):
-            logits[o], sure[o] = self._said(_COUNT[self.counts[self.offsets[o] + _slots(c, node, self.bits[o])]], bit, leave_out)
+            slot = ((c + spread) * _M3 >> np.uint64(64 - self.bits[o])).astype(np.int64)
+            slot += self.offsets[o]
+            pair = self.pairs[slot].astype(np.int64)
+            if shift is not None:
+                pair += shift
+            np.take(logit_of, pair, out=logits[o])
+            if o in (3, ACROSS):
+                sure[o] = sure_of[pair]
         if own is not None:
-            logits[WHOLE], sure[WHOLE] = self._said(own, bit, leave_out)
-        a, b = (3, WHOLE) if own is not None else (3, ACROSS)
-        return logits, ((place * 3 + sure[a]) * 3 + sure[b]) * 8 + k
+            logits[WHOLE], sure[ACROSS] = own
+        return logits, sure[3].astype(np.int64) * 3 + sure[ACROSS]
 
     @staticmethod
-    def _said(pair: np.ndarray, bit: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
-        zero, one = pair[:, 0], pair[:, 1]
-        if leave_out:
-            one, zero = np.maximum(0, one - bit), np.maximum(0, zero - (1 - bit))
-        n = zero + one
-        return np.log((one + PRIOR) / (zero + PRIOR)), (n > 0.5).astype(np.int64) + (n > 6)
+    def gates(place: int, k: int) -> np.ndarray:
+        return (place * 9 + np.arange(9)) * 8 + k
 
     @staticmethod
-    def mix(weights: np.ndarray, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("no,on->n", weights[gate], logits), -12, 12)
+    def mix(weights: np.ndarray, logits: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """``weights``: of the nine gates."""
+        x = np.zeros(len(level))
+        for o in range(INPUTS):
+            x += weights[level, o] * logits[o]
+        return np.clip(x, -12, 12)
 
-    def refine(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        """The probability of a one bit: three parts the mix, one part what such mixes came to."""
+    @staticmethod
+    def refine(refined: np.ndarray, x: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """The probability of a one bit: three parts the mix, one part what such mixes came to (``refined``: of the nine gates)."""
         at = np.clip((x + 8) * 2, 0, BUCKETS - 1.001)
         low = at.astype(np.int64)
         part = at - low
-        said = self.refined[gate, low] * (1 - part) + self.refined[gate, low + 1] * part
+        low += level * BUCKETS
+        flat = refined.ravel()
+        said = flat[low] * (1 - part) + flat[low + 1] * part
         return np.clip(0.75 / (1 + np.exp(-x)) + 0.25 * said, 1e-6, 1 - 1e-6)
 
-    def learn(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, weight: np.ndarray, own: list[np.ndarray] | None, seen: np.ndarray) -> None:
+    def learn(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, weight: np.ndarray, own: list[tuple[np.ndarray, np.ndarray]] | None, seen: np.ndarray) -> None:
         """One online step a bit: of each gate, along the loss's slope over its curvature summed so far (online Newton).
 
         Every ``BEND``-th step adds its curvature, for itself and for those that leave it out.
@@ -382,35 +421,36 @@ class Mixer:
         late = self.step >= 2
         self.step += 1
         for k, node, bit in walk(byte):
-            logits, gate = self.inputs(contexts, node, k, bit, place, True, None if own is None else own[k])
-            x = self.mix(self.now, logits, gate)
+            gates = self.gates(place, k)
+            logits, level = self.inputs(contexts, node, k, bit, None if own is None else own[k])
+            x = self.mix(self.now[gates], logits, level)
             p = 1 / (1 + np.exp(-x))
-            miss, bend = (bit - p) * weight, p * (1 - p) * weight
-            met = np.unique(gate)
-            local = np.searchsorted(met, gate)
-            slope = np.stack([np.bincount(local, miss * logits[o], len(met)) for o in range(INPUTS)], axis=1)
+            miss = (bit - p) * weight
+            slope = np.stack([np.bincount(level, miss * logits[o], 9) for o in range(INPUTS)], axis=1)
             if bent:
+                bend = BEND * p * (1 - p) * weight
+                curves = np.zeros((9, INPUTS, INPUTS))
                 for o in range(INPUTS):
+                    bent_o = bend * logits[o]
                     for q in range(o + 1):
-                        c = BEND * np.bincount(local, bend * logits[o] * logits[q], len(met))
-                        self.curves[met, o, q] += c
-                        if q != o:
-                            self.curves[met, q, o] += c
-            self.now[met] += np.clip(np.linalg.solve(self.curves[met], slope[:, :, None])[:, :, 0], -MOVE, MOVE)
-            self.met += np.bincount(gate, weight, GATES)
+                        curves[:, o, q] = curves[:, q, o] = np.bincount(level, bent_o * logits[q], 9)
+                self.curves[gates] += curves
+            self.now[gates] += np.clip(np.linalg.solve(self.curves[gates], slope[:, :, None])[:, :, 0], -MOVE, MOVE)
+            self.met[gates] += np.bincount(level, weight, 9)
             if late:
-                at = gate * BUCKETS + np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)
-                n = GATES * BUCKETS
-                seen += np.stack([np.bincount(at, weight, n), np.bincount(at, weight * bit, n)]).astype(np.int64)
+                at = level * BUCKETS + np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)
+                n = np.stack([np.bincount(at, weight, 9 * BUCKETS), np.bincount(at, weight * bit, 9 * BUCKETS)]).astype(np.int64)
+                seen.reshape(2, GATES, BUCKETS)[:, gates] += n.reshape(2, 9, BUCKETS)
 
-    def log10(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, own: list[np.ndarray] | None = None) -> np.ndarray:
+    def log10(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, own: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
         """log10 of each byte's probability."""
         total = np.zeros(len(byte))
         for k, node, bit in walk(byte):
-            logits, gate = self.inputs(contexts, node, k, bit, place, False, None if own is None else own[k])
-            p = self.refine(self.mix(self.weights, logits, gate), gate)
-            total += np.log10(np.where(bit == 1, p, 1 - p))
-        return total
+            gates = self.gates(place, k)
+            logits, level = self.inputs(contexts, node, k, None, None if own is None else own[k])
+            p = self.refine(self.refined[gates], self.mix(self.weights[gates], logits, level), level)
+            total += np.log(np.where(bit == 1, p, 1 - p))
+        return total / np.log(10)
 
     def opening_scores(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys))
@@ -631,7 +671,7 @@ def _learned(make: Callable[[], Mixer], shared, of_openings: bool):
                 part_done()
         else:
             for group in _groups(batches):
-                group.count_whole(shared.value)
+                group.count_whole(shared.value, leave_out=True)
                 for owner, byte, contexts, own in group.steps(LEARN_STEP, True, by_hash=True):
                     mixer.learn(byte, contexts, OPEN, group.times[owner].astype(float), own, seen)
                 part_done()
@@ -686,7 +726,9 @@ def with_own_words(codes: np.ndarray, firsts: np.ndarray, said: np.ndarray) -> n
     times[order] = np.arange(n) - run  # how often the token was met before
     again = np.cumsum(times > 0) - (times > 0)
     share = CACHE * (again - again[firsts][doc]) / (i + CACHE_PRIOR)
-    return np.log10((1 - share) * 10.0**said + share * times / np.maximum(i, 1))
+    with np.errstate(divide="ignore"):
+        own = np.log(share * times / np.maximum(i, 1))
+    return np.logaddexp(said * np.log(10) + np.log1p(-share), own) / np.log(10)
 
 
 def _added(n: int, v: int, make: Callable[[], Mixer]):
