@@ -566,7 +566,7 @@ def brute_scores(rows, weights, refined):
     for _, words in docs:
         met, again, total = Counter(), 0, 0.0
         for at, (word, token) in enumerate(zip(words, steps(words), strict=True)):
-            p_word = 1.0
+            ln_word = 0.0
             for cs, p, byte in token:
                 for k in range(8):
                     bit, logits, sure = byte >> 7 - k & 1, [], []
@@ -582,9 +582,10 @@ def brute_scores(rows, weights, refined):
                     low = int(place)
                     said = refined[gate, low] * (low + 1 - place) + refined[gate, low + 1] * (place - low)
                     one = max(1e-6, min(1 - 1e-6, 0.75 / (1 + math.exp(-x)) + 0.25 * said))
-                    p_word *= one if bit else 1 - one
+                    ln_word += math.log(one if bit else 1 - one)
             share = lm_score.CACHE * again / (at + lm_score.CACHE_PRIOR)
-            total += math.log10((1 - share) * p_word + share * met[word] / max(at, 1))
+            own = share * met[word] / max(at, 1)
+            total += math.log10((1 - share) * math.exp(ln_word) + own) if own or ln_word > -600 else (math.log1p(-share) + ln_word) / math.log(10)
             again += met[word] > 0
             met[word] += 1
         out.append(total)
@@ -595,6 +596,7 @@ def test_scores_against_plain_loops(spark, monkeypatch):
     """Given weights and map, with groups and shares of a few words and long tokens in pieces."""
     monkeypatch.setattr(lm_score, "GROUP_WORDS", 7)
     monkeypatch.setattr(lm_score, "SHARE_OPENINGS", 9)
+    monkeypatch.setattr(lm_score, "TABLES", tuple((name, 21, 21) for name, _, _ in lm_score.TABLES))  # next to no slot is shared
     rng = np.random.default_rng(6)
     weights = rng.normal(0.3, 0.2, (lm_score.GATES, lm_score.INPUTS))
     refined = np.sort(rng.uniform(0.01, 0.99, (lm_score.GATES, lm_score.BUCKETS)), axis=1)
@@ -603,7 +605,8 @@ def test_scores_against_plain_loops(spark, monkeypatch):
     rows = [(i, " ".join(rng.choice(words, rng.integers(0, 14)))) for i in range(40)] + [(60, "d" * 33_000 + " of"), (None, "ab of"), (3, None), (50, "x\0y \0")]
     got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     want = sorted((str(i), round(x, 3)) for (i, _), x in zip(rows, brute_scores(rows, weights, refined), strict=True))
-    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 0.01 for a, b in zip(sorted((str(r.doc_id), r.score) for r in got), want, strict=True))
+    off = [abs(a[1] / b[1] - 1) if a[0] == b[0] else 1 for a, b in zip(sorted((str(r.doc_id), r.score) for r in got), want, strict=True)]
+    assert max(off) < 0.01 and sum(x > 0.0005 for x in off) <= 0.1 * len(off), off
 
 
 def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
@@ -682,7 +685,7 @@ def test_model_is_a_distribution():
     assert abs((10 ** mixer.log10(places[2][2], places[2][3], 2)).sum() - 1) < 1e-9
     flat, place = np.frombuffer(b"".join(b"abc" + bytes([c]) for c in range(256)), np.uint8), np.tile(np.arange(4), 256)
     at = np.flatnonzero(place == 3)
-    own = [np.tile(np.array([[3.0, 5.0]], np.float32), (256, 1))] * 8
+    own = [lm_score._said(np.full(256, 3.0), np.full(256, 5.0), None)] * 8
     assert abs((10 ** mixer.log10(flat[at], lm_score._last_four(flat, place, at), 3, own)).sum() - 1) < 1e-9
     # A text's own words: the shares come to one over the vocabulary.
     codes, firsts = np.array([0, 1, 0, 2, 0]), np.array([0])
