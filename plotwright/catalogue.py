@@ -46,8 +46,12 @@ def _canon(x: str) -> str:
     return f"upper(regexp_replace({_bare(x)}, '[^A-Za-z0-9]+', '', 'g'))"
 
 
+def _upper(x: str) -> str:
+    return f"upper(replace({x}, 'ß', 'ss'))"
+
+
 def _packed(x: str) -> str:
-    return f"regexp_replace(upper({_space(x)}), '[^A-Z0-9]', '', 'g')"
+    return f"regexp_replace({_upper(_space(x))}, '[^A-Z0-9]', '', 'g')"
 
 
 def _series(x: str) -> str:
@@ -56,7 +60,7 @@ def _series(x: str) -> str:
 
 
 def _canonical(x: str) -> str:
-    up, tight = f"upper({_space(x)})", _packed(x)
+    up, tight = _upper(_space(x)), _packed(x)
     inside = device.INSIDE
     return f"""CASE WHEN {x} = '' THEN {x} WHEN regexp_matches({up}, '{device.NUMBER_RIGHT}') THEN regexp_extract({up}, '{device.NUMBER_RIGHT}', 1)
       WHEN regexp_matches({up}, '{device.NUMBER_LEFT}') THEN regexp_extract({up}, '{device.NUMBER_LEFT}', 1) WHEN regexp_matches({tight}, '{device.VALID_SWITCH}') THEN {tight}
@@ -66,13 +70,13 @@ def _canonical(x: str) -> str:
 
 
 def _beside(x: str) -> str:
-    up = f"upper({_space(x)})"
+    up = _upper(_space(x))
     cases = [f"WHEN regexp_matches({up}, '{p}') THEN regexp_extract({up}, '{p}', {g})" for p, g in ((device.ZERO_RIGHT, 1), (device.NUMBER_RIGHT, 1), (device.NUMBER_LEFT, 2))]
     return f"CASE {' '.join(cases)} ELSE {x} END"
 
 
 def _invalid(x: str) -> str:
-    tight = f"regexp_replace(upper({x}), '[^A-Z0-9]', '', 'g')"
+    tight = f"regexp_replace({_upper(x)}, '[^A-Z0-9]', '', 'g')"
     ruled = r"^[-_/\\=.,:;|`~^''\"–—•·…]{2,}$"
     return f"(trim({x}) = '' OR regexp_matches(trim({x}), '^[^\\pL\\pN_\\s\\pZ]+$') OR (length(trim({x})) = 1 AND NOT regexp_matches(trim({x}), '^[\\pL\\pN]$')) OR regexp_matches(trim({x}), '{ruled}') OR ((contains({tight}, 'DS') OR contains({tight}, 'ES')) AND NOT regexp_matches({tight}, '{device.VALID_SWITCH}')))"
 
@@ -91,11 +95,11 @@ def device_canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return device_tokens(spark, sf_dir).select("p_partkey", "text", device.series(t).alias("series"), device.canonical(device.series(t)).alias("canonical"), device.normal(t).alias("normal"))
 
 
-@registered(f"WITH {SQL['document_words']} SELECT word, {_series('word')} AS series, {_beside('word')} AS beside, {_canonical('word')} AS canonical FROM (SELECT DISTINCT word FROM document_words WHERE NOT contains(word, 'ß'))")
+@registered(f"WITH {SQL['document_words']} SELECT word, {_series('word')} AS series, {_beside('word')} AS beside, {_canonical('word')} AS canonical FROM (SELECT DISTINCT word FROM document_words)")
 def word_canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The identifier rules on every different word of the documents (upper case of ß differs between engines, so not those)."""
+    """The identifier rules on every different word of the documents."""
     w = F.col("word")
-    words = document_words(spark, sf_dir).select("word").where(~F.contains(w, F.lit("ß"))).distinct()
+    words = document_words(spark, sf_dir).select("word").distinct()
     return words.select("word", device.series(w).alias("series"), device.beside_number(w).alias("beside"), device.canonical(w).alias("canonical"))
 
 
@@ -354,7 +358,8 @@ def pdf_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MATCH = f"""{SQL['pdf_words']}, pw AS (SELECT page_id, l, w, text, x0 * 2 AS x0, top * 2 AS y0, x1 * 2 AS x1, bottom * 2 AS y1 FROM pdf_words),
 near AS (SELECT p.page_id, p.l, p.w, o.l AS ol, o.w AS ow, o.k AS ok, o.x0 AS ax0, o.y0 AS ay0, o.x1 AS ax1, o.y1 AS ay1, p.x0 AS bx0, p.y0 AS by0, p.x1 AS bx1, p.y1 AS by1
-  FROM pw p JOIN ocr_raw o ON p.page_id = o.page_id AND p.y0 // 30 - o.y0 // 30 BETWEEN -2 AND 2 AND o.x1 >= p.x0 - 400 AND o.x0 <= p.x1 + 400),
+  FROM (SELECT *, unnest(range((y0 // 30)::BIGINT - 2, (y0 // 30)::BIGINT + 3)) AS band FROM pw) p JOIN (SELECT *, y0 // 30 AS band FROM ocr_raw) o
+    ON p.page_id = o.page_id AND p.band = o.band AND o.x1 >= p.x0 - 60 AND o.x0 <= p.x1 + 60),
 sized AS (SELECT *, greatest(0, least(ax1, bx1) - greatest(ax0, bx0)) * greatest(0, least(ay1, by1) - greatest(ay0, by0)) AS i, (ax1 - ax0) * (ay1 - ay0) AS aa, (bx1 - bx0) * (by1 - by0) AS ba, greatest(14.0::DOUBLE, 0.35 * least(greatest(1.0, ay1 - ay0), greatest(1.0, by1 - by0))) AS tol FROM near),
 scores AS (SELECT *, greatest(CASE WHEN aa + ba - i > 0 THEN (i / (aa + ba - i)) / 0.2 ELSE 0 END, (i / greatest(1.0, least(aa, ba))) / 0.5, CASE WHEN abs((ax0 + ax1) / 2 - (bx0 + bx1) / 2) <= tol AND abs((ay0 + ay1) / 2 - (by0 + by1) / 2) <= tol THEN 1.0 ELSE 0.0 END) AS score FROM sized),
 best AS (SELECT *, row_number() OVER (PARTITION BY page_id, l, w ORDER BY score DESC, ol, ow, ok) AS n FROM scores WHERE score >= 1)"""
