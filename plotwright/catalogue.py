@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,11 @@ from .config import DEFAULT, VOLTAGE_OF_DIGIT
 from .fixtures import SQL, contour_heights, device_tokens, document_words, ocr_raw, page_dims, pdf_words, read
 from .functions import device, text
 from .functions.geometry import Box, intersection, iou, least_gap, mean_height, scaled, vertical_overlap
-from .operators import folds, fonts, mapping, matching, pairs, tiling
+from .operators import folds, fonts, joining, mapping, matching, pairs, tiling
 from .operators.voltage import voltage_levels as voltage_of
 from .plans.page import finished, page_results as assembled
 from .sources import manifest
+from .sources.scratch import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -341,6 +343,52 @@ def line_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs_.groupBy(F.col("a_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(dup, 1)).alias("n_dup"))
 
 
+# ---- neighbours of a line -----------------------------------------------------------------------------------------------
+
+_SIDES = f"""{SQL['ocr_raw']}, one AS (SELECT *, (x0 % 1126) AS mx, (1126 - x1 % 1126) AS nx FROM ocr_raw WHERE k = 0),
+sides AS (SELECT a.page_id, a.l, a.w, trim(a.text) AS a, trim(b.text) AS b, {_canon('a.text')} AS x, {_canon('b.text')} AS y, b.x0 - a.x1 AS gap, abs((a.y0 + a.y1) // 2 - (b.y0 + b.y1) // 2) AS off,
+  greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) / greatest(1, least(a.y1 - a.y0, b.y1 - b.y0)) >= 0.6 AS level, least(a.mx, a.nx) <= 6 AS a_cut, least(b.mx, b.nx) <= 6 AS b_cut, greatest(1.0, 0.5 * ((a.y1 - a.y0) + (b.y1 - b.y0))) AS tall
+  FROM one a JOIN one b ON a.page_id = b.page_id AND a.l = b.l AND b.w = a.w + 1),
+seams AS (SELECT *, ends_with(a, '-') OR starts_with(b, '-') AS dash, (ends_with(a, '.') AND regexp_matches(b, '^\pNd')) OR (regexp_matches(a, '[\pL\pN]$') AND starts_with(b, '.')) AS dot,
+  regexp_matches(a, '[A-Za-z0-9]$') AND regexp_matches(b, '^[A-Za-z0-9]') AS letters, CASE WHEN a_cut OR b_cut THEN 0.5 * 18 ELSE 0.0 END AS bonus FROM sides)""".replace(r"\pNd", r"\p{Nd}")
+_LIKE = lambda t: f"(regexp_matches({_packed(t)}, '{device.VALID_SWITCH}') OR regexp_matches({_packed(t)}, '{device.LETTERED}') OR regexp_matches({_upper(_space(t))}, '{device.FEEDER}'))"
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every two neighbours of a line, as (a_*, b_*)."""
+    cut = mapping.near_lattice(F.col("x0"), F.col("x1"), F.lit(1126)) <= DEFAULT.tile_margin
+    one = ocr_raw(spark, sf_dir).where("k = 0").withColumns({"canon": text.canon_a(F.col("text")), "cy": F.floor((F.col("y0") + F.col("y1")) / 2), "cut": cut})
+    side = lambda p, by: one.select("page_id", "l", (F.col("w") - by).alias("w"), *[F.col(c).alias(f"{p}_{c}") for c in ("text", "canon", "x0", "y0", "x1", "y1", "cy", "cut")])
+    return side("a", 0).join(side("b", 1), ["page_id", "l", "w"])
+
+
+@registered(rf"""WITH {_SIDES} SELECT page_id, l, w, NOT (a = '' OR b = '' OR (x <> '' AND y <> '' AND (contains(x, y) OR contains(y, x)))
+  OR (x <> '' AND y <> '' AND (x = y OR ends_with(x, y) OR starts_with(y, x) OR len(list_filter(range(1, length(x || y) // 2 + 1), lambda k: length(x || y) % k = 0 AND (x || y) = repeat(left(x || y, k), length(x || y) // k))) > 0))
+  OR (regexp_matches(x, '^\d{{1,2}}$') AND {_LIKE('b')}) OR (regexp_matches(y, '^\d{{1,2}}$') AND {_LIKE('a')}))
+  AND ((dash AND gap < 9 + bonus) OR (dot AND gap < 0.35 * 18 + bonus) OR (gap < 0 AND level AND off <= 0.30 * 18 AND -gap <= 0.25 * tall) OR (gap >= 0 AND level AND gap <= 0.20 * 18 + bonus AND (contains(a, b) OR contains(b, a)))
+  OR (gap >= 0 AND a_cut AND b_cut AND off <= 0.35 * 18 AND gap <= 0.30 * 18)) AS joins FROM seams""")
+def join_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether neighbours of a line may become one item (near-duplicates by containment)."""
+    return _sides(spark, sf_dir).select("page_id", "l", "w", joining.joins(F.lit(18.0)).alias("joins"))
+
+
+@registered(rf"""WITH {_SIDES} SELECT page_id, l, w, trim(CASE WHEN gap <= 0 THEN a || b WHEN dash THEN CASE WHEN gap < 9 THEN regexp_replace(a || b, ' ?- ?', '-', 'g') ELSE a || ' ' || b END
+  WHEN dot THEN CASE WHEN gap < 0.35 * 18 THEN regexp_replace(a || b, ' ?\. ?', '.', 'g') ELSE a || ' ' || b END WHEN letters AND gap < 0.35 * 18 THEN a || b ELSE a || ' ' || b END) AS joined FROM seams""")
+def join_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sides(spark, sf_dir).select("page_id", "l", "w", joining.joined(F.lit(18.0)).alias("joined"))
+
+
+@registered(f"""WITH {SQL['ocr_raw']}, own AS (SELECT page_id, string_agg(text || '@' || x0 || ',' || y0 || ',' || x1 || ',' || y1, ';' ORDER BY l, w, k) AS items, count(*) AS n FROM ocr_raw GROUP BY page_id)
+SELECT p.page_id, p.url AS path, coalesce(n, 0)::INT AS n_items, sha256(coalesce(items, '')) AS items_sha256 FROM pages p LEFT JOIN own USING (page_id)""")
+def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items nested under their page, in order; pages without items have none."""
+    pages = read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    items = ocr_raw(spark, sf_dir).withColumns({"seq": F.struct("l", "w", "k"), "cx": F.lit(0), "cy": F.lit(0)})
+    nested = assembled(pages, items.select("page_id", "text"), items)
+    said = F.array_join(F.transform("ocr", lambda x: F.concat(x["text"], F.lit("@"), F.array_join(x["bbox"].cast("array<string>"), ","))), ";")
+    return nested.select("page_id", "path", F.size("ocr").alias("n_items"), F.sha2(said, 256).alias("items_sha256"))
+
+
 # ---- document words -----------------------------------------------------------------------------------------------------
 
 
@@ -379,18 +427,28 @@ def pdf_missing_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- sources ------------------------------------------------------------------------------------------------------------
 
 
+def _files(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @registered("SELECT page_id, url AS path, list_extract(list_filter(string_split(url, '/'), lambda x: x <> ''), -2) AS document FROM pages")
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = F.array(F.struct(F.col("page_id").cast("int").alias("id"), F.col("url").alias("path")))
-    rows = read(spark, sf_dir, "pages").select(F.explode(images).alias("i")).select(F.col("i.id").cast("long").alias("page_id"), F.col("i.path").alias("path"))
-    return rows.withColumn("document", manifest.document_of(F.col("path")))
+    """Manifests of a hundred pages each are written as files and scanned."""
+    where = _files(spark, "manifests")
+    named = read(spark, sf_dir, "pages").select((F.col("page_id") / 100).cast("long").alias("manifest"), F.col("page_id").cast("int").alias("id"), F.col("url").alias("path"))
+    manifest.write_manifests(named, where)
+    return manifest.manifests(spark, where).withColumn("document", manifest.document_of(F.col("path"))).select("page_id", "path", "document")
 
 
-@registered("SELECT p.page_id, p.url AS path, d.n_chars, d.doc_id IS NOT NULL AS has_words FROM pages p LEFT JOIN documents d ON p.page_id = d.doc_id")
+@registered(f"""WITH {SQL['pdf_words']}, own AS (SELECT page_id, count(*) AS n, sum(length(text))::BIGINT AS chars, sum(x0 + top)::DOUBLE AS places FROM pdf_words GROUP BY page_id)
+SELECT p.page_id, p.url AS path, n, chars, places, n IS NOT NULL AS has_words FROM pages p LEFT JOIN own USING (page_id)""")
 def page_words_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
-    words = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "n_chars", F.lit(True).alias("found"))
-    return pages.join(words, "page_id", "left").select("page_id", "path", "n_chars", F.col("found").isNotNull().alias("has_words"))
+    """Pages with the words of their documents, which are written as files and looked up by document and page."""
+    where, words = _files(spark, "words"), pdf_words(spark, sf_dir)
+    pages = read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"), F.coalesce(manifest.document_of(F.col("url")), F.lit("")).alias("document"))
+    manifest.write_page_words(words.join(pages, "page_id").withColumns({"word_id": F.col("l") * 1_000_000 + F.col("w"), "pdf_w": F.lit(550.0), "pdf_h": F.lit(450.0)}), where)
+    found = manifest.page_words(spark, where, lines=True).groupBy("document", "page_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.sum(F.col("x0") + F.col("top")).alias("places"))
+    return pages.join(found, ["document", "page_id"], "left").select("page_id", "path", "n", "chars", "places", F.col("n").isNotNull().alias("has_words"))
 
 
 @registered("SELECT source AS document, NOT coalesce(bool_or(length(trim(text)) > 10), false) AS scanned FROM documents GROUP BY source")
