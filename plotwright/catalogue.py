@@ -14,6 +14,7 @@ from .functions import device, text
 from .functions.geometry import Box, intersection, iou, least_gap, mean_height, scaled, vertical_overlap
 from .operators import folds, fonts, joining, mapping, matching, pairs, tiling
 from .operators.voltage import voltage_levels as voltage_of
+from .plans import batch
 from .plans.page import finished, page_results as assembled
 from .sources import manifest
 from .sources.scratch import shared_dir
@@ -209,6 +210,12 @@ def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid(spark, sf_dir).select("page_id", "tile_id", "grid_x", "grid_y", "orig_x", "orig_y", "crop_w", "crop_h", "step_x", "step_y")
 
 
+@registered(f"""WITH {_TILES}, t AS (SELECT page_id, w, h, count(*) AS n_tiles, min(crop_w * crop_h) AS least_area, max(crop_w * crop_h) AS most_area, sum(crop_w * crop_h)::BIGINT AS tiled FROM grid GROUP BY ALL)
+SELECT page_id, n_tiles, least_area, most_area, round(tiled / (w * h) - 1, 6) AS twice FROM t""")
+def tile_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.tile_statistics(_grid(spark, sf_dir).withColumnsRenamed({"w": "full_w", "h": "full_h"}))
+
+
 @registered(f"""WITH {_TILES}, p AS (SELECT *, trunc(least(192.0::DOUBLE, greatest(24.0::DOUBLE, font * 0.30::DOUBLE)))::BIGINT AS pad FROM grid)
 SELECT page_id, tile_id, least(pad, orig_x) AS pad_l, least(pad, orig_y) AS pad_t, least(pad, w - orig_x - crop_w) AS pad_r, least(pad, h - orig_y - crop_h) AS pad_b FROM p""")
 def tile_padding(spark: SparkSession, sf_dir: str) -> DataFrame:

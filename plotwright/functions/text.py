@@ -6,7 +6,9 @@ import functools
 import sys
 import unicodedata
 from collections.abc import Callable
+from difflib import SequenceMatcher
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,6 +118,21 @@ def may_be_similar(canon_x: Column, canon_y: Column, threshold: float) -> Column
     return F.least(a, b) * 2.0 >= (a + b) * F.lit(threshold)
 
 
+def similarity(a: Column, b: Column, threshold: float) -> Column:
+    """Ratcliff-Obershelp similarity of two texts (in this order) where the lengths allow ``threshold`` or more, else 0.
+
+    Python sees only the pairs that the lengths let through, in Arrow batches.
+    """
+
+    @F.pandas_udf("double")
+    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, p, q).ratio() if p is not None and q is not None else 0.0 for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    let_through = may_be_similar(a, b, threshold)
+    low = lambda c: F.when(let_through, F.lower(norm_space(c)))
+    return F.coalesce(ratio(low(a), low(b)), F.lit(0.0))
+
+
 def repeats_when_joined(canon_x: Column, canon_y: Column) -> Column:
     """Whether joining the two would only repeat something: periodic, or one ends or begins with the other."""
     both = F.concat(canon_x, canon_y)

@@ -31,18 +31,24 @@ def local_suppression(detections: DataFrame, s: Settings = DEFAULT) -> DataFrame
     return detections.select(*columns).groupBy("page_id", "tile_id").applyInPandas(run, f"page_id long, tile_id long, det_idx long, {folds.SCHEMA}")
 
 
-def page_items(detections: DataFrame, tiles: DataFrame, s: Settings = DEFAULT) -> DataFrame:
-    """Detections (page_id, tile_id, scale, det_idx, text, box, confidence) and their tiles -> the pages' final items in order.
+def placed_items(detections: DataFrame, tiles: DataFrame, s: Settings = DEFAULT) -> DataFrame:
+    """Detections (page_id, tile_id, scale, det_idx, text, box, confidence) of all scales together, suppressed tile by tile and placed on their pages.
 
-    Tiles: page_id, tile_id, orig_x, orig_y, step_x, step_y, full_w, full_h, font.  Two shuffles: by tile, then by page.
+    Tiles: page_id, tile_id, orig_x, orig_y, step_x, step_y, full_w, full_h, font, and pad_l and pad_t where tiles are padded.
     """
     back = mapping.not_trivial(mapping.inverse_scale(detections), s)
     middle = lambda a, b: ((F.col(a) + F.col(b)) / 2).cast("long")
     known = tiles.select("page_id", "tile_id", F.greatest(F.lit(s.least_font), F.col("font").cast("int")).alias("font"))
     ready = back.join(known, ["page_id", "tile_id"]).withColumns({"cx": middle("x0", "x1"), "cy": middle("y0", "y1"), "cut": F.lit(False)})
     local = local_suppression(ready, s)
-    placed = mapping.to_page(local.drop("cut").join(tiles.drop("font"), ["page_id", "tile_id"]).withColumns({"pad_l": F.lit(0), "pad_t": F.lit(0)}), s)
-    return folds.per_page(placed, lambda items: finished(items, s), ["tile_id", "det_idx"])
+    pads = {c: F.col(c) if c in tiles.columns else F.lit(0) for c in ("pad_l", "pad_t")}
+    own = tiles.withColumns(pads).select("page_id", "tile_id", "pad_l", "pad_t", "orig_x", "orig_y", "step_x", "step_y", "full_w", "full_h")
+    return mapping.to_page(local.drop("cut").join(own, ["page_id", "tile_id"]), s)
+
+
+def page_items(detections: DataFrame, tiles: DataFrame, s: Settings = DEFAULT) -> DataFrame:
+    """The pages' final items in order, see :func:`placed_items`.  Two shuffles: by tile, then by page."""
+    return folds.per_page(placed_items(detections, tiles, s), lambda items: finished(items, s), ["tile_id", "det_idx"])
 
 
 def with_document_words(items: DataFrame, words: DataFrame, s: Settings = DEFAULT) -> DataFrame:
