@@ -2,8 +2,9 @@
 
 Each round is a large-star and a small-star step (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): every
 node hands its neighbours its smallest one.  Rounds are written to the shared folder, so lineage stays short and lost
-executors cost one round at most.  Hot nodes: smallest neighbours are found by partially aggregated minima, and the joins that
-hand them out can be split by adaptive execution.  No link or component reaches the driver; only a count and a sum do.
+executors cost one round at most, and go once the next is written.  Hot nodes: smallest neighbours are found by partially
+aggregated minima, and are handed out in ``SALTS`` copies to as many parts of a node's links, so no task gets all links of a hub.
+No link or component reaches the driver; only a count and sums do.
 """
 
 from __future__ import annotations
@@ -11,9 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import forgotten, written
 
-ROUNDS = 40
+ROUNDS, SALTS = 40, 16
+
+
+def _handed(rows: DataFrame, least: DataFrame, key: str, other: str) -> DataFrame:
+    """``rows`` with what ``least`` (key, m) says of their key; a key's rows are split by their other end."""
+    copies = least.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(copies, [key, "salt"])
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -21,9 +28,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        return _handed(both.where("v > u"), least, "u", "v").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    handed = links.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    handed = _handed(links, least, "a", "b").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return handed.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -36,7 +43,8 @@ def components(links: DataFrame) -> DataFrame:
     links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     said = None
     for _ in range(ROUNDS):
-        links = written(_star(_star(links, True), False), "links")
+        before, links = links, written(_star(_star(links, True), False), "links")
+        forgotten(before)
         now = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("b").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == said:
             break

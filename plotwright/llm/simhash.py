@@ -11,7 +11,8 @@ Copies first collapse to one row per distinct fingerprint.  Anchors with many fi
 never all pairs.  Only the counts per anchor (at most ``2 * 2**16`` numbers) reach the driver.
 
 Null text and text without a word have fingerprint zero and link like any other.  Repeated rows and repeated doc_ids get a row
-each.  A null doc_id keeps its row and never names a component unless it stands alone (component null).
+each.  A null doc_id keeps its row and never names a component unless it stands alone (component null).  Very long texts are counted
+in parts.  Extra columns, also ones whose names clash, are ignored or kept as they are.  Empty table: no rows.
 """
 
 from __future__ import annotations

@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session; a temporary one only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plotwright-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+from ..sources.scratch import shared_dir
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -24,7 +15,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forgotten(df: DataFrame) -> None:
+    """Remove the files of a :func:`written` table that nothing reads any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def position(df: DataFrame, name: str) -> int:
