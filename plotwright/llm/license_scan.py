@@ -7,14 +7,18 @@ more; the window has no more shingles than the template has places for them, so
 ``JACCARD`` (0.667).  With ``BANDS`` bands of ``ROWS`` rows such a window is retrieved with a probability of at least
 ``1 - (1 - JACCARD**ROWS) ** BANDS``; here over 0.9999.
 
-Every window is meant, but a window without any of the templates' shingles cannot share a band, as a band's rows are hashes of
-shingles; so signatures are only computed for windows that hold one.  Templates have five words at least; short license lines
-are templates like full texts.  The template table has a fixed size, so its bands go out with the function.  Null or empty text
-matches nothing.  Repeated rows are scanned each.
+Every window is meant, but a window without any shingle of the templates of its size cannot share a band with them, as a band's
+rows are hashes of shingles; so signatures are only computed for windows that hold one.  Templates have five words at least; short
+license lines are templates like full texts.  The template table has a fixed size, so its bands go out with the function.
+
+Null or empty text matches nothing.  Repeated rows and rows of one id are scanned each; a null id is kept.  Very long texts are
+scanned whole.  Of overlapping matches of one template the one with the greatest share stays, the first on a tie.  Extra columns,
+also ones whose names clash, are ignored.  Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -35,11 +39,18 @@ STEP = 4096
 
 _WORD = re.compile(r"[0-9a-z]+(?:[.'-][0-9a-z]+)*")
 
-#: Well-known license lines and notices (fixed texts, by their public identifiers).
+# Fixed texts that several licenses share.
+_AS_IS_MIT = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_AS_IS_ISC = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_AS_IS_BSD = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+
+#: Well-known license lines, notices and texts (fixed texts, by their public identifiers).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software'),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. ' + _AS_IS_MIT),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -53,10 +64,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", f"{_BSD} {_AS_IS_BSD}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_NAMES} {_AS_IS_BSD}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", f"Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. {_AS_IS_ISC}"),
+    ("0BSD", f"Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. {_AS_IS_ISC}"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."),
 )
 
 
@@ -97,7 +112,8 @@ class Templates:
             raise ValueError(f"a template has fewer than {SHINGLE} words")
         self.sizes = sorted({len(w) for w in words})
         self.shingles = [frozenset(shingles(w)) for w in words]
-        self.hashes = np.unique(np.concatenate([_hashes(sorted(s)) for s in self.shingles]))
+        self.hashes = {n: np.unique(np.concatenate([_hashes(sorted(s)) for s, w in zip(self.shingles, words, strict=True) if len(w) == n])) for n in self.sizes}
+        self.any_hash = np.unique(np.concatenate(list(self.hashes.values())))
         self.bands: dict[tuple[int, int, bytes], list[int]] = {}
         for t, w in enumerate(words):
             signature = _mixed(_hashes(sorted(self.shingles[t]))).min(axis=1)
@@ -110,11 +126,13 @@ class Templates:
         if len(words) < SHINGLE:
             return []
         every = _hashes(shingles(words))
-        hot = np.nonzero(np.isin(every, self.hashes))[0]
-        if not len(hot):
-            return []
         found: dict[int, set[tuple[float, int, int]]] = {}
+        if not np.isin(every, self.any_hash).any():
+            return []
         for size in self.sizes:
+            hot = np.nonzero(np.isin(every, self.hashes[size]))[0]
+            if not len(hot):
+                continue
             per = min(size - SHINGLE + 1, len(every))
             starts = np.unique(np.clip((hot[:, None] - np.arange(per)[None, :]).ravel(), 0, len(every) - per))
             step = max(1, STEP // per)
@@ -132,10 +150,11 @@ class Templates:
                             found.setdefault(t, set()).add((-share, start, width))
         out = []
         for t, hits in found.items():
-            taken: list[tuple[int, int]] = []
+            taken: list[int] = []  # beginnings in order; all hits of a template are equally long
             for share, start, width in sorted(hits):
-                if all(start >= b or start + width <= a for a, b in taken):
-                    taken.append((start, start + width))
+                k = bisect.bisect_left(taken, start)
+                if (k == 0 or taken[k - 1] + width <= start) and (k == len(taken) or start + width <= taken[k]):
+                    taken.insert(k, start)
                     out.append((t, start, width, -share))
         return sorted(out, key=lambda m: (m[1], -m[2], m[0]))
 
