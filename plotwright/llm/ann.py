@@ -5,7 +5,7 @@ the inner product of direction and code.  From the packed bits and those two sca
 the estimate's error bound tells which vectors could still be among the nearest: those are reranked by exact inner products.
 
 Rows with the same vector form one class and are searched once; a class carries its ``k + 1`` least ids, which is all that any
-answer can hold.  Classes and queries are dealt over a grid of blocks (query block x candidate block), each block answers with
+answer can hold.  Query ids stay in rows of their own and get their class's answer at the end, in ``SALTS`` parts a class.  Classes and queries are dealt over a grid of blocks (query block x candidate block), each block answers with
 its best rows, and a query's answers are merged.  No task holds more than a block, and nothing but counts reaches the driver.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part.  Vectors of different lengths are no
@@ -30,7 +30,7 @@ NEAREST, EVERY, SEED = 20, 20, 7
 CODE = 128
 #: Standard deviations of the error bound.  At 3 a vector is wrongly left out about once in a thousand.
 EPSILON = 3.0
-QUERY_BLOCK, BLOCK, BLOCKS = 4096, 16_384, 32
+QUERY_BLOCK, BLOCK, BLOCKS, SALTS = 4096, 16_384, 32, 16
 #: Queries that a block looks at together.
 STEP = 256
 
@@ -138,33 +138,37 @@ def _search(k: int):
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Codes, norms and inner products of a batch's vectors, those of one length together."""
     for batch in batches:
-        codes, norms, along = [], [], []
-        for v in batch.column(1).to_pylist():
-            c, n, a = encode(np.frombuffer(v, "<f8")[None, :])
-            codes.append(c.tobytes())
-            norms.append(float(n[0]))
-            along.append(float(a[0]))
+        m = batch.num_rows
+        codes, norms, along = [b""] * m, np.zeros(m), np.zeros(m)
+        raw = batch.column(1).to_pylist()
+        size = np.array([len(v) for v in raw])
+        for n in np.unique(size):
+            at = np.flatnonzero(size == n)
+            c, norms[at], along[at] = encode(np.frombuffer(b"".join([raw[i] for i in at]), "<f8").reshape(len(at), -1))
+            for i, row in zip(at.tolist(), c, strict=True):
+                codes[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(codes, pa.binary()), pa.array(norms), pa.array(along)], names=["name", "vec", "ids", "code", "norm", "along"])
 
 
 def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row of ``vectors`` (vec_id, embedding) whose id ``every`` divides."""
-    parts = only(vectors, "vec_id", "embedding").mapInArrow(_classes(k, every), "vec binary, ids array<long>, asked array<long>")
+    parts = written(only(vectors, "vec_id", "embedding").mapInArrow(_classes(k, every), "vec binary, ids array<long>, asked array<long>"), "parts")
     classes = written(
         parts.groupBy("vec")
-        .agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"), F.array_distinct(F.flatten(F.collect_list("asked"))).alias("asked"))
+        .agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"), F.max(F.size("asked") > 0).alias("asked"))
         .withColumn("name", F.md5("vec"))
         .withColumn("dim", (F.length("vec") / 8).cast("int")),
         "vectors",
     )
-    counts = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.size("asked") > 0, 1).otherwise(0)).alias("q")).first()
+    counts = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asked").cast("int")).alias("q")).first()
     n_blocks, q_blocks = max(BLOCKS, -(-counts.n // BLOCK)), max(1, -(-(counts.q or 0) // QUERY_BLOCK))
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
     coded = classes.select("name", "vec", "ids").mapInArrow(_coded, "name string, vec binary, ids array<long>, code binary, norm double, along double")
     held = coded.withColumns({"dim": (F.length("vec") / 8).cast("int"), "c": block(n_blocks)}).withColumn("q", every_block(q_blocks))
-    asked = classes.where(F.size("asked") > 0).select("name", "vec", "dim", block(q_blocks).alias("q")).withColumn("c", every_block(n_blocks))
+    asked = classes.where("asked").select("name", "vec", "dim", block(q_blocks).alias("q")).withColumn("c", every_block(n_blocks))
     keys = ["dim", "q", "c"]
     found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(_search(k), "name string, ids array<long>, scores array<double>")
     best = (
@@ -172,10 +176,11 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY) -> DataFra
         .agg(F.flatten(F.collect_list(F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("s"), x["ids"].alias("vec_id"))))).alias("all"))
         .select("name", F.slice(F.array_sort("all"), 1, k + 1).alias("best"))
     )
-    queries = classes.where(F.size("asked") > 0).select("name", F.explode("asked").alias("query_id"))
+    queries = parts.select(F.md5("vec").alias("name"), F.explode("asked").alias("query_id")).distinct().withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
+    best = best.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     own = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     return (
-        queries.join(best, "name")
+        queries.join(best, ["name", "salt"])
         .select("query_id", F.posexplode(own).alias("at", "x"))
         .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
     )

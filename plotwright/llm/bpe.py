@@ -8,7 +8,9 @@ Whether token ``b`` may follow token ``a`` is read from their merge trees: while
 the right edge of ``a`` and the one at the left edge of ``b`` exist side by side for a while; if a merge of the two is ranked
 before the end of either (for the left one: strictly before, as equal merges run from the left), it would cross the border.
 
-Null text counts as empty (no ids).  Repeated rows are encoded each.
+Null text counts as empty (no ids).  Repeated rows and rows of one id are encoded each; a null id is kept.  Very long texts are
+encoded whole, in memory in proportion to the longest piece.  Of several tokens that could end a prefix only one passes the pair
+test, so there are no ties.  Extra columns, also ones whose names clash, are ignored.  Empty table: no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@
 
 Spans of a kind are leftmost and do not overlap.  Their places come from the lengths of what lies between matches and of the
 matches, summed up in order.  A document is known by its id and its text's hash, so repeated rows (and rows that share an id) get
-their own spans each; null ids are kept.  Null text counts as empty.
+their own spans each; null ids are kept.  Null text counts as empty.  Very long texts are scanned whole.  Spans that begin together
+stand in the order of the rules.  Extra columns, also ones whose names clash, are ignored or kept.  Empty table: no rows.
 """
 
 from __future__ import annotations
