@@ -485,6 +485,36 @@ def test_license_bands_follow_from_containment():
     assert 1 - (1 - (0.8 / 1.2) ** license_scan.ROWS) ** license_scan.BANDS > 0.9999
 
 
+def test_license_windows_against_all_windows():
+    """Changed templates among other words: every window of every template's size, by exact containment."""
+    known, rng = license_scan.templates(), random.Random(8)
+    missed = total = 0
+    for _ in range(25):
+        parts = []
+        for t in rng.sample(range(len(license_scan.TEMPLATES)), 2):
+            words = license_scan.words_of(license_scan.TEMPLATES[t][1])
+            for _ in range(rng.randint(0, max(1, len(words) // 30))):
+                words[rng.randrange(len(words))] = "changed"
+            parts += [*(f"w{rng.randrange(50)}" for _ in range(rng.randint(0, 9))), *words]
+        text = " ".join(parts)
+        words, found = license_scan.words_of(text), known.find(text)
+        for t, (_, template) in enumerate(license_scan.TEMPLATES):
+            want = known.shingles[t]
+            n = len(license_scan.words_of(template))
+            shares = [len(want & set(license_scan.shingles(words[a : a + n]))) / len(want) for a in range(max(1, len(words) - n + 1))]
+            mine = [(a, m, s) for x, a, m, s in found if x == t]
+            assert all(abs(shares[a] - s) < 1e-12 and s >= 0.8 for a, _, s in mine)
+            assert all(abs(a - b) >= n for i, (a, _, _) in enumerate(mine) for b, _, _ in mine[:i])
+            if max(shares) >= 0.8:
+                total += 1
+                missed += not mine or max(s for *_, s in mine) < max(shares) - 1e-12
+    assert total > 40 and missed == 0
+
+
+def test_a_line_repeated_many_times():
+    assert len(license_scan.templates().find("Released under the MIT License.\n" * 5000)) == 5000
+
+
 # ---- 9 --------------------------------------------------------------------------------------------------------------------
 
 
