@@ -5,8 +5,13 @@ the inner product of direction and code.  From the packed bits and those two sca
 the estimate's error bound tells which vectors could still be among the nearest: those are reranked by exact inner products.
 
 Rows with the same vector form one class and are searched once; a class carries its ``k + 1`` least ids, which is all that any
-answer can hold.  Query ids stay in rows of their own and get their class's answer at the end, in ``SALTS`` parts a class.  Classes and queries are dealt over a grid of blocks (query block x candidate block), each block answers with
-its best rows, and a query's answers are merged.  No task holds more than a block, and nothing but counts reaches the driver.
+answer can hold.  Query ids stay in rows of their own and get their class's answer at the end, in ``SALTS`` parts a class.
+
+Classes and queries are dealt over a grid of blocks (query block x candidate block).  Blocks are measured in bytes of vectors, so
+long vectors make smaller ones.  Whole vectors go along with the codes: queries are a fixed share of all rows, and what one query
+may leave out, another of its block must rerank; fetching each query's own candidates by id would move many times more.  Each
+block answers with its best rows, which are merged ``MERGE`` blocks at a time, then over all.  No task holds more than a block of
+either side, and nothing but sums reaches the driver.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part.  Vectors of different lengths are no
 candidates of each other.  Rows of one id and one vector are one candidate; rows that share the query's id are its own.
@@ -30,9 +35,10 @@ NEAREST, EVERY, SEED = 20, 20, 7
 CODE = 128
 #: Standard deviations of the error bound.  At 3 a vector is wrongly left out about once in a thousand.
 EPSILON = 3.0
-QUERY_BLOCK, BLOCK, BLOCKS, SALTS = 4096, 16_384, 32, 16
-#: Queries that a block looks at together.
-STEP = 256
+#: Bytes of vectors in a block, of queries and of candidates; candidate blocks at least; blocks merged at once; parts of a class's queries.
+BLOCK_BYTES, BLOCKS, MERGE, SALTS = 32 << 20, 32, 64, 16
+#: Pairs that a block looks at together.
+STEP = 1 << 22
 
 
 def _usable(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -95,8 +101,9 @@ def estimates(codes: np.ndarray, along: np.ndarray, queries: np.ndarray) -> tupl
 def search_block(vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, along: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query: (its number, candidates, exact inner products) of at least its k best, ties at the end included."""
     scale = norms.astype(np.float32)
-    for at in range(0, len(queries), STEP):
-        part = queries[at : at + STEP]
+    step = max(1, STEP // len(vectors))
+    for at in range(0, len(queries), step):
+        part = queries[at : at + step]
         cos, bound = estimates(codes, along, part)
         size = np.linalg.norm(part, axis=1)
         cos *= scale
@@ -118,13 +125,23 @@ def search_block(vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, alon
             yield at + q, who, score
 
 
+def _stacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """Binary values of one length as rows of numbers, a copy of the bytes and nothing more."""
+    width = len(column[0].as_py()) // np.dtype(kind).itemsize
+    out = np.empty((len(column), width), kind)
+    at = 0
+    for chunk in column.chunks:
+        start, end = (np.frombuffer(chunk.buffers()[1], np.int32)[i].item() for i in (chunk.offset, chunk.offset + len(chunk)))
+        out[at : at + len(chunk)] = np.frombuffer(chunk.buffers()[2], np.uint8)[start:end].view(kind).reshape(-1, width)
+        at += len(chunk)
+    return out
+
+
 def _search(k: int):
     def run(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
         rows: tuple[list, list, list] = ([], [], [])
         if asked.num_rows and held.num_rows:
-            stack = lambda t: np.frombuffer(b"".join(t.column("vec").to_pylist()), "<f8").reshape(t.num_rows, -1)
-            queries, vectors = stack(asked), stack(held)
-            codes = np.frombuffer(b"".join(held.column("code").to_pylist()), np.uint8).reshape(held.num_rows, -1)
+            queries, vectors, codes = _stacked(asked.column("vec"), "<f8"), _stacked(held.column("vec"), "<f8"), _stacked(held.column("code"), "u1")
             norms, along = held.column("norm").to_numpy(), held.column("along").to_numpy()
             names, ids = asked.column("name").to_pylist(), held.column("ids").to_pylist()
             for q, who, score in search_block(vectors, codes, norms, along, queries, k + 1):
@@ -132,7 +149,9 @@ def _search(k: int):
                 rows[0].append(names[q])
                 rows[1].append([i for _, i in best])
                 rows[2].append([-s for s, _ in best])
-        return pa.table({"name": pa.array(rows[0], pa.string()), "ids": pa.array(rows[1], pa.list_(pa.int64())), "scores": pa.array(rows[2], pa.list_(pa.float64()))})
+        return pa.table(
+            {"name": pa.array(rows[0], pa.string()), "c": pa.array([key[2].as_py()] * len(rows[0]), pa.int32()), "ids": pa.array(rows[1], pa.list_(pa.int64())), "scores": pa.array(rows[2], pa.list_(pa.float64()))}
+        )
 
     return run
 
@@ -162,20 +181,20 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY) -> DataFra
         .withColumn("dim", (F.length("vec") / 8).cast("int")),
         "vectors",
     )
-    counts = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asked").cast("int")).alias("q")).first()
-    n_blocks, q_blocks = max(BLOCKS, -(-counts.n // BLOCK)), max(1, -(-(counts.q or 0) // QUERY_BLOCK))
+    size = F.length("vec").cast("long")
+    total = classes.agg(F.sum(size).alias("n"), F.sum(F.when(F.col("asked"), size)).alias("q")).first()
+    n_blocks, q_blocks = max(BLOCKS, -(-(total.n or 0) // BLOCK_BYTES)), max(1, -(-(total.q or 0) // BLOCK_BYTES))
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
     coded = classes.select("name", "vec", "ids").mapInArrow(_coded, "name string, vec binary, ids array<long>, code binary, norm double, along double")
     held = coded.withColumns({"dim": (F.length("vec") / 8).cast("int"), "c": block(n_blocks)}).withColumn("q", every_block(q_blocks))
     asked = classes.where("asked").select("name", "vec", "dim", block(q_blocks).alias("q")).withColumn("c", every_block(n_blocks))
     keys = ["dim", "q", "c"]
-    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(_search(k), "name string, ids array<long>, scores array<double>")
-    best = (
-        found.groupBy("name")
-        .agg(F.flatten(F.collect_list(F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("s"), x["ids"].alias("vec_id"))))).alias("all"))
-        .select("name", F.slice(F.array_sort("all"), 1, k + 1).alias("best"))
-    )
+    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(_search(k), "name string, c int, ids array<long>, scores array<double>")
+    answers = F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("s"), x["ids"].alias("vec_id")))
+    best = found.select("name", F.floor(F.col("c") / MERGE).alias("some"), answers.alias("best"))
+    for keys_left in (["name", "some"], ["name"]):
+        best = best.groupBy(*keys_left).agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k + 1).alias("best"))
     queries = parts.select(F.md5("vec").alias("name"), F.explode("asked").alias("query_id")).distinct().withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
     best = best.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     own = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)

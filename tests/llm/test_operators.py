@@ -172,6 +172,19 @@ def test_nearest(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_nearest_is_the_same_for_any_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    some = [rng.standard_normal(8 + 8 * (i % 2)).astype(np.float32).tolist() for i in range(300)]
+    rows = spark.createDataFrame([(i, some[i % 250]) for i in range(600)] + [(40, some[40])] * 3, "vec_id long, embedding array<float>")
+    want = sorted(ann.nearest(rows, 5, 3).collect())
+    for size, merge, step in ((4096, 3, 7), (700, 64, 1)):
+        monkeypatch.setattr(ann, "BLOCK_BYTES", size)
+        monkeypatch.setattr(ann, "MERGE", merge)
+        monkeypatch.setattr(ann, "STEP", step)
+        got = sorted(ann.nearest(rows, 5, 3).collect())
+        assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want])
+
+
 def test_estimates_keep_their_bound():
     rng = np.random.default_rng(5)
     v, q = rng.standard_normal((800, 64)), rng.standard_normal((50, 64))
