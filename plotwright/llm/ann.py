@@ -37,8 +37,8 @@ CODE = 128
 EPSILON = 3.0
 #: Bytes of vectors in a block, of queries and of candidates; candidate blocks at least; blocks merged at once; parts of a class's queries.
 BLOCK_BYTES, BLOCKS, MERGE, SALTS = 32 << 20, 32, 64, 16
-#: Pairs that a block looks at together.
-STEP = 1 << 22
+#: Pairs, and queries at most, that a block looks at together.
+STEP, QUERIES = 1 << 22, 256
 
 
 def _usable(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -101,7 +101,7 @@ def estimates(codes: np.ndarray, along: np.ndarray, queries: np.ndarray) -> tupl
 def search_block(vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, along: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query: (its number, candidates, exact inner products) of at least its k best, ties at the end included."""
     scale = norms.astype(np.float32)
-    step = max(1, STEP // len(vectors))
+    step = max(1, min(QUERIES, STEP // len(vectors)))
     for at in range(0, len(queries), step):
         part = queries[at : at + step]
         cos, bound = estimates(codes, along, part)
