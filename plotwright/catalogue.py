@@ -306,10 +306,10 @@ measured AS (SELECT *, greatest(0, least(ax1, bx1) - greatest(ax0, bx0)) * great
   greatest(0, least(ay1, by1) - greatest(ay0, by0)) / greatest(1, least(ay1 - ay0, by1 - by0)) AS vov, coalesce(least(CASE WHEN bx0 - ax1 >= 0 THEN bx0 - ax1 END, CASE WHEN ax0 - bx1 >= 0 THEN ax0 - bx1 END), -1)::DOUBLE AS gap FROM near)"""
 
 
-def _near(spark: SparkSession, sf_dir: str, canon: bool = False) -> DataFrame:
+def _near(spark: SparkSession, sf_dir: str, canon: bool = False, around: int = 1) -> DataFrame:
     items = ocr_raw(spark, sf_dir)
     items = items.withColumn("canon", text.canon_a(F.col("text"))) if canon else items
-    return pairs.neighbours(items.join(pairs.page_metrics(items), "page_id"), ["l", "w", "k"])
+    return pairs.neighbours(items.join(pairs.page_metrics(items), "page_id"), ["l", "w", "k"], around=around)
 
 
 @registered(f"WITH {_METRICS} SELECT page_id, median_h, grid_px, center_px FROM metrics")
@@ -326,7 +326,7 @@ def grid_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT page_id, count(*) FILTER (iou >= 0.25) AS n_dense, count(*) FILTER (iou >= 0.40) AS n_dedupe, sum(round(iou * 1e6)::BIGINT)::BIGINT AS iou_ppm FROM i WHERE iou > 0 GROUP BY page_id""")
 def pair_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = Box.of("a_"), Box.of("b_")
-    touching = _near(spark, sf_dir).where(intersection(a, b) > 0).select(F.col("a_page_id").alias("page_id"), iou(a, b).alias("iou"))
+    touching = _near(spark, sf_dir, around=0).where(intersection(a, b) > 0).select(F.col("a_page_id").alias("page_id"), iou(a, b).alias("iou"))
     return touching.groupBy("page_id").agg(F.count(F.when(F.col("iou") >= DEFAULT.nms_iou, 1)).alias("n_dense"), F.count(F.when(F.col("iou") >= DEFAULT.dedupe_iou, 1)).alias("n_dedupe"), F.sum(F.round(F.col("iou") * 1e6).cast("long")).alias("iou_ppm"))
 
 
@@ -345,7 +345,7 @@ def line_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs on one baseline that overlap enough for the final dedupe, and those of them that containment decides."""
     a, b = Box.of("a_"), Box.of("b_")
     level = F.abs(a.center()[1] - b.center()[1]) <= mean_height(a, b) * DEFAULT.baseline
-    pairs_ = _near(spark, sf_dir, canon=True).where(level & (intersection(a, b) > 0)).select("*", text.where_at_least(iou(a, b), DEFAULT.dedupe_iou))
+    pairs_ = _near(spark, sf_dir, canon=True, around=0).where(level & (intersection(a, b) > 0)).select("*", text.where_at_least(iou(a, b), DEFAULT.dedupe_iou))
     dup = text.held_either_way(F.col("a_text"), F.col("b_text")) | text.near_by_containment(F.col("a_canon"), F.col("b_canon"))
     return pairs_.groupBy(F.col("a_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(dup, 1)).alias("n_dup"))
 
