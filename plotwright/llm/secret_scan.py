@@ -66,6 +66,8 @@ RULES = (*BASE, *MORE)
 
 #: Strings that an expression's part may stand for before they are given up as a set.
 MOST = 64
+#: Trigrams in one mask of a document.
+MASK = 60
 #: Trigrams asked of one string, evenly over it; fewer only let more candidates through.
 ASKED = 4
 
@@ -144,20 +146,19 @@ def trigrams(query: object) -> set[str]:
     return set() if query is True else {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
 
 
-def _asked(query: object, bits: dict[str, int], mask: Column) -> Column:
-    """The query over a document's mask of trigrams."""
+def _asked(query: object, bits: dict[str, int], masks: list[Column]) -> Column:
+    """The query over a document's masks of trigrams."""
     if query is True:
         return F.lit(True)
-    if isinstance(query, str):
-        return mask.bitwiseAND(F.lit(1 << bits[query]).cast("long")) != 0
-    op, parts = query
-    alone = [p for p in parts if isinstance(p, str)]
-    rest = [_asked(p, bits, mask) for p in sorted(parts, key=str) if not isinstance(p, str)]
-    if alone:
-        want = F.lit(sum(1 << bits[p] for p in alone)).cast("long")
-        met = mask.bitwiseAND(want)
-        rest.append(met == want if op == "and" else met != 0)
-    return functools.reduce(lambda a, b: (a & b) if op == "and" else (a | b), rest)
+    op, parts = query if isinstance(query, tuple) else ("and", [query])
+    tests = [_asked(p, bits, masks) for p in sorted(parts, key=str) if not isinstance(p, str)]
+    alone = [bits[p] for p in parts if isinstance(p, str)]
+    for n, mask in enumerate(masks):
+        want = sum(1 << b % MASK for b in alone if b // MASK == n)
+        if want:
+            met = mask.bitwiseAND(F.lit(want).cast("long"))
+            tests.append(met == want if op == "and" else met != 0)
+    return functools.reduce(lambda a, b: (a & b) if op == "and" else (a | b), tests)
 
 
 # ---- the scan ---------------------------------------------------------------------------------------------------------
@@ -178,15 +179,15 @@ def postings(rows: DataFrame, terms: list[str]) -> DataFrame:
 def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(doc_id, h, rules): documents whose postings fit the query of at least one rule; the array has those rules' numbers.
 
-    Terms are asked in words of 60 bits, a mask each.
+    Any number of terms is asked, MASK of them in a mask.
     """
     queries = [trigram_query(r) for r in rules]
     terms = sorted(set().union(*map(trigrams, queries)))
-    if len(terms) > 60:
-        raise ValueError("more than 60 mandatory trigrams: scan with fewer rules at once")
     bits = {t: i for i, t in enumerate(terms)}
-    masks = postings(rows, terms).groupBy("doc_id", "h").agg(F.bit_or(F.expr("shiftleft(1L, term)")).alias("mask"))
-    fits = F.filter(F.array(*[F.when(_asked(q, bits, F.col("mask")), F.lit(i)) for i, q in enumerate(queries)]), lambda x: x.isNotNull())
+    names = [f"mask{n}" for n in range(-(-len(terms) // MASK))]
+    held = [F.bit_or(F.when(F.floor(F.col("term") / MASK) == n, F.expr(f"shiftleft(1L, term % {MASK})")).otherwise(F.lit(0).cast("long"))).alias(m) for n, m in enumerate(names)]
+    masks = postings(rows, terms).groupBy("doc_id", "h").agg(*held)
+    fits = F.filter(F.array(*[F.when(_asked(q, bits, [F.col(m) for m in names]), F.lit(i)) for i, q in enumerate(queries)]), lambda x: x.isNotNull())
     return masks.select("doc_id", "h", fits.alias("rules")).where(F.size("rules") > 0)
 
 

@@ -470,6 +470,39 @@ def test_secrets(spark, docs, none):
     assert secret_scan.scan(none).count() == secret_scan.redact(none).count() == 0
 
 
+def brute_spans(text, rules):
+    found = []
+    for k, rule in enumerate(rules):
+        flags = re.A | (re.I if rule.ignore_case else 0)
+        found += [(m.start(), k, m.end()) for m in re.finditer(rule.pattern, text or "", flags) if not rule.value or re.fullmatch(rule.value, m[0], flags)]
+    return sorted(found)
+
+
+def test_spans_of_all_rules(spark):
+    """Every rule's spans against all matches in all texts; with more rules than one mask of trigrams can hold too."""
+    rng = random.Random(17)
+    parts = [
+        "-----BEGIN ", "RSA ", "EC ", "PRIVATE KEY-----", "ghp_", "gho_", "A1b2C3d4E5f6" * 3, "xoxb-", "xoxp-", "123456-abcDEF", "eyJ", "hbGciOiJ9_-x", ".", "AIza", "Sy_-7" * 7,
+        "postgres", "https", "://", "user", ":", "pass!w0rd", "@", "/", " ", "\n", "AKIA", "ABCDEFGHIJ0123456", "token", "=", "0123456789abcdef", "é", "😀", "x",
+    ]
+    whole = ["-----BEGIN PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----", "ghs_" + "aB3" * 13, "xoxa-1234567890", "eyJabcdefgh.ijklmnop_.qrstuvwx-", "AIza" + "a1_-B" * 7, "ftp://me:secret=1@host"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(600)]
+    texts += ["".join(x for _ in range(4) for x in (rng.choice(parts), rng.choice(whole), rng.choice([" ", "\n", ""]))) for _ in range(300)] + [None, ""]
+    more = [secret_scan.Rule(f"word{i}", "".join(rng.choices("abcdefgh", k=7)) + "[0-9]{2,}") for i in range(30)]
+    texts += [" ".join(r.pattern[:7] + str(rng.randint(0, 999)) for r in rng.sample(more, 5)) for _ in range(100)]
+    rows = [(i // 2, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1]), (None, texts[601])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kinds = [r.kind for r in secret_scan.RULES]
+    want = [(i, ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in brute_spans(t, secret_scan.RULES))) for i, t in rows]
+    assert Counter((r.doc_id, r.spans) for r in secret_scan.scan(docs).collect()) == Counter(want)
+    assert {k for k in kinds if any(f"{k}:" in s for _, s in want)} == set(kinds)
+
+    rules = (*secret_scan.RULES, *more)
+    assert len(set().union(*(secret_scan.trigrams(secret_scan.trigram_query(r)) for r in rules))) > 2 * secret_scan.MASK
+    got = {(r.doc_id, r.rule, r.start, r.end) for r in secret_scan.spans(docs, rules).collect()}
+    assert got == {(i, k, a, b) for i, t in rows for a, k, b in brute_spans(t, rules)}
+
+
 def test_trigram_queries():
     for rule in secret_scan.RULES:
         query = secret_scan.trigram_query(rule)
