@@ -463,7 +463,7 @@ def scanned_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.scanned_documents(read(spark, sf_dir, "documents").select(F.col("source").alias("document"), "text"))
 
 
-# ---- folds: no SQL, held against plain forms in the tests ---------------------------------------------------------------
+# ---- folds: those with similarity have no SQL and are held against plain forms in the tests ---------------------------------------------------------------
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,7 +481,23 @@ def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fold(folds.suppress)(spark, sf_dir)
 
 
-@registered()
+_ITEMS = f"""{SQL['ocr_raw']},
+items AS (SELECT *, (x0 + x1) // 2 AS cx, (y0 + y1) // 2 AS cy, least(x0 % 1126, 1126 - x1 % 1126) <= 6 AS cut FROM ocr_raw),
+turns AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY cy, y0, x0, l, w, k) AS turn FROM items)"""
+#: Line by line as a recursion: a row is the state after a turn, tops and ends of the lines so far and the line just chosen.
+_LINES = f"""RECURSIVE {_ITEMS}, state AS (
+  SELECT page_id, turn, 1::BIGINT AS line, [y0] AS tops, [y1] AS ends FROM turns WHERE turn = 1
+  UNION ALL
+  SELECT page_id, turn, line, CASE WHEN line > len(tops) THEN list_append(tops, y0) ELSE tops[:line - 1] || [least(tops[line], y0)] || tops[line + 1:] END,
+    CASE WHEN line > len(ends) THEN list_append(ends, y1) ELSE ends[:line - 1] || [greatest(ends[line], y1)] || ends[line + 1:] END
+  FROM (SELECT *, CASE WHEN list_max(shares) >= 0.55::DOUBLE THEN list_position(shares, list_max(shares)) ELSE len(tops) + 1 END::BIGINT AS line FROM (
+    SELECT t.page_id, t.turn, t.y0, t.y1, s.tops, s.ends,
+      list_transform(range(1, len(s.tops) + 1), lambda i: greatest(0, least(s.ends[i], t.y1) - greatest(s.tops[i], t.y0))::DOUBLE / greatest(1, least(s.ends[i] - s.tops[i], t.y1 - t.y0))) AS shares
+    FROM state s JOIN turns t ON t.page_id = s.page_id AND t.turn = s.turn + 1)))"""
+
+
+@registered(f"""WITH {_LINES} SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY line, turn) - 1 AS seq, text, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1, cx::DOUBLE AS cx, cy::DOUBLE AS cy, (line - 1)::DOUBLE AS line, cut
+FROM state JOIN turns USING (page_id, turn)""")
 def line_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with their line's number in confidence's place: lines come from the top, members in order."""
 
