@@ -7,7 +7,7 @@ import math
 import re
 from difflib import SequenceMatcher
 
-from .device import VALID_SWITCH, GUARD, INSIDE, NUMBER_LEFT, NUMBER_RIGHT, ZERO_RIGHT
+from .device import EDGE, VALID_SWITCH, GUARD, INSIDE, NUMBER_LEFT, NUMBER_RIGHT, ZERO_RIGHT
 from .text import accents
 
 
@@ -18,7 +18,7 @@ def _bare() -> dict[int, str | None]:
 
 
 _SPACES, _NOT_ASCII, _NOT_UPPER = re.compile(r"\s+"), re.compile("[^A-Za-z0-9]+"), re.compile("[^A-Z0-9]+")
-_SERIES = re.compile(r"\bSEL[-\s]?([0-9OIl]{3,5}[A-Z]?)\b", re.I)
+_SERIES = re.compile(rf"{EDGE}SEL[-\s]?([0-9OIl]{{3,5}}[A-Z]?){EDGE}", re.I)
 _DIGITS = str.maketrans("OoIl", "0011")
 _RIGHT, _LEFT, _ZERO, _INSIDE = (re.compile(p) for p in (NUMBER_RIGHT, NUMBER_LEFT, ZERO_RIGHT, INSIDE))
 _GUARD, _ALLOWED = re.compile(GUARD), re.compile(VALID_SWITCH)
