@@ -431,6 +431,27 @@ def test_threshold_against_every_cut():
         assert abs(gain(quality.threshold_of(score, good, 0.1)) - max(map(gain, cuts))) < 1e-12
 
 
+def test_every_labelled_row_counts_in_the_forest(spark, monkeypatch):
+    """With few draws the trees' cuts are as few, but path lengths and threshold are those of all labelled rows."""
+    monkeypatch.setattr(quality, "TREES", 3)
+    monkeypatch.setattr(quality, "SUBSAMPLE", 4)
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    seen = {}
+    settled, threshold = quality.IsolationForest.settled, quality.threshold_of
+    monkeypatch.setattr(quality.IsolationForest, "settled", lambda self, share: seen.setdefault("forest", settled(self, seen.setdefault("share", share))))
+    monkeypatch.setattr(quality, "threshold_of", lambda score, good, loss, times: (seen.update(tested=times.sum()), threshold(score, good, loss, times))[1])
+    judge = quality.judge_from_labels(docs, labels)
+    rows = [(r.doc_id, r.quality, r.h, *quality.statistics(r.text)) for r in docs.join(labels, "doc_id").selectExpr("doc_id", "quality", "text", "xxhash64(doc_id) h").collect()]
+    rows = [r for r in rows if not quality.failed_base(np.array([r[3]]))[0]]
+    grown = [r for r in rows if r[2] % 2 == 0]
+    assert seen["tested"] == len(rows) - len(grown) and len(grown) > 3 * 4
+    good = np.array([r[1] == 1 for r in grown])
+    weight = np.where(good, 1.0, min(1.0, max(1.0, quality.FEW_BAD * good.sum()) / max(1, (~good).sum())))
+    for at in judge.forest.leaves(quality.scaled(np.array([r[4] for r in grown]))):
+        want = np.bincount(at, weight, len(judge.forest.feature)) / weight.sum()
+        assert np.allclose(seen["share"][np.unique(at)], want[np.unique(at)])
+
+
 def test_no_row_both_grows_and_calibrates(spark):
     """Held-out rows: bad ones are caught, good ones left alone."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
