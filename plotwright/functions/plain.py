@@ -17,7 +17,7 @@ def _bare() -> dict[int, str | None]:
     return {ord(c): bare[i] if i < len(bare) else None for i, c in enumerate(kept)}
 
 
-_SPACES, _NOT_ASCII, _NOT_UPPER = re.compile(r"\s+"), re.compile("[^A-Za-z0-9]+"), re.compile("[^A-Z0-9]+")
+_NOT_ASCII, _NOT_UPPER = re.compile("[^A-Za-z0-9]+"), re.compile("[^A-Z0-9]+")
 _SERIES = re.compile(rf"{EDGE}SEL[-\s]?([0-9OIl]{{3,5}}[A-Z]?){EDGE}", re.I)
 _DIGITS = str.maketrans("OoIl", "0011")
 _RIGHT, _LEFT, _ZERO, _INSIDE = (re.compile(p) for p in (NUMBER_RIGHT, NUMBER_LEFT, ZERO_RIGHT, INSIDE))
@@ -25,7 +25,7 @@ _GUARD, _ALLOWED = re.compile(GUARD), re.compile(VALID_SWITCH)
 
 
 def one_space(s: str) -> str:
-    return _SPACES.sub(" ", s).strip()
+    return " ".join(s.split())
 
 
 @functools.lru_cache(100_000)
@@ -108,13 +108,27 @@ def _beside_number(s: str) -> str:
     return s
 
 
+def _ordinary(s: str) -> bool:
+    """Whether a glance shows that no rule of :func:`normal` can change the text."""
+    up = s.upper()
+    if s.isascii() and s.isalnum():
+        return len(s) != 2 and ("S" not in up or not ("DS" in up or "ES" in up or "SEL" in up))
+    return not ("S" in up or "C" in up or "G" in up)
+
+
 @functools.lru_cache(100_000)
 def normal_without_beside(s: str) -> str:
+    if _ordinary(s):
+        return s
     return _canonical(_SERIES.sub(lambda m: "SEL-" + m[1].translate(_DIGITS), s))
 
 
-@functools.lru_cache(100_000)
 def normal(s: str) -> str:
+    return s if _ordinary(s) else _normal(s)
+
+
+@functools.lru_cache(100_000)
+def _normal(s: str) -> str:
     return _beside_number(normal_without_beside(s))
 
 
@@ -127,11 +141,15 @@ def short_number(s: str) -> bool:
 
 
 def device_like(s: str) -> bool:
+    if len(s) != 2 and s.isascii() and s.isalpha():
+        return False  # all others end in digits or have a digit before their last letter
     tight = packed(s)
     return bool(_ALLOWED.search(tight) or re.fullmatch(r"(?:DS|ES)[1-9]{1,3}[A-Z]?", tight) or re.fullmatch(r"(?:BB|C|TC|T)\d{1,2}", one_space(s).upper()))
 
 
 def invalid(s: str) -> bool:
+    if s.isascii() and s.isalnum() and not ("DS" in (up := s.upper()) or "ES" in up):
+        return False
     t = s.strip()
     if not t or len(t) == 1 and not t.isalnum() or re.fullmatch(r"[^\w\s]+", t) or re.fullmatch(r"[-_/\\=.,:;|`~^'\"–—•·…]{2,}", t):
         return True
