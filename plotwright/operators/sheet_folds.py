@@ -19,7 +19,7 @@ import pandas as pd
 from ..config import DEFAULT, Settings
 from ..functions import plain
 from . import folds
-from .sheets import Sheet, iou, least_gap, mean_height, meetings, vertical_overlap
+from .sheets import Sheet, areas, iou, least_gap, mean_height, meetings, shared_area, vertical_overlap
 
 _CACHED = 100_000
 
@@ -250,10 +250,10 @@ def suppress(m: Marks, s: Settings = DEFAULT) -> Marks:
     gx0, gy0 = low(m.x0), low(m.y0)
     gx1, gy1 = np.maximum(gx0, low(np.maximum(0, m.x1 - 1))), np.maximum(gy0, low(np.maximum(0, m.y1 - 1)))
     aside, half = s.small_gap * np.maximum(1.0, m.y1 - m.y0), center / 2
-    areas = np.minimum(m.x0 - aside, m.cx - half), np.minimum(m.y0, m.cy - half), np.maximum(m.x1 + aside, m.cx + half), np.maximum(m.y1, m.cy + half)
+    around = np.minimum(m.x0 - aside, m.cx - half), np.minimum(m.y0, m.cy - half), np.maximum(m.x1 + aside, m.cx + half), np.maximum(m.y1, m.cy + half)
     spared = m.texts.fact(plain.guarded)[m.t]
     pairs = []
-    for a, b in met(m, *areas):
+    for a, b in met(m, *around):
         cut, free = m.cut[a] | m.cut[b], ~(spared[a] | spared[b])
         over = iou(m, a, m, b) >= s.nms_iou
         close = (np.abs(m.cx[a] - m.cx[b]) <= center[a]) & (np.abs(m.cy[a] - m.cy[b]) <= center[a])
@@ -423,7 +423,7 @@ def dedupe(m: Marks, s: Settings = DEFAULT) -> Marks:
     w, words = m.whole, m.one_spaced()
     spared = words.texts.fact(plain.guarded)[words.t]
     aside = s.small_gap * np.maximum(1.0, m.y1 - m.y0) + 1
-    again = lambda x, y: _again(x, y, s)
+    again = lambda x, y: plain.contained(x, y) or _again(x, y, s.dedupe_similarity, s.dedupe_similarity_short)
     pairs = []
     for a, b in met(m, m.x0 - aside, m.y0 - 1, m.x1 + aside, m.y1 + 1):
         level = np.abs(m.cy[a] - m.cy[b]) <= s.baseline * mean_height(m, a, b)
@@ -436,21 +436,21 @@ def dedupe(m: Marks, s: Settings = DEFAULT) -> Marks:
         ta, tb = words.t[a], words.t[b]
         n = np.flatnonzero(beside)
         go[n] = words.near(tb[n], ta[n], math.inf)  # containment alone
-        for n, rule in ((np.flatnonzero(over & ~cut), again), (np.flatnonzero(over & cut), _held)):
+        go[over & (ta == tb)] = True
+        for n, rule in ((np.flatnonzero(over & ~cut & (ta != tb)), again), (np.flatnonzero(over & cut & (ta != tb)), _held)):
             go[n] = words.each(rule, tb[n], ta[n])
         pairs.append((a[go], b[go]))
     return m.take(chosen(len(m), pairs))
 
 
 def _held(a: str, b: str) -> bool:
-    return folds.by_containment(a, b, 0.0) or plain.contained(a, b)
+    return plain.contained(a, b) or folds.by_containment(a, b, 0.0)
 
 
 @functools.lru_cache(_CACHED)
-def _again(a: str, b: str, s: Settings) -> bool:
+def _again(a: str, b: str, threshold: float, if_short: float) -> bool:
     """Whether one text only repeats the other where both stand in one place, whole."""
-    least = s.dedupe_similarity_short if min(len(a), len(b)) <= 3 else s.dedupe_similarity
-    return _held(a, b) or plain.similar(a.lower(), b.lower(), least)
+    return _held(a, b) or plain.similar(a.lower(), b.lower(), if_short if min(len(a), len(b)) <= 3 else threshold)
 
 
 def cleaned(m: Marks) -> Marks:
@@ -465,6 +465,122 @@ def finished(m: Marks) -> Marks:
     return cleaned(dedupe(merge_lines(suppress(m))))
 
 
+# ---- reconciliation ----------------------------------------------------------------------------------------------------------
+
+
+def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
+    """:func:`folds.reconcile` of every page that has words.  Items and words that could meet are groups, which never meet each other.
+
+    A word that meets one item alone is settled with all others like it; larger groups are settled by the plain fold.
+    """
+    worded = np.zeros(len(m.ids), bool)
+    worded[w.page] = True
+    w = w.said(str.strip)
+    w = w.take(~w.texts.of(plain.invalid, w.t)).said(lambda x: plain.normal(x).strip())
+    w = replace(w, cx=(w.x0 + w.x1) / 2, cy=(w.y0 + w.y1) / 2, confidence=np.ones(len(w)), cut=np.zeros(len(w), bool))
+    m = joined([m, w])
+    is_word = np.arange(len(m)) >= len(m) - len(w)
+    order = np.argsort(m.page, kind="stable")
+    m, is_word = m.take(order), is_word[order]
+    if not len(m):
+        return m
+    if not m.upright:
+        pages = [(p, np.flatnonzero(m.page == p)) for p in range(len(m.ids))]
+        found = [(p, x) for p, n in pages for _, x in _settled(m, n, is_word, s, bool(worded[p]))]
+        return _of_items(m, np.array([p for p, _ in found], np.int64), [x for _, x in found])
+    n = len(m)
+    whole, forms = m.whole, m.said(lambda x: plain.canon_late(plain.normal(x)))
+    high = np.maximum(1.0, m.y1 - m.y0)
+    half = np.maximum(s.pdf_center, s.pdf_center_factor * high) / 2
+    around = np.minimum(m.x0 - 1, m.cx - half), np.minimum(m.y0 - 1, m.cy - half), np.maximum(m.x1 + 1, m.cx + half), np.maximum(m.y1 + 1, m.cy + half)
+    sides = [(np.zeros(0, np.int64),) * 2]
+    for a, b in met(m, *around):
+        a, b = (x[worded[m.page[a]]] for x in (a, b))
+        t = np.maximum(s.pdf_center, s.pdf_center_factor * np.minimum(high[a], high[b]))
+        hit = (np.abs(m.cx[a] - m.cx[b]) <= t) & (np.abs(m.cy[a] - m.cy[b]) <= t)
+        share, both, least = iou(whole, a, whole, b), shared_area(m, a, m, b), np.minimum(areas(m, a), areas(m, b))
+        placed = is_word[b] & (hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (both / np.maximum(1.0, least) / 0.5 >= 1.0))
+        over = hit | (share >= 0.05) | (least > 0) & (both / np.where(least > 0, least, 1.0) >= 0.5)
+        left = np.flatnonzero(over & ~placed)
+        placed[left] = forms.each(plain.contained, forms.t[b[left]], forms.t[a[left]])
+        sides.append((a[placed], b[placed]))
+    a, b = (np.concatenate(x) for x in zip(*sides, strict=True))
+    met_by = np.bincount(np.concatenate([a, b]), minlength=n)
+    gone = np.zeros(n, bool)
+    at = np.arange(n)  # what stands in each place
+    # A word that alone meets an item that meets nothing else.
+    single = (met_by[a] == 1) & (met_by[b] == 1) & ~is_word[a] & is_word[b]
+    i, j = a[single], b[single]
+    t = np.maximum(s.pdf_center, s.pdf_center_factor * np.minimum(high[i], high[j]))
+    hit = (np.abs(m.cx[i] - m.cx[j]) <= t) & (np.abs(m.cy[i] - m.cy[j]) <= t)
+    share = iou(whole, i, whole, j)
+    part = shared_area(m, i, m, j) / np.maximum(1.0, np.minimum(areas(m, i), areas(m, j)))
+    close = hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (part / 0.5 >= 1.0)
+    single[np.flatnonzero(single)[~close]] = False
+    i, j, t, share, part = (x[close] for x in (i, j, t, share, part))
+    same = forms.each(plain.contained, forms.t[i], forms.t[j])
+    apart = ((np.abs(m.cx[i] - m.cx[j]) > 1.2 * t) | (np.abs(m.cy[i] - m.cy[j]) > 1.2 * t)) & (share < 0.05) & (part < 0.25)
+    gone[j[same | ~apart]] = True
+    wins = same & (np.ones(len(i), bool) if s.pdf_prefer == "pdf" else _worth(m)[j] > _worth(m)[i])
+    at[i[wins]] = j[wins]
+    confidence = m.confidence.copy()
+    confidence[i[wins]] = np.maximum(1.0, confidence[i[wins]])
+    changed: dict[int, folds.Item] = {}
+    for group in _groups(a[~single].tolist(), b[~single].tolist()):
+        gone[group] = True
+        for k, x in _settled(m, np.array(group), is_word, s):
+            gone[k] = False
+            changed[k] = x
+    # Items first, then words that were added.
+    kept = np.flatnonzero(~gone)
+    kept = kept[np.lexsort((kept, is_word[kept], m.page[kept]))]
+    out = replace(m.take(at[kept]), confidence=confidence[kept])
+    if not changed:
+        return out
+    same_place = np.array([k in changed for k in kept.tolist()], bool)
+    own = np.flatnonzero(same_place)
+    new = _of_items(m, m.page[kept[own]], [changed[k] for k in kept[own].tolist()])
+    rest = np.flatnonzero(~same_place)
+    return joined([out.take(rest), new]).take(np.argsort(np.concatenate([rest, own])))
+
+
+def _worth(m: Marks) -> np.ndarray:
+    """As ``plain.quality_b`` to the last digit."""
+    size, place = np.unique(areas(m, np.arange(len(m))), return_inverse=True)
+    logs = np.array([math.log(x + 1.0) for x in size.tolist()])
+    n = m.texts.sums(m.texts.by_char(str.isalnum))
+    return n[m.t] + 0.35 * np.sqrt(np.maximum(0.0, m.confidence)) + 0.15 * logs[place]
+
+
+def _groups(a: list[int], b: list[int]) -> list[list[int]]:
+    """Numbers that pairs connect, each group in order."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = x = above[y]
+        return x
+
+    for x, y in zip(a, b, strict=True):
+        p, q = top(x), top(y)
+        above[max(p, q)] = min(p, q)
+    found: dict[int, list[int]] = defaultdict(list)
+    for x in sorted(above):
+        found[top(x)].append(x)
+    return list(found.values())
+
+
+def _settled(m: Marks, group: np.ndarray, is_word: np.ndarray, s: Settings, worded: bool = True) -> list[tuple[int, folds.Item]]:
+    """The plain fold on some of a page's items and words: numbers of places, and what stands there."""
+    words = is_word[group]
+    numbers = [*group[~words].tolist(), *group[words].tolist()]
+    items = [m.item(n) for n in numbers]
+    k = len(items) - int(words.sum())
+    if not worded:
+        return list(zip(numbers, items, strict=True))
+    return [(numbers[n], x) for n, x in folds.settle(items[:k], items[k:], None, s)]
+
+
 def columns(m: Marks) -> list:
     """page_id, seq and ``folds.COLUMNS`` of items by page."""
     seq = np.arange(len(m)) - np.searchsorted(m.page, m.page)

@@ -82,3 +82,12 @@ def check_query(spark, odd, name, step):
 
 def test_nms_query(spark, odd):
     check_query(spark, odd, "nms", folds.suppress)
+
+
+def test_line_merging():
+    held_to(sheet_folds.merge_lines, folds.merge_lines)
+    held_to(lambda m: sheet_folds.merge_lines(sheet_folds.suppress(m)), lambda items: folds.merge_lines(folds.suppress(items)))
+
+
+def test_line_merge_query(spark, odd):
+    check_query(spark, odd, "line_merge", lambda items: folds.merge_lines(folds.suppress(items)))
