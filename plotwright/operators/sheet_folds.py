@@ -15,6 +15,7 @@ from dataclasses import dataclass, fields, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from ..config import DEFAULT, Settings
 from ..functions import plain
@@ -586,3 +587,20 @@ def columns(m: Marks) -> list:
     seq = np.arange(len(m)) - np.searchsorted(m.page, m.page)
     text = np.array([*m.texts.held, ""], object)[m.t]
     return [m.ids[m.page], seq, text, m.x0, m.y0, m.x1, m.y1, m.cx, m.cy, m.confidence, m.cut]
+
+
+#: A page's row as :func:`nested` has it: its items, and those of their texts that hold a digit (no other names a voltage level).
+NESTED = "page_id long, ocr array<struct<text:string,bbox:array<double>,center:array<double>,confidence:double>>, numbered array<string>"
+
+
+def nested(m: Marks) -> list:
+    def lists(values: pa.Array, page: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(np.append(0, np.cumsum(np.bincount(page, minlength=len(m.ids)))).astype(np.int32), values)
+
+    def rows(*v: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(np.arange(0, len(v) * len(m) + 1, len(v), dtype=np.int32), pa.array(np.stack(v, 1).ravel()))
+
+    text = pa.array(m.texts.held, pa.string()).take(pa.array(m.t))
+    items = pa.StructArray.from_arrays([text, rows(m.x0, m.y0, m.x1, m.y1), rows(m.cx, m.cy), pa.array(m.confidence)], names=["text", "bbox", "center", "confidence"])
+    named = (m.texts.sums(m.texts.by_char(str.isnumeric)) > 0)[m.t]
+    return [m.ids, lists(items, m.page), lists(text.filter(pa.array(named)), m.page[named])]

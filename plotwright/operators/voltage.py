@@ -36,4 +36,14 @@ def voltage_levels(texts: DataFrame, page: str = "page_id", text: str = "text")
         F.array_sort(F.collect_set(feeder_level(F.col(text)))).alias("feeders"),
         F.array_sort(F.collect_set(heading_level(F.col(text)))).alias("headings"),
     )
-    return found.select(page, F.when(F.size("feeders") > 0, F.col("feeders")).otherwise(F.col("headings")).alias("voltage_level"))
+    return found.select(page, _first("feeders", "headings").alias("voltage_level"))
+
+
+def _first(feeders: Column | str, headings: Column | str) -> Column:
+    return F.when(F.size(feeders) > 0, feeders if isinstance(feeders, Column) else F.col(feeders)).otherwise(headings if isinstance(headings, Column) else F.col(headings))
+
+
+def levels_within(texts: Column) -> Column:
+    """:func:`voltage_levels` of an array with a page's texts."""
+    levels = lambda rule: F.array_sort(F.array_distinct(F.array_compact(F.transform(texts, rule))))
+    return _first(levels(feeder_level), levels(heading_level))

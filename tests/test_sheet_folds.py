@@ -91,3 +91,16 @@ def test_line_merging():
 
 def test_line_merge_query(spark, odd):
     check_query(spark, odd, "line_merge", lambda items: folds.merge_lines(folds.suppress(items)))
+
+
+def test_page_result_query(spark, odd):
+    """As the plan of single items has it, in one pass over the texts."""
+    from plotwright.plans.page import page_results
+
+    query = catalogue.QUERIES["page_result"](spark, odd)
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FlatMapGroups" not in plan
+    items = spark.createDataFrame(plain_rows(spark, odd, finished), f"page_id long, seq long, {folds.SCHEMA}")
+    out = page_results(spark.read.parquet(f"{odd}/pages.parquet").select("page_id", F.col("url").alias("path")), items, items)
+    want = out.select("page_id", "path", F.to_json("voltage_level").alias("voltage_level"), F.size("ocr").alias("n_items"), F.sha2(F.to_json("ocr"), 256).alias("ocr_sha256"))
+    assert sorted(map(tuple, query.collect())) == sorted(map(tuple, want.collect())) and query.dtypes == want.dtypes
