@@ -104,3 +104,12 @@ def test_page_result_query(spark, odd):
     out = page_results(spark.read.parquet(f"{odd}/pages.parquet").select("page_id", F.col("url").alias("path")), items, items)
     want = out.select("page_id", "path", F.to_json("voltage_level").alias("voltage_level"), F.size("ocr").alias("n_items"), F.sha2(F.to_json("ocr"), 256).alias("ocr_sha256"))
     assert sorted(map(tuple, query.collect())) == sorted(map(tuple, want.collect())) and query.dtypes == want.dtypes
+
+
+def test_dedupe():
+    held_to(sheet_folds.dedupe, folds.dedupe)
+    held_to(sheet_folds.finished, finished)
+
+
+def test_dedupe_query(spark, odd):
+    check_query(spark, odd, "dedupe_substrings", folds.dedupe)
