@@ -113,3 +113,31 @@ def test_dedupe():
 
 def test_dedupe_query(spark, odd):
     check_query(spark, odd, "dedupe_substrings", folds.dedupe)
+
+
+def test_reconciliation():
+    for seed in range(14):
+        rng = random.Random(seed)
+        m, w = marked(odd_pages(seed)), marked([own[:: 1 + n] for n, own in enumerate(odd_pages(seed + 14, 50))])
+        w = w.take(np.flatnonzero(w.page != 1))  # a page without words is not swept
+        # Some words stand where items stand, a little off.
+        for n in range(0, len(w), 3):
+            i = rng.choice(np.flatnonzero(m.page == w.page[n]).tolist())
+            off = rng.choice([0.0, 3.0, 13.5, 60.0])
+            w.x0[n], w.x1[n], w.y0[n], w.y1[n] = m.x0[i] + off, m.x1[i] + off, m.y0[i], m.y1[i]
+            w.t[n] = w.texts.held.index(m.texts.held[m.t[i]]) if m.texts.held[m.t[i]] in w.texts.held else w.t[n]
+        want = []
+        for p in range(3):
+            items, words = ([x.item(n) for n in np.flatnonzero(x.page == p).tolist()] for x in (m, w))
+            want += [(p, i) for i in (folds.reconcile(items, [(x.text, x.box) for x in words]) if words else items)]
+        assert rows(sheet_folds.reconcile(m, w)) == rows(sheet_folds._of_items(m, np.array([p for p, _ in want]), [i for _, i in want]))
+
+
+def test_reconcile_pdf_query(spark, odd):
+    from plotwright.plans.page import with_document_words
+
+    query = catalogue.QUERIES["reconcile_pdf"](spark, odd)
+    assert query._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    items = spark.createDataFrame(plain_rows(spark, odd, finished), f"page_id long, seq long, {folds.SCHEMA}")
+    want = with_document_words(items, catalogue._words(spark, odd).withColumn("word_id", F.col("l") * 1_000_000 + F.col("w")))
+    assert sorted(map(tuple, query.collect())) == sorted(map(tuple, want.collect())) and query.dtypes == want.dtypes
