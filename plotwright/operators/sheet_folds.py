@@ -20,9 +20,23 @@ import pyarrow as pa
 from ..config import DEFAULT, Settings
 from ..functions import plain
 from . import folds
-from .sheets import Sheet, areas, iou, least_gap, mean_height, meetings, shared_area, vertical_overlap
+from .sheets import Sheet, areas, blocks, iou, least_gap, mean_height, meetings, shared_area, vertical_overlap
 
 _CACHED = 100_000
+_SEVERAL = -1
+#: Bands that an item lies in, on average, beyond which items are met by cells (and four times as many that it meets).
+_SWEPT = 8
+
+
+def _upper(c: str) -> int:
+    """The ASCII letter or digit that a character is in upper case (0: another one)."""
+    up = c.upper()
+    return _SEVERAL if len(up) > 1 else ord(up) if up.isascii() and up.isalnum() else 0
+
+
+def _begins_guard(c: str) -> bool:
+    """Whether a text that begins with it may be :func:`plain.guarded`, where case does not count (nor does a long s)."""
+    return c.upper() in set("CDEVSTM")
 
 
 class Texts:
@@ -91,6 +105,65 @@ class Texts:
         held = np.bincount(np.repeat(np.arange(len(self)), self.length) * 49 + code, minlength=49 * len(self)).reshape(-1, 49)[:, :48].astype(np.int16)
         return held, held.sum(1, dtype=np.int64)
 
+    @functools.cached_property
+    def tight(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts' upper-case forms: the ASCII letters and digits, each one's text, and the texts that no such character-wise view fits."""
+        code = self.by_char(_upper, np.int64)
+        own = np.repeat(np.arange(len(self)), self.length)
+        kept = np.flatnonzero(code)
+        odd = np.zeros(len(self), bool)
+        odd[own[code == _SEVERAL]] = True
+        return code[kept], own[kept], odd
+
+    @functools.cached_property
+    def switches(self) -> np.ndarray:
+        """Texts that may hold DS or ES once all but letters and digits is gone (none other does)."""
+        code, own, odd = self.tight
+        here = np.flatnonzero((code[1:] == ord("S")) & (own[1:] == own[:-1]))
+        out = odd.copy()
+        out[own[here[(code[here] == ord("D")) | (code[here] == ord("E"))]]] = True
+        return out
+
+    @functools.cached_property
+    def unsettled(self) -> np.ndarray:
+        """Texts that :func:`plain.normal` may change (no other): with DS or ES or SEL, or like CB."""
+        code, own, _ = self.tight
+        out = self.switches.copy()
+        here = np.flatnonzero((code[2:] == ord("L")) & (own[2:] == own[:-2]))
+        out[own[here[(code[here] == ord("S")) & (code[here + 1] == ord("E"))]]] = True
+        two = np.bincount(own, minlength=len(self)) == 2
+        here = np.flatnonzero((code == ord("C")) | (code == ord("G")))
+        out[own[here[two[own[here]]]]] = True
+        return out
+
+    @functools.cached_property
+    def wordless(self) -> np.ndarray:
+        """Texts without a letter or digit."""
+        return self.sums(self.by_char(str.isalnum)) == 0
+
+    def normal(self) -> list[str]:
+        """:func:`plain.normal` of each text."""
+        now = list(self.held)
+        for i in np.flatnonzero(self.unsettled).tolist():
+            now[i] = plain.normal(now[i])
+        return now
+
+    @functools.cached_property
+    def invalid(self) -> np.ndarray:
+        """:func:`plain.invalid` of each text."""
+        out = np.zeros(len(self), bool)
+        asked = np.flatnonzero(self.wordless | self.switches)
+        out[asked] = [plain.invalid(self.held[i]) for i in asked.tolist()]
+        return out
+
+    @functools.cached_property
+    def guarded(self) -> np.ndarray:
+        """:func:`plain.guarded` of each text: none is that begins otherwise, or is longer and has no digit."""
+        out = np.zeros(len(self), bool)
+        asked = np.flatnonzero(self.edge(_begins_guard) & ((self.length <= 3) | (self.sums(self.by_char(str.isdecimal)) > 0)))
+        out[asked] = [plain.guarded(self.held[i]) for i in asked.tolist()]
+        return out
+
     @functools.cached_property
     def short_number(self) -> np.ndarray:
         """:func:`plain.short_number`."""
@@ -123,7 +196,16 @@ class Marks:
 
     def said(self, rule: Callable[[str], str]) -> Marks:
         """With every text as ``rule`` has it."""
-        now = list(map(rule, self.texts.held))
+        return self._saying(list(map(rule, self.texts.held)))
+
+    def normal(self) -> Marks:
+        """With every text in normal form."""
+        return self._saying(self.texts.normal()) if self.texts.unsettled.any() else self
+
+    def stripped(self) -> Marks:
+        return self.said(str.strip) if self.texts.spaced else self
+
+    def _saying(self, now: list[str]) -> Marks:
         if now == self.texts.held:
             return self
         number, texts = pd.factorize(np.array([*now, ""], object))
@@ -148,7 +230,7 @@ class Marks:
     def quality(self) -> np.ndarray:
         """As ``Item.quality`` to the last digit."""
         b = self.whole
-        size, place = np.unique(np.maximum(1, np.maximum(0, b.x1 - b.x0) * np.maximum(0, b.y1 - b.y0)), return_inverse=True)
+        place, size = pd.factorize(np.maximum(1, np.maximum(0, b.x1 - b.x0) * np.maximum(0, b.y1 - b.y0)))
         logs = np.array([math.log(x + 1.0) for x in size.tolist()] or [0.0])
         n, marks = (x[self.t] for x in self.texts.counted)
         return n + 0.15 * logs[place] + 0.35 * np.sqrt(np.maximum(0.0, self.confidence)) - 0.5 * marks
@@ -184,8 +266,12 @@ def marks(s: Sheet, cx: np.ndarray, cy: np.ndarray, cut: np.ndarray) -> Marks:
     return Marks(s.ids, s.page, Texts(list(texts)), number, *(v.astype(float) for v in (s.x0, s.y0, s.x1, s.y1, cx, cy, s.confidence)), cut)
 
 
-def best_first(m: Marks) -> Marks:
-    return m.take(np.lexsort((-m.quality, m.page)))
+def best_first(m: Marks) -> tuple[np.ndarray, np.ndarray]:
+    """Items by page and quality, and each one's place among them."""
+    order = np.lexsort((-m.quality, m.page))
+    place = np.empty(len(m), np.int64)
+    place[order] = np.arange(len(m))
+    return order, place
 
 
 def middles(group: np.ndarray, n: int, value: np.ndarray) -> np.ndarray:
@@ -201,14 +287,51 @@ def met(m: Marks, x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray
     """Pairs a < b of a page whose areas meet (and some whose areas nearly do), each once, in blocks."""
     if len(m) < 2:
         return
-    wide, tall = max(16.0, float(np.median(x1 - x0))), max(8.0, float(np.median(y1 - y0)) / 1.5)
-    cells = tuple(np.floor(v / c).astype(np.int64) for v, c in ((x0, wide), (x1, wide), (y0, tall), (y1, tall)))
-    for i, j in meetings(m.page, cells, m.page, cells, among=True):
+    found = _swept(m.page, x0, y0, x1, y1)
+    if found is None:
+        wide, tall = max(16.0, float(np.median(x1 - x0))), max(8.0, float(np.median(y1 - y0)) / 1.5)
+        cells = tuple(np.floor(v / c).astype(np.int64) for v, c in ((x0, wide), (x1, wide), (y0, tall), (y1, tall)))
+        found = meetings(m.page, cells, m.page, cells, among=True)
+    for i, j in found:
         a, b = np.minimum(i, j), np.maximum(i, j)
         there = np.flatnonzero((x0[a] <= x1[b]) & (x0[b] <= x1[a]) & (y0[a] <= y1[b]) & (y0[b] <= y1[a]))
         yield a[there], b[there]
 
 
+def _swept(page: np.ndarray, x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]] | None:
+    """Pairs that share a band of a page and meet in x, each once: those that begin, from left to right, before an item ends.
+
+    None if areas are so unlike in height, or so far apart, that bands would not serve.
+    """
+    tall = max(8.0, float(np.median(y1 - y0)))
+    first, last = (np.floor(v / tall) for v in (y0, y1))
+    top, left = first.min(), x0.min() - 1.0
+    bands, room = last.max() - top + 1.0, x1.max() - left + 2.0
+    # Places on one axis: page by page, band by band, and in them from the left; half a pixel more than any rounding.
+    if not (page.max() + 1.0) * bands * room < 2.0**50:
+        return None
+    count = (last - first).astype(np.int64) + 1
+    if count.sum() > _SWEPT * len(page):
+        return None
+    of = np.repeat(np.arange(len(page)), count)
+    band = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    start = (page[of] * bands + (band - top)) * room
+    place = start + (x0[of] - left)
+    order = np.argsort(place, kind="stable")
+    of, band, place = of[order], band[order], place[order]
+    after = np.searchsorted(place, start[order] + (x1[of] - left + 0.5), "right") - np.arange(len(of)) - 1
+    if after.sum() > _SWEPT * 4 * len(page):
+        return None
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for _, n, step in blocks(after):
+            i, j = of[n], of[n + 1 + step]
+            once = np.flatnonzero(band[n] == np.maximum(first[i], first[j]))
+            yield i[once], j[once]
+
+    return pairs()
+
+
 def chosen(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Greedily: an item stays unless one that stays comes before it and makes it go; pairs (before, after)."""
     gone = bytearray(n)
@@ -242,7 +365,7 @@ def suppress(m: Marks, s: Settings = DEFAULT) -> Marks:
     m = m.one_spaced().whole
     if not m.upright:
         return _by_page(m, lambda items: folds.suppress(items, s=s))
-    m = best_first(m)
+    order, place = best_first(m)
     n = len(m.ids)
     base = middles(m.page, n, np.maximum(1, m.y1 - m.y0))
     cell = np.minimum(s.grid_px[1], np.maximum(s.grid_px[0], np.rint(s.grid_factor * base)))[m.page]
@@ -252,9 +375,10 @@ def suppress(m: Marks, s: Settings = DEFAULT) -> Marks:
     gx1, gy1 = np.maximum(gx0, low(np.maximum(0, m.x1 - 1))), np.maximum(gy0, low(np.maximum(0, m.y1 - 1)))
     aside, half = s.small_gap * np.maximum(1.0, m.y1 - m.y0), center / 2
     around = np.minimum(m.x0 - aside, m.cx - half), np.minimum(m.y0, m.cy - half), np.maximum(m.x1 + aside, m.cx + half), np.maximum(m.y1, m.cy + half)
-    spared = m.texts.fact(plain.guarded)[m.t]
+    spared = m.texts.guarded[m.t]
     pairs = []
-    for a, b in met(m, *around):
+    for i, j in met(m, *around):
+        a, b = _turned(i, j, place)
         cut, free = m.cut[a] | m.cut[b], ~(spared[a] | spared[b])
         over = iou(m, a, m, b) >= s.nms_iou
         close = (np.abs(m.cx[a] - m.cx[b]) <= center[a]) & (np.abs(m.cy[a] - m.cy[b]) <= center[a])
@@ -264,8 +388,14 @@ def suppress(m: Marks, s: Settings = DEFAULT) -> Marks:
         may &= (gx0[b] - 1 <= gx1[a]) & (gx0[a] <= gx1[b] + 1) & (gy0[b] - 1 <= gy1[a]) & (gy0[a] <= gy1[b] + 1)
         a, b = a[may], b[may]
         alike = m.near(m.t[b], m.t[a], s.nms_similarity)
-        pairs.append((a[alike], b[alike]))
-    return m.take(chosen(len(m), pairs))
+        pairs.append((place[a[alike]], place[b[alike]]))
+    return m.take(order[chosen(len(m), pairs)])
+
+
+def _turned(i: np.ndarray, j: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs in order of their places."""
+    late = place[i] > place[j]
+    return np.where(late, j, i), np.where(late, i, j)
 
 
 # ---- lines ----------------------------------------------------------------------------------------------------------------
@@ -331,7 +461,7 @@ def _walked(m: Marks, line: np.ndarray, tall: np.ndarray, starts: np.ndarray, s:
             made[now] = one
             gone[now] = True
         done = i
-    rest = replace(m, cut=cut).take(~gone).said(plain.normal)
+    rest = replace(m, cut=cut).take(~gone).normal()
     if not made:
         return rest
     at = np.array(list(made))
@@ -420,15 +550,15 @@ def dedupe(m: Marks, s: Settings = DEFAULT) -> Marks:
     m = m.take((m.texts.sums(~m.texts.by_char(str.isspace)) > 0)[m.t])
     if not m.upright:
         return _by_page(m, lambda items: folds.dedupe(items, s=s))
-    m = best_first(m)
+    order, place = best_first(m)
     w, words = m.whole, m.one_spaced()
-    spared = words.texts.fact(plain.guarded)[words.t]
+    spared = words.texts.guarded[words.t]
     aside = s.small_gap * np.maximum(1.0, m.y1 - m.y0) + 1
     again = lambda x, y: plain.contained(x, y) or _again(x, y, s.dedupe_similarity, s.dedupe_similarity_short)
     pairs = []
-    for a, b in met(m, m.x0 - aside, m.y0 - 1, m.x1 + aside, m.y1 + 1):
-        level = np.abs(m.cy[a] - m.cy[b]) <= s.baseline * mean_height(m, a, b)
-        a, b = a[level], b[level]
+    for i, j in met(m, m.x0 - aside, m.y0 - 1, m.x1 + aside, m.y1 + 1):
+        level = np.abs(m.cy[i] - m.cy[j]) <= s.baseline * mean_height(m, i, j)
+        a, b = _turned(i[level], j[level], place)
         cut, over = m.cut[a] | m.cut[b], iou(w, a, w, b) >= s.dedupe_iou
         gap = least_gap(m, a, b)
         beside = ~over & ~cut & (vertical_overlap(m, a, b) >= s.dup_overlap) & (gap >= 0) & (gap <= s.small_gap * mean_height(m, a, b))
@@ -440,8 +570,8 @@ def dedupe(m: Marks, s: Settings = DEFAULT) -> Marks:
         go[over & (ta == tb)] = True
         for n, rule in ((np.flatnonzero(over & ~cut & (ta != tb)), again), (np.flatnonzero(over & cut & (ta != tb)), _held)):
             go[n] = words.each(rule, tb[n], ta[n])
-        pairs.append((a[go], b[go]))
-    return m.take(chosen(len(m), pairs))
+        pairs.append((place[a[go]], place[b[go]]))
+    return m.take(order[chosen(len(m), pairs)])
 
 
 def _held(a: str, b: str) -> bool:
@@ -456,8 +586,8 @@ def _again(a: str, b: str, threshold: float, if_short: float) -> bool:
 
 def cleaned(m: Marks) -> Marks:
     """:func:`folds.cleaned`."""
-    m = m.said(plain.normal)
-    m = m.take(~m.texts.of(plain.invalid, m.t))
+    m = m.normal()
+    m = m.take(~m.texts.invalid[m.t])
     return replace(m, **{c: np.trunc(getattr(m, c)) for c in ("x0", "y0", "x1", "y1", "cx", "cy")})
 
 
@@ -476,8 +606,8 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
     """
     worded = np.zeros(len(m.ids), bool)
     worded[w.page] = True
-    w = w.said(str.strip)
-    w = w.take(~w.texts.of(plain.invalid, w.t)).said(lambda x: plain.normal(x).strip())
+    w = w.stripped()
+    w = w.take(~w.texts.invalid[w.t]).normal().stripped()
     w = replace(w, cx=(w.x0 + w.x1) / 2, cy=(w.y0 + w.y1) / 2, confidence=np.ones(len(w)), cut=np.zeros(len(w), bool))
     m = joined([m, w])
     is_word = np.arange(len(m)) >= len(m) - len(w)
@@ -490,7 +620,7 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
         found = [(p, x) for p, n in pages for _, x in _settled(m, n, is_word, s, bool(worded[p]))]
         return _of_items(m, np.array([p for p, _ in found], np.int64), [x for _, x in found])
     n = len(m)
-    whole, forms = m.whole, m.said(lambda x: plain.canon_late(plain.normal(x)))
+    whole = m.whole
     high = np.maximum(1.0, m.y1 - m.y0)
     half = np.maximum(s.pdf_center, s.pdf_center_factor * high) / 2
     around = np.minimum(m.x0 - 1, m.cx - half), np.minimum(m.y0 - 1, m.cy - half), np.maximum(m.x1 + 1, m.cx + half), np.maximum(m.y1 + 1, m.cy + half)
@@ -503,7 +633,7 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
         placed = is_word[b] & (hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (both / np.maximum(1.0, least) / 0.5 >= 1.0))
         over = hit | (share >= 0.05) | (least > 0) & (both / np.where(least > 0, least, 1.0) >= 0.5)
         left = np.flatnonzero(over & ~placed)
-        placed[left] = forms.each(plain.contained, forms.t[b[left]], forms.t[a[left]])
+        placed[left] = _same_texts(m, m.t[b[left]], m.t[a[left]])
         sides.append((a[placed], b[placed]))
     a, b = (np.concatenate(x) for x in zip(*sides, strict=True))
     met_by = np.bincount(np.concatenate([a, b]), minlength=n)
@@ -519,7 +649,7 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
     close = hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (part / 0.5 >= 1.0)
     single[np.flatnonzero(single)[~close]] = False
     i, j, t, share, part = (x[close] for x in (i, j, t, share, part))
-    same = forms.each(plain.contained, forms.t[i], forms.t[j])
+    same = _same_texts(m, m.t[i], m.t[j])
     apart = ((np.abs(m.cx[i] - m.cx[j]) > 1.2 * t) | (np.abs(m.cy[i] - m.cy[j]) > 1.2 * t)) & (share < 0.05) & (part < 0.25)
     gone[j[same | ~apart]] = True
     wins = same & (np.ones(len(i), bool) if s.pdf_prefer == "pdf" else _worth(m)[j] > _worth(m)[i])
@@ -545,6 +675,14 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
     return joined([out.take(rest), new]).take(np.argsort(np.concatenate([rest, own])))
 
 
+def _same_texts(m: Marks, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``folds._same_text`` of pairs of texts (numbers)."""
+    out = a == b
+    other = np.flatnonzero(~out)
+    out[other] = m.each(folds._same_text, a[other], b[other])
+    return out
+
+
 def _worth(m: Marks) -> np.ndarray:
     """As ``plain.quality_b`` to the last digit."""
     size, place = np.unique(areas(m, np.arange(len(m))), return_inverse=True)

@@ -141,3 +141,34 @@ def test_reconcile_pdf_query(spark, odd):
     items = spark.createDataFrame(plain_rows(spark, odd, finished), f"page_id long, seq long, {folds.SCHEMA}")
     want = with_document_words(items, catalogue._words(spark, odd).withColumn("word_id", F.col("l") * 1_000_000 + F.col("w")))
     assert sorted(map(tuple, query.collect())) == sorted(map(tuple, want.collect())) and query.dtypes == want.dtypes
+
+
+def test_texts_are_judged_by_their_characters(monkeypatch):
+    """As the plain rules judge them, which are asked only where characters leave it open."""
+    from plotwright.functions import plain
+
+    rng = random.Random(5)
+    odd = ["", *WORDS, *("".join(rng.choice("DdSsEeLlCcGgBb8tV019OI -_.,éſßŉﬆıД\n\x1f…") for _ in range(rng.randint(1, 7))) for _ in range(20_000))]
+    texts = sheet_folds.Texts(odd)
+    for got, rule in ((texts.normal(), plain.normal), (texts.invalid.tolist(), plain.invalid), (texts.guarded.tolist(), plain.guarded)):
+        assert got == list(map(rule, odd))
+    ordinary = sheet_folds.Texts(["word", "слово", "naïve,", "don't", "open2"])
+    for name in ("normal", "invalid", "guarded"):
+        monkeypatch.delattr(plain, name)
+    assert ordinary.normal() == ordinary.held and not ordinary.invalid.any() and not ordinary.guarded.any()
+
+
+@pytest.mark.parametrize("tall", [9, 400])
+def test_meetings_are_swept_once(tall):
+    """Areas that meet, by bands from the left; areas too unlike for bands go by cells."""
+    rng = np.random.default_rng(tall)
+    n = 300
+    x0, y0 = rng.integers(-200, 900, n) / 2, rng.integers(0, 300, n) * 1.0
+    x1, y1 = x0 + rng.integers(0, 90, n), y0 + rng.integers(0, 9, n)
+    y1[::2] += rng.integers(0, tall * 10, (n + 1) // 2) * (tall > 9)
+    m = marked([[folds.Item("a", (0, 0, 1, 1), (0, 0), 1.0)] * (n // 3)] * 3)
+    swept = sheet_folds._swept(m.page, x0, y0, x1, y1)
+    assert (swept is None) == (tall > 9)
+    got = [p for a, b in sheet_folds.met(m, x0, y0, x1, y1) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    meet = lambda i, j: m.page[i] == m.page[j] and x0[i] <= x1[j] and x0[j] <= x1[i] and y0[i] <= y1[j] and y0[j] <= y1[i]
+    assert sorted(got) == [(i, j) for i in range(n) for j in range(i + 1, n) if meet(i, j)]
