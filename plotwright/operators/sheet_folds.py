@@ -60,11 +60,17 @@ class Texts:
 
     def by_char(self, rule: Callable[[str], object], kind: type = bool) -> np.ndarray:
         """A rule on single characters for all of them."""
-        table = np.zeros(int(self.codes.max(initial=0)) + 1, kind)
-        there = np.flatnonzero(np.bincount(self.codes))
-        table[there] = [rule(chr(c)) for c in there.tolist()]
+        there, chars, size = self.alphabet
+        table = np.zeros(size, kind)
+        table[there] = list(map(rule, chars))
         return table[self.codes]
 
+    @functools.cached_property
+    def alphabet(self) -> tuple[np.ndarray, list[str], int]:
+        """The different code points, as characters too, and one more than the last."""
+        there = np.flatnonzero(np.bincount(self.codes))
+        return there, list(map(chr, there.tolist())), int(self.codes.max(initial=0)) + 1
+
     def sums(self, per_char: np.ndarray) -> np.ndarray:
         """How many characters of each text are marked."""
         return np.bincount(np.repeat(np.arange(len(self)), self.length)[per_char], minlength=len(self))
@@ -136,6 +142,15 @@ class Texts:
         out[own[here[two[own[here]]]]] = True
         return out
 
+    @functools.cached_property
+    def lost(self) -> np.ndarray:
+        """Texts of more than five ASCII letters and digits with DS or ES: no switch is so long, so they are invalid, and empty in normal form
+        unless SEL is in them."""
+        here = np.flatnonzero(self.switches & (self.length > 5))
+        out = np.zeros(len(self), bool)
+        out[here] = [(t := self.held[i]).isascii() and t.isalnum() for i in here.tolist()]
+        return out
+
     @functools.cached_property
     def wordless(self) -> np.ndarray:
         """Texts without a letter or digit."""
@@ -144,15 +159,15 @@ class Texts:
     def normal(self) -> list[str]:
         """:func:`plain.normal` of each text."""
         now = list(self.held)
-        for i in np.flatnonzero(self.unsettled).tolist():
-            now[i] = plain.normal(now[i])
+        for i, lost in zip(np.flatnonzero(self.unsettled).tolist(), self.lost[self.unsettled].tolist(), strict=True):
+            now[i] = "" if lost and "SEL" not in now[i].upper() else plain.normal(now[i])
         return now
 
     @functools.cached_property
     def invalid(self) -> np.ndarray:
         """:func:`plain.invalid` of each text."""
-        out = np.zeros(len(self), bool)
-        asked = np.flatnonzero(self.wordless | self.switches)
+        out = self.lost.copy()
+        asked = np.flatnonzero((self.wordless | self.switches) & ~out)
         out[asked] = [plain.invalid(self.held[i]) for i in asked.tolist()]
         return out
 
@@ -164,6 +179,18 @@ class Texts:
         out[asked] = [plain.guarded(self.held[i]) for i in asked.tolist()]
         return out
 
+    @functools.cached_property
+    def late(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text's form by :func:`plain.canon_late`, which is made character by character: as :attr:`letters`."""
+        forms = [plain.canon_late(c) for c in self.alphabet[1]]
+        place = {c: n for n, c in enumerate("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")}
+        held = np.zeros((len(self), 36), np.int16)
+        own = np.repeat(np.arange(len(self)), self.length)
+        for nth in range(max(map(len, forms), default=0)):
+            code = self.by_char(lambda c: place[f[nth]] if len(f := plain.canon_late(c)) > nth else 36, np.int64)  # noqa: B023
+            held += np.bincount(own * 37 + code, minlength=37 * len(self)).reshape(-1, 37)[:, :36].astype(np.int16)
+        return held, held.sum(1, dtype=np.int64)
+
     @functools.cached_property
     def short_number(self) -> np.ndarray:
         """:func:`plain.short_number`."""
@@ -217,6 +244,11 @@ class Marks:
     def item(self, i: int) -> folds.Item:
         return folds.Item(self.texts.held[self.t[i]], tuple(v[i].item() for v in (self.x0, self.y0, self.x1, self.y1)), (self.cx[i].item(), self.cy[i].item()), self.confidence[i].item(), bool(self.cut[i]))
 
+    def items(self, numbers: np.ndarray) -> list[folds.Item]:
+        x0, y0, x1, y1, cx, cy, confidence, cut = (getattr(self, c)[numbers].tolist() for c in ("x0", "y0", "x1", "y1", "cx", "cy", "confidence", "cut"))
+        texts = map(self.texts.held.__getitem__, self.t[numbers].tolist())
+        return [folds.Item(t, b, c, q, bool(k)) for t, b, c, q, k in zip(texts, zip(x0, y0, x1, y1, strict=True), zip(cx, cy, strict=True), confidence, cut, strict=True)]
+
     @property
     def upright(self) -> bool:
         return not ((self.x1 < self.x0) | (self.y1 < self.y0)).any()
@@ -251,9 +283,9 @@ class Marks:
         for n in np.array_split(other, len(other) // 20_000 + 1):
             x, y = a[n], b[n]
             both = np.minimum(held[x], held[y]).sum(1, dtype=np.int64)
-            # No text is held by another, nor as similar, that has fewer letters in common.
+            # No text is held by another, nor as similar, that has fewer letters in common; forms hold each other where texts do.
             may = n[(both >= np.minimum(size[x], size[y])) | (2.0 * both / (size[x] + size[y]) >= threshold)]
-            out[may] = self.each(lambda p, q: _near(p, q, threshold), a[may], b[may])
+            out[may] = self.each(lambda p, q: p in q or q in p or _near(p, q, threshold), a[may], b[may])
         return out
 
 
@@ -346,7 +378,7 @@ def chosen(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 def _by_page(m: Marks, fold: Callable[[list[folds.Item]], list[folds.Item]]) -> Marks:
     """The plain fold on every page."""
-    found = [(p, i) for p in range(len(m.ids)) for i in fold([m.item(n) for n in np.flatnonzero(m.page == p).tolist()])]
+    found = [(p, i) for p in range(len(m.ids)) for i in fold(m.items(np.flatnonzero(m.page == p)))]
     return _of_items(m, np.array([p for p, _ in found], np.int64), [i for _, i in found])
 
 
@@ -428,15 +460,16 @@ def _walked(m: Marks, line: np.ndarray, tall: np.ndarray, starts: np.ndarray, s:
     n = len(m)
     empty, gone, cut = m.texts.letters[1][m.t] == 0, np.zeros(n, bool), m.cut.copy()
     of, heights, quality, known = line.tolist(), tall.tolist(), m.quality.tolist(), set(starts.tolist())
+    x0, x1, was_cut = m.x0.tolist(), m.x1.tolist(), m.cut.tolist()
     made: dict[int, folds.Item] = {}
     done = 0
     for now in starts.tolist():
         if now < done:
             continue
-        i, tagged = now + 1, bool(m.cut[now])
+        i, tagged = now + 1, was_cut[now]
         one: folds.Item | None = None  # what several became
         while True:
-            tagged |= bool(m.cut[i])
+            tagged |= was_cut[i]
             if one is None and not (empty[now] and empty[i]):
                 if quality[now] >= quality[i]:
                     gone[i] = True
@@ -450,11 +483,10 @@ def _walked(m: Marks, line: np.ndarray, tall: np.ndarray, starts: np.ndarray, s:
             i += 1
             if i == n or of[i] != of[now]:
                 break
-            if one is None and now == i - 1 and tagged == m.cut[now]:
+            if one is None and now == i - 1 and tagged == was_cut[now]:
                 joins = now in known
-            else:
-                left = one or replace(m.item(now), cut=tagged)
-                joins = m.x0[i] - left.box[2] < (0.5 + s.cut_bonus) * heights[i] and folds.may_join(left, m.item(i), heights[i], s)
+            elif joins := x0[i] - (one.box[2] if one else x1[now]) < (0.5 + s.cut_bonus) * heights[i]:
+                joins = folds.may_join(one or replace(m.item(now), cut=tagged), m.item(i), heights[i], s)
             if not joins:
                 break
         if one is not None:
@@ -616,73 +648,85 @@ def reconcile(m: Marks, w: Marks, s: Settings = DEFAULT) -> Marks:
     if not len(m):
         return m
     if not m.upright:
-        pages = [(p, np.flatnonzero(m.page == p)) for p in range(len(m.ids))]
-        found = [(p, x) for p, n in pages for _, x in _settled(m, n, is_word, s, bool(worded[p]))]
+        pages = [(p, *(m.items(np.flatnonzero((m.page == p) & side)) for side in (~is_word, is_word))) for p in range(len(m.ids))]
+        found = [(p, x) for p, own, words in pages for x in ([x for _, x in folds.settle(own, words, None, s)] if worded[p] else own)]
         return _of_items(m, np.array([p for p, _ in found], np.int64), [x for _, x in found])
     n = len(m)
     whole = m.whole
     high = np.maximum(1.0, m.y1 - m.y0)
     half = np.maximum(s.pdf_center, s.pdf_center_factor * high) / 2
     around = np.minimum(m.x0 - 1, m.cx - half), np.minimum(m.y0 - 1, m.cy - half), np.maximum(m.x1 + 1, m.cx + half), np.maximum(m.y1 + 1, m.cy + half)
-    sides = [(np.zeros(0, np.int64),) * 2]
+    near: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, bool),) * 3]
     for a, b in met(m, *around):
         a, b = (x[worded[m.page[a]]] for x in (a, b))
         t = np.maximum(s.pdf_center, s.pdf_center_factor * np.minimum(high[a], high[b]))
-        hit = (np.abs(m.cx[a] - m.cx[b]) <= t) & (np.abs(m.cy[a] - m.cy[b]) <= t)
+        off_x, off_y = np.abs(m.cx[a] - m.cx[b]), np.abs(m.cy[a] - m.cy[b])
+        hit = (off_x <= t) & (off_y <= t)
         share, both, least = iou(whole, a, whole, b), shared_area(m, a, m, b), np.minimum(areas(m, a), areas(m, b))
-        placed = is_word[b] & (hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (both / np.maximum(1.0, least) / 0.5 >= 1.0))
+        part = both / np.maximum(1.0, least)
+        score = np.maximum(np.maximum(share / max(1e-6, s.pdf_iou), part / 0.5), hit)
         over = hit | (share >= 0.05) | (least > 0) & (both / np.where(least > 0, least, 1.0) >= 0.5)
-        left = np.flatnonzero(over & ~placed)
-        placed[left] = _same_texts(m, m.t[b[left]], m.t[a[left]])
-        sides.append((a[placed], b[placed]))
-    a, b = (np.concatenate(x) for x in zip(*sides, strict=True))
+        apart = ((off_x > 1.2 * t) | (off_y > 1.2 * t)) & (share < 0.05) & (part < 0.25)
+        close = is_word[b] & (score >= 1.0)
+        may = np.flatnonzero(over | close)
+        same = _same_texts(m, m.t[b[may]], m.t[a[may]])
+        placed = close[may] | same
+        near.append(tuple(x[may][placed] for x in (a, b, score, over, apart)) + (same[placed],))
+    a, b, score, over, apart, same = (np.concatenate(x) for x in zip(*near, strict=True))
     met_by = np.bincount(np.concatenate([a, b]), minlength=n)
     gone = np.zeros(n, bool)
-    at = np.arange(n)  # what stands in each place
+    at, confidence = np.arange(n), m.confidence.copy()  # what stands in each place
+    worth = _worth(m)
     # A word that alone meets an item that meets nothing else.
-    single = (met_by[a] == 1) & (met_by[b] == 1) & ~is_word[a] & is_word[b]
+    single = (met_by[a] == 1) & (met_by[b] == 1) & ~is_word[a] & is_word[b] & (score >= 1.0)
     i, j = a[single], b[single]
-    t = np.maximum(s.pdf_center, s.pdf_center_factor * np.minimum(high[i], high[j]))
-    hit = (np.abs(m.cx[i] - m.cx[j]) <= t) & (np.abs(m.cy[i] - m.cy[j]) <= t)
-    share = iou(whole, i, whole, j)
-    part = shared_area(m, i, m, j) / np.maximum(1.0, np.minimum(areas(m, i), areas(m, j)))
-    close = hit | (share / max(1e-6, s.pdf_iou) >= 1.0) | (part / 0.5 >= 1.0)
-    single[np.flatnonzero(single)[~close]] = False
-    i, j, t, share, part = (x[close] for x in (i, j, t, share, part))
-    same = _same_texts(m, m.t[i], m.t[j])
-    apart = ((np.abs(m.cx[i] - m.cx[j]) > 1.2 * t) | (np.abs(m.cy[i] - m.cy[j]) > 1.2 * t)) & (share < 0.05) & (part < 0.25)
-    gone[j[same | ~apart]] = True
-    wins = same & (np.ones(len(i), bool) if s.pdf_prefer == "pdf" else _worth(m)[j] > _worth(m)[i])
+    gone[j[same[single] | ~apart[single]]] = True
+    wins = same[single] & (np.ones(len(i), bool) if s.pdf_prefer == "pdf" else worth[j] > worth[i])
     at[i[wins]] = j[wins]
-    confidence = m.confidence.copy()
     confidence[i[wins]] = np.maximum(1.0, confidence[i[wins]])
-    changed: dict[int, folds.Item] = {}
-    for group in _groups(a[~single].tolist(), b[~single].tolist()):
-        gone[group] = True
-        for k, x in _settled(m, np.array(group), is_word, s):
-            gone[k] = False
-            changed[k] = x
+    a, b, score, over, apart, same = (x[~single].tolist() for x in (a, b, score, over & same, apart, same))
+    pairs: dict[int, list[tuple[int, float, bool, bool, bool]]] = defaultdict(list)
+    for x, y, *what in zip(a, b, score, over, apart, same, strict=True):
+        pairs[x].append((y, *what))
+        pairs[y].append((x, *what))
+    groups = _groups(a, b)
+    members = np.array(sorted(pairs), np.int64)
+    gone[members] = True
+    words = set(members[is_word[members]].tolist())
+    sure = dict(zip(members.tolist(), zip(confidence[members].tolist(), worth[members].tolist(), strict=True), strict=True))
+
+    def value(k: int, q: float) -> float:
+        return sure[k][1] if q == sure[k][0] else folds._worth(replace(m.item(k), confidence=q))
+
+    for group in groups:
+        for k, (now, q) in _settled(group, pairs, words, {k: sure[k][0] for k in group}, value, s).items():
+            gone[k], at[k], confidence[k] = False, now, q
     # Items first, then words that were added.
     kept = np.flatnonzero(~gone)
     kept = kept[np.lexsort((kept, is_word[kept], m.page[kept]))]
-    out = replace(m.take(at[kept]), confidence=confidence[kept])
-    if not changed:
-        return out
-    same_place = np.array([k in changed for k in kept.tolist()], bool)
-    own = np.flatnonzero(same_place)
-    new = _of_items(m, m.page[kept[own]], [changed[k] for k in kept[own].tolist()])
-    rest = np.flatnonzero(~same_place)
-    return joined([out.take(rest), new]).take(np.argsort(np.concatenate([rest, own])))
+    return replace(m.take(at[kept]), confidence=confidence[kept])
 
 
 def _same_texts(m: Marks, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``folds._same_text`` of pairs of texts (numbers)."""
     out = a == b
+    settled, (held, size) = ~m.texts.unsettled, m.texts.late
     other = np.flatnonzero(~out)
-    out[other] = m.each(folds._same_text, a[other], b[other])
+    as_they_are = settled[a[other]] & settled[b[other]]
+    n = other[~as_they_are]
+    out[n] = m.each(folds._same_text, a[n], b[n])
+    n = other[as_they_are]
+    x, y = a[n], b[n]
+    n = n[np.minimum(held[x], held[y]).sum(1, dtype=np.int64) >= np.minimum(size[x], size[y])]
+    out[n] = m.each(_late_same, a[n], b[n])
     return out
 
 
+def _late_same(a: str, b: str) -> bool:
+    """``folds._same_text`` of texts in normal form: where one holds the other its form does."""
+    return plain.contained(a, b) or plain.contained(plain.canon_late(a), plain.canon_late(b))
+
+
 def _worth(m: Marks) -> np.ndarray:
     """As ``plain.quality_b`` to the last digit."""
     size, place = np.unique(areas(m, np.arange(len(m))), return_inverse=True)
@@ -709,15 +753,31 @@ def _groups(a: list[int], b: list[int]) -> list[list[int]]:
     return list(found.values())
 
 
-def _settled(m: Marks, group: np.ndarray, is_word: np.ndarray, s: Settings, worded: bool = True) -> list[tuple[int, folds.Item]]:
-    """The plain fold on some of a page's items and words: numbers of places, and what stands there."""
-    words = is_word[group]
-    numbers = [*group[~words].tolist(), *group[words].tolist()]
-    items = [m.item(n) for n in numbers]
-    k = len(items) - int(words.sum())
-    if not worded:
-        return list(zip(numbers, items, strict=True))
-    return [(numbers[n], x) for n, x in folds.settle(items[:k], items[k:], None, s)]
+def _settled(group: list[int], pairs: dict[int, list[tuple]], words: set[int], sure: dict[int, float], value: Callable[[int, float], float], s: Settings) -> dict[int, tuple[int, float]]:
+    """:func:`folds.settle` of some of a page's items and words by number, items first: by place what stands there, and its confidence.
+
+    pairs: of each number the others it meets, with the score, whether a sweep has them as one, whether they are apart, and whether
+    they say the same; sure: confidences, which change where a word takes a place; value: what a number is worth with a confidence.
+    """
+    wins = lambda new, old: s.pdf_prefer == "pdf" or value(new, sure[new]) > value(old, sure[old])
+    place = {k: k for k in group if k not in words}
+    for k in group:
+        if k not in words:
+            continue
+        best = max(((score, -place[j], j, apart, same) for j, score, _, apart, same in pairs[k] if j in place and score >= 1.0), default=None)
+        if best is None or not best[4] and best[3]:
+            place[k] = k
+        elif best[4] and wins(k, j := best[2]):
+            place[k] = place.pop(j)
+            sure[k] = max(1.0, sure[j])
+    swept: dict[int, int] = {}
+    for n, k in sorted((n, k) for k, n in place.items()):
+        first = min(((swept[j], j) for j, _, one, _, _ in pairs[k] if one and j in swept), default=None)
+        if first is None:
+            swept[k] = n
+        elif wins(k, first[1]):
+            swept[k] = swept.pop(first[1])
+    return {n: (k, sure[k]) for k, n in swept.items()}
 
 
 def columns(m: Marks) -> list:

@@ -172,3 +172,18 @@ def test_meetings_are_swept_once(tall):
     got = [p for a, b in sheet_folds.met(m, x0, y0, x1, y1) for p in zip(a.tolist(), b.tolist(), strict=True)]
     meet = lambda i, j: m.page[i] == m.page[j] and x0[i] <= x1[j] and x0[j] <= x1[i] and y0[i] <= y1[j] and y0[j] <= y1[i]
     assert sorted(got) == [(i, j) for i in range(n) for j in range(i + 1, n) if meet(i, j)]
+
+
+def test_words_that_meet_several_items_are_settled_by_number(monkeypatch):
+    """Crowds of items and words, also surer than sure ones: the plain fold's result, without the plain fold."""
+    rng = random.Random(11)
+
+    def crowd(n, confidence):
+        return [folds.Item(rng.choice(WORDS[:14]), (x := rng.randint(0, 60), y := rng.randint(0, 30), x + rng.randint(1, 60), y + rng.randint(5, 18)), (x + rng.randint(0, 40), y + 5), rng.choice(confidence)) for _ in range(n)]
+
+    tries = [[(crowd(rng.randint(1, 9), [0.2, 0.9, 1.0, 1.5]), crowd(rng.randint(1, 9), [1.0])) for _ in range(3)] for _ in range(40)]
+    want = [rows(marked([folds.reconcile(items, [(x.text, x.box) for x in words]) for items, words in pages])) for pages in tries]
+    monkeypatch.delattr(folds, "settle")
+    for pages, rows_wanted in zip(tries, want, strict=True):
+        m, w = (marked([p[n] for p in pages]) for n in (0, 1))
+        assert rows(sheet_folds.reconcile(m, w)) == rows_wanted
