@@ -43,6 +43,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -89,10 +90,26 @@ _BLOCKS = "block long, word binary, at int, n long, opening long, doc_id long, h
 _START = 10  # what stands before a text's first token
 
 
-def ends_of(word: bytes) -> int:
-    """A word's last bytes above its opening, each as a number; what is missing is zero."""
-    tail = int.from_bytes(word[-TAIL:], "big") if word != END else _START
-    return tail << 8 * OPEN | int.from_bytes((word if word == END else word + SPACE)[:OPEN].ljust(OPEN, b"\0"), "big")
+def ends_of(words: list[bytes]) -> np.ndarray:
+    """Each word's last bytes above its opening, as one number; what is missing is zero."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.append(np.frombuffer(b"".join(words), np.uint8), np.uint8(0))
+    end = np.cumsum(size)
+    start, out = end - size, np.zeros(len(words), np.int64)
+    for k in range(TAIL, 0, -1):
+        out = out << 8 | np.where(size >= k, flat[np.maximum(end - k, 0)], 0)
+    closing = np.where((size == 1) & (flat[start] == END[0]), 0, SPACE[0])  # the end token has no space behind it
+    for k in range(OPEN):
+        out = out << 8 | np.where(size > k, flat[np.minimum(start + k, len(flat) - 1)], np.where(size == k, closing, 0))
+    return out
+
+
+class Numbers(dict):
+    """Words by number, a new one's being the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def opening_keys(codes: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -110,7 +127,7 @@ def _row_batch(m: int, **given: pa.Array) -> pa.RecordBatch:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Three kinds of rows: a block's words with their training counts, its openings with theirs, its documents as word numbers."""
     base, k = TaskContext.get().partitionId() << 32, 0
-    numbers: dict[bytes, int] = {}
+    numbers = Numbers()
     learned = np.zeros(0, np.int64)
     docs: list[tuple] = []
     tokens = 0
@@ -123,7 +140,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = words[a : a + 50_000]
             m = len(part)
             yield _row_batch(m, block=pa.array(np.full(m, base + k)), word=pa.array(part, pa.binary()), at=pa.array(np.arange(a, a + m, dtype=np.int32)), n=pa.array(learned[a : a + m]))
-        ends = np.fromiter(map(ends_of, words), np.int64, len(words))
+        ends = ends_of(words)
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         for part in _token_chunks([d[-1] for d in docs if not d[1]]):
             codes = np.concatenate(part)
@@ -139,15 +156,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, held, size, codes = zip(*part, strict=True)
             packed = [codec.compress(c.tobytes(), asbytes=True) for c in codes]
             yield _row_batch(len(part), block=pa.array(np.full(len(part), base + k)), doc_id=pa.array(ids, pa.int64()), held_out=pa.array(held), n_tokens=pa.array(list(map(len, codes)), pa.int64()), n_bytes=pa.array(size, pa.int64()), codes=pa.array(packed, pa.binary()))
-        numbers, learned, docs, tokens, k = {}, np.zeros(0, np.int64), [], 0, k + 1
+        numbers, learned, docs, tokens, k = Numbers(), np.zeros(0, np.int64), [], 0, k + 1
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             whole = (text.as_py() or "").encode()
             words = whole.lower().split()
             words.append(END)
-            put = numbers.setdefault
-            codes = np.fromiter((put(w, len(numbers)) for w in words), np.int32, len(words))
+            codes = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
             held = held_out(doc_id)
             if len(learned) < len(numbers):
                 learned = np.concatenate([learned, np.zeros(max(len(numbers) - len(learned), len(learned), 1024), np.int64)])
@@ -701,7 +717,7 @@ def _word_scores(make: Callable[[], Mixer], shared):
         for group in _groups(batches):
             group.count_whole(shared.value)
             said = mixer.word_scores(group)
-            ends = np.fromiter(map(ends_of, group.words), np.int64, len(said))
+            ends = ends_of(group.words)
             for a in range(0, len(said), 20_000):
                 b = slice(a, a + 20_000)
                 yield pa.RecordBatch.from_arrays([pa.array(group.words[b], pa.binary()), pa.array(group.times[b]), pa.array(said[b].astype(np.float32)), pa.array(ends[b])], names=["word", "c", "s", "ends"])
@@ -718,7 +734,7 @@ def with_own_words(codes: np.ndarray, firsts: np.ndarray, said: np.ndarray) -> n
     n = len(codes)
     doc = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, n)))
     i = np.arange(n) - firsts[doc]
-    order = np.lexsort((codes, doc))
+    order = np.argsort(doc * (int(codes.max(initial=0)) + 1) + codes, kind="stable")
     new = np.ones(n, bool)
     new[1:] = (codes[order[1:]] != codes[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
     run = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -744,13 +760,16 @@ def _added(n: int, v: int, make: Callable[[], Mixer]):
         coded = [np.frombuffer(codec.decompress(x.as_py(), 4 * k, asbytes=True), np.int32) for x, k in zip(docs.column("codes"), docs.column("n_tokens").to_pylist(), strict=True)]
         chunks = [(np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1]) for part in _token_chunks(coded)]
         del coded
-        keys = np.zeros(0, np.int64)
+        keys, own, places = np.zeros(0, np.int64), [], []
         for codes, firsts in chunks:
-            keys = np.union1d(keys, opening_keys(codes, firsts, ends))
+            place, different = pd.factorize(opening_keys(codes, firsts, ends))
+            places.append(place.astype(np.int32))
+            own.append(different)
+            keys = np.union1d(keys, different)
         opened = make().opening_scores(keys)
         known, b, x = [], [], []
-        for codes, firsts in chunks:
-            said = s[codes] + opened[np.searchsorted(keys, opening_keys(codes, firsts, ends))]
+        for (codes, firsts), place, different in zip(chunks, places, own, strict=True):
+            said = s[codes] + opened[np.searchsorted(keys, different)][place]
             known.append(np.add.reduceat((c[codes] > 0).astype(np.int64), firsts))
             b.append(np.add.reduceat(base[codes], firsts))
             x.append(np.add.reduceat(with_own_words(codes, firsts, said), firsts))

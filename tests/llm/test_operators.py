@@ -885,3 +885,16 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(50)] + [(200, 100), (100, 150), (7, 7), (None, 3), (3, None), (3, 4)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 51)}, 150: 100, 200: 100}
+
+
+def test_ends_of_words_and_numbers():
+    """Both by arrays and lookups alone, as byte by byte."""
+    words = [lm_score.END, b"a", b"ab", b"abc", b"abcd", "чё".encode(), b"\0", b"x" * 99, b"\xff\xfe"]
+
+    def ends(word):
+        opening = (word if word == lm_score.END else word + lm_score.SPACE)[: lm_score.OPEN].ljust(lm_score.OPEN, b"\0")
+        return int.from_bytes(word[-lm_score.TAIL :] if word != lm_score.END else bytes([lm_score._START]), "big") << 8 * lm_score.OPEN | int.from_bytes(opening, "big")
+
+    assert lm_score.ends_of(words).tolist() == list(map(ends, words)) and lm_score.ends_of([]).tolist() == []
+    numbers = lm_score.Numbers()
+    assert [numbers[w] for w in (b"b", b"a", b"b", b"c")] == [0, 1, 0, 2] and list(numbers) == [b"b", b"a", b"c"]
