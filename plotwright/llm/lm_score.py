@@ -45,6 +45,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,8 +76,8 @@ MOVE = 0.1
 UNITS = 1 << 16
 #: Greatest share of a document's own words in a prediction, and the strength of its first guess, in tokens.
 CACHE, CACHE_PRIOR = 0.5, 5.0
-#: Tokens of a block that are added up at once.
-TOKENS = 1_000_000
+#: Tokens of a block that are added up at once; bytes of texts that are cut into words at once.
+TOKENS, CODED_AT_ONCE = 1_000_000, 1 << 23
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -90,12 +91,23 @@ _BLOCKS = "block long, word binary, at int, n long, opening long, doc_id long, h
 _START = 10  # what stands before a text's first token
 
 
-def ends_of(words: list[bytes]) -> np.ndarray:
+def laid_out(words: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of words one after the other, with a zero behind them; where each word begins; its length."""
+    array = (words if isinstance(words, pa.Array) else pa.array(words, pa.binary())).cast(pa.binary())
+    _, offsets, data = array.buffers()
+    edges = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1].astype(np.int64) if len(array) else np.zeros(1, np.int64)
+    flat = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.append(flat, np.uint8(0)), edges[:-1] - edges[0], np.diff(edges)
+
+
+def as_list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def ends_of(words: list[bytes] | pa.Array) -> np.ndarray:
     """Each word's last bytes above its opening, as one number; what is missing is zero."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.append(np.frombuffer(b"".join(words), np.uint8), np.uint8(0))
-    end = np.cumsum(size)
-    start, out = end - size, np.zeros(len(words), np.int64)
+    flat, start, size = laid_out(words)
+    end, out = start + size, np.zeros(len(words), np.int64)
     for k in range(TAIL, 0, -1):
         out = out << 8 | np.where(size >= k, flat[np.maximum(end - k, 0)], 0)
     closing = np.where((size == 1) & (flat[start] == END[0]), 0, SPACE[0])  # the end token has no space behind it
@@ -120,6 +132,40 @@ def opening_keys(codes: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> np.
     return before << 8 * OPEN | ends[codes] & (1 << 8 * OPEN) - 1
 
 
+def _by_size(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of whole texts that come to about ``most`` bytes."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(size + 1) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+    yield from ((a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b)
+
+
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(bytes of each text, tokens of all as numbers into the words, the words in the order they are met, each text's first token)."""
+    letters, start, size = laid_out(pc.fill_null(texts, ""))
+    letters += ((letters >= ord("A")) & (letters <= ord("Z"))).astype(np.uint8) * np.uint8(32)  # pc.ascii_lower garbles cast slices
+    split = pc.ascii_split_whitespace(pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.append(start, start[-1:] + size[-1:])), pa.py_buffer(letters)))
+    edges = split.offsets.to_numpy().astype(np.int64)
+    flat = split.values.slice(edges[0], edges[-1] - edges[0]).cast(pa.large_binary())
+    edges -= edges[0]
+    there = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    before = np.concatenate([[0], np.cumsum(there)])[edges]  # words before each text, and all
+    flat = flat.filter(pa.array(there))
+    known = flat.dictionary_encode()
+    number, words = known.indices.to_numpy(zero_copy_only=False), known.dictionary
+    n = np.diff(before)
+    firsts = before[:-1] + np.arange(len(n))
+    ends = before[1:] + np.arange(len(n))
+    # The end is numbered where it is met first, behind the words of the first text.
+    first_end = int(number[: n[0]].max(initial=-1)) + 1
+    out = np.full(len(number) + len(n), first_end, np.int64)
+    is_word = np.ones(len(out), bool)
+    is_word[ends] = False
+    out[is_word] = number + (number >= first_end)
+    words = pa.concat_arrays([words.slice(0, first_end), pa.array([END], pa.large_binary()), words.slice(first_end)])
+    return size, out, words, firsts
+
+
 def _row_batch(m: int, **given: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(m, f.type)) for f in _ROW], schema=_ROW)
 
@@ -128,14 +174,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Three kinds of rows: a block's words with their training counts, its openings with theirs, its documents as word numbers."""
     base, k = TaskContext.get().partitionId() << 32, 0
     numbers = Numbers()
-    learned = np.zeros(0, np.int64)
     docs: list[tuple] = []
     tokens = 0
     codec = pa.Codec("zstd")
 
-    def closed() -> Iterator[pa.RecordBatch]:
-        nonlocal numbers, learned, docs, tokens, k
-        words = list(numbers)
+    def closed(n_words: int) -> Iterator[pa.RecordBatch]:
+        nonlocal numbers, docs, tokens, k
+        words = list(numbers)[:n_words]
+        learned = np.zeros(len(words), np.int64)
+        for part in _token_chunks([d[-1] for d in docs if not d[1]]):
+            learned += np.bincount(np.concatenate(part), minlength=len(words))
         for a in range(0, len(words), 50_000):
             part = words[a : a + 50_000]
             m = len(part)
@@ -156,25 +204,28 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, held, size, codes = zip(*part, strict=True)
             packed = [codec.compress(c.tobytes(), asbytes=True) for c in codes]
             yield _row_batch(len(part), block=pa.array(np.full(len(part), base + k)), doc_id=pa.array(ids, pa.int64()), held_out=pa.array(held), n_tokens=pa.array(list(map(len, codes)), pa.int64()), n_bytes=pa.array(size, pa.int64()), codes=pa.array(packed, pa.binary()))
-        numbers, learned, docs, tokens, k = Numbers(), np.zeros(0, np.int64), [], 0, k + 1
+        numbers, docs, tokens, k = Numbers(), [], 0, k + 1
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            whole = (text.as_py() or "").encode()
-            words = whole.lower().split()
-            words.append(END)
-            codes = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
-            held = held_out(doc_id)
-            if len(learned) < len(numbers):
-                learned = np.concatenate([learned, np.zeros(max(len(numbers) - len(learned), len(learned), 1024), np.int64)])
-            if not held:
-                np.add.at(learned, codes, 1)
-            docs.append((doc_id, held, len(whole), codes))
-            tokens += len(words)
-            if len(numbers) >= BLOCK_WORDS or tokens >= BLOCK_TOKENS:
-                yield from closed()
+        ids, texts = batch.column(0).to_pylist(), batch.column(1)
+        for a, b in _by_size(texts, CODED_AT_ONCE):
+            while a < b:
+                size, local, words, firsts = coded(texts.slice(a, b - a))
+                before = len(numbers)
+                number = np.fromiter(map(numbers.__getitem__, as_list(words)), np.int32, len(words))
+                far = np.maximum.accumulate(np.maximum.reduceat(local, firsts))  # the last word met up to each text's end
+                n_words = np.maximum(before, np.maximum.accumulate(number)[far] + 1)
+                full = np.flatnonzero((n_words >= BLOCK_WORDS) | (tokens + np.append(firsts[1:], len(local)) >= BLOCK_TOKENS))
+                m = int(full[0]) + 1 if len(full) else b - a  # texts that still belong to this block
+                codes = number[local[: firsts[m] if m < b - a else len(local)]]
+                held = [held_out(i) for i in ids[a : a + m]]
+                docs += zip(ids[a : a + m], held, size[:m].tolist(), np.split(codes, firsts[1:m]), strict=True)
+                tokens += len(codes)
+                a += m
+                if len(full):
+                    yield from closed(int(n_words[m - 1]))
     if docs:
-        yield from closed()
+        yield from closed(len(numbers))
 
 
 def _token_chunks(docs: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -210,11 +261,11 @@ class Openings:
         seq = [(keys >> 8 * k & 255).astype(np.uint64) for k in range(TAIL + OPEN - 1, -1, -1)]
         self.tail, self.bytes = seq[:TAIL], seq[TAIL:]
 
-    def places(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-        """(place, which, byte, contexts)."""
+    def places(self, new: list[np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """(place, which, byte, contexts); ``new``: by place, which to give."""
         alive = np.ones(self.n, bool)
         for p in range(OPEN):
-            at = np.flatnonzero(alive)
+            at = np.flatnonzero(alive if new is None else alive & new[p])
             before = [x[at] + np.uint64(1) for x in (*self.tail, np.full(self.n, SPACE[0], np.uint64), *self.bytes[:p])]
             last = [_hashed(k, *before[: -k - 1 : -1]) for k in range(1, 5)]
             own = [x[at] + np.uint64(1) for x in self.bytes[:p]]
@@ -223,32 +274,71 @@ class Openings:
             alive &= (self.bytes[p] != SPACE[0]) & (self.bytes[p] != END[0])
 
 
+def once(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(place, each opening's number or -1, key, byte, contexts) of different beginnings of openings that are in order."""
+    new = [np.diff(keys >> 8 * (OPEN - 1 - p), prepend=-1) != 0 for p in range(OPEN)]
+    for p, at, byte, contexts in Openings(keys).places(new):
+        run = np.cumsum(new[p]) - 1
+        number = np.full(int(run[-1]) + 1 if len(run) else 0, -1)
+        number[run[at]] = np.arange(len(at))
+        yield p, number[run], keys[at] >> 8 * (OPEN - 1 - p), byte, contexts
+
+
 class Words:
     """The bytes behind the openings of sorted words: each one's owner and contexts, and the counts of whole beginnings.
 
-    ``steps`` hands out (owner, byte, contexts, what whole beginnings say by bit) in pieces; very long tokens come in pieces of
-    their own.
+    ``steps`` and ``rest`` hand out (owner, byte, contexts, what whole beginnings say by bit) in pieces; very long tokens come in
+    pieces of their own.  Contexts follow from the beginning, so ``once`` and ``learned`` name each beginning and next byte once.
     """
 
-    def __init__(self, words: list[bytes], times: np.ndarray):
-        self.words, self.times = words, times
-        tokens = [w if w == END else w[:HEAD] + SPACE if len(w) < HEAD else w[:HEAD] for w in words]
-        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    def __init__(self, words: list[bytes] | pa.Array, times: np.ndarray):
+        self.array, self.times = words if isinstance(words, pa.Array) else pa.array(words, pa.binary()), times
+        letters, start, length = laid_out(self.array)
+        size = np.minimum(length + 1, HEAD)
+        size[(length == 1) & (letters[start] == END[0])] = 1  # the end token has no space behind it
         starts = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(tokens), np.uint8)
-        place = np.arange(len(flat)) - np.repeat(starts, size)
+        owner = np.repeat(np.arange(len(size)), size)
+        place = np.arange(len(owner)) - starts[owner]
+        flat = np.where(place < length[owner], letters[start[owner] + np.minimum(place, length[owner])], SPACE[0])
         at = np.flatnonzero(place >= OPEN)
-        self.place = place[at]
-        self.owner = np.repeat(np.arange(len(words)), size)[at]
-        self.byte = flat[at]
+        self.place, self.owner, self.byte = place[at], owner[at], flat[at]
         self.last = _last_four(flat, place, at)
         big = flat.astype(np.uint64) + np.uint64(1)
         power = np.cumprod(np.full(HEAD + 1, _M2, np.uint64), dtype=np.uint64)
         total = np.concatenate([[np.uint64(0)], np.cumsum(big * power[place], dtype=np.uint64)])
-        h = total[:-1] - np.repeat(total[starts], size) + np.uint64(77)
+        h = total[:-1] - total[starts[owner]] + np.uint64(77)
         self.whole = (h ^ h >> np.uint64(31))[at]
-        self.long = [i for i, w in enumerate(words) if len(w) >= HEAD]
+        self.long = np.flatnonzero(length >= HEAD).tolist()
         self.said: list[tuple[np.ndarray, np.ndarray]] = []
+        self._number(flat, place, owner, starts, size)
+
+    def _number(self, flat: np.ndarray, place: np.ndarray, owner: np.ndarray, starts: np.ndarray, size: np.ndarray) -> None:
+        """Different beginnings with their next bytes, found by how far each word goes with the one before it.
+
+        ``keys``: beginning * 256 + next byte, in order; ``first``: a byte that has it; ``key``: each byte's; ``begun``: a byte of
+        each beginning.
+        """
+        before = np.maximum(owner - 1, 0)
+        same = (place < size[before]) & (flat[starts[before] + np.minimum(place, size[before] - 1)] == flat) & (owner > 0)
+        alike = np.minimum.reduceat(np.where(same, HEAD, place), starts) if len(starts) else np.zeros(0, np.int64)
+        alike[:1] = -1
+        order = np.argsort(self.place.astype(np.uint8), kind="stable")  # by place, there by word: equal beginnings side by side
+        far, own = alike[self.owner[order]], self.place[order]
+        beginning, new = np.cumsum(own > far) - 1, np.flatnonzero(own >= far)
+        self.begun = order[own > far]
+        keys, self.first = beginning[new] * 256 + self.byte[order[new]], order[new]
+        self.key = np.empty(len(order), np.int64)
+        self.key[order] = np.cumsum(own >= far) - 1
+        if (np.diff(keys) < 0).any():  # bytes below the space that closes a word
+            by = np.argsort(keys, kind="stable")
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            keys, self.first, self.key = keys[by], self.first[by], rank[self.key]
+        self.keys = keys
+
+    @functools.cached_property
+    def words(self) -> list[bytes]:
+        return as_list(self.array)
 
     def beginnings(self, word: int) -> np.ndarray:
         """Contexts of the whole beginnings that a word has."""
@@ -259,43 +349,69 @@ class Words:
 
         What they say is kept with them; leave_out: as if each bit had been counted once less.
         """
-        weight = self.times[self.owner].astype(float)
-        different, number = np.unique(self.whole, return_inverse=True)
-        keys, back = np.unique(number * 256 + self.byte, return_inverse=True)  # a node's bytes are a run of these
-        total = np.bincount(back, weight, len(keys))
+        keys, total = self.keys, np.bincount(self.key, self.times[self.owner], len(self.keys))
+        different = self.whole[self.begun]
         context, byte, n = shared
         lo, hi = np.searchsorted(context, different), np.searchsorted(context, different, "right")
         others = {int(d): (a, b) for d, a, b in zip(np.flatnonzero(hi > lo), lo[hi > lo], hi[hi > lo], strict=True)}
+        self.own = np.arange(len(keys))
         if others:  # next bytes that only other groups have count as well
             extra = np.concatenate([np.array([d], np.int64).repeat(b - a) * 256 + byte[a:b] for d, (a, b) in others.items()])
             counts = np.concatenate([n[a:b] for a, b in others.values()])
-            every = np.union1d(keys, extra)
-            more = np.zeros(len(every))
-            more[np.searchsorted(every, keys)] = total
-            more[np.searchsorted(every, extra)] = counts
-            back = np.searchsorted(every, keys)[back]
-            keys, total = every, more
-        self.back = back
+            at = np.searchsorted(keys, extra)
+            new = keys[np.minimum(at, len(keys) - 1)] != extra
+            self.own = self.own + np.cumsum(np.bincount(at[new], minlength=len(keys) + 1))[:-1]
+            keys, total = np.insert(keys, at[new], extra[new]), np.insert(total, at[new], 0.0)
+            total[np.searchsorted(keys, extra)] = counts
+        self.back = self.own[self.key]
         self.counts, self.said = [], []
         for k, _, bit in walk((keys & 255).astype(np.uint8)):
             new = np.diff(keys >> (8 - k), prepend=-1) != 0
             first = np.flatnonzero(new)
             n = np.stack([np.add.reduceat(total * (bit == v), first) for v in (0, 1)], axis=1).astype(np.float32) if len(first) else np.zeros((0, 2), np.float32)
-            self.counts.append(n[np.cumsum(new) - 1])
-            self.said.append(_said(self.counts[-1][:, 0], self.counts[-1][:, 1], bit if leave_out else None))
-
-    def steps(self, size: int, learned_only: bool, by_hash: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]]:
-        at = np.flatnonzero(self.times[self.owner] > 0) if learned_only else np.arange(len(self.owner))
-        if by_hash:  # not by the alphabet
-            rank = np.argsort(np.argsort([zlib.crc32(w[:HEAD]) for w in self.words], kind="stable"), kind="stable")
-            at = at[np.argsort(rank[self.owner[at]], kind="stable")]
+            run = np.cumsum(new) - 1
+            self.counts.append(n[run])
+            if leave_out:
+                self.said.append(_said(self.counts[-1][:, 0], self.counts[-1][:, 1], bit))
+            else:
+                logit, sure = _said(n[:, 0], n[:, 1], None)
+                self.said.append((logit[run], sure[run]))
+
+    def once(self, size: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]]:
+        """(which, key, byte, contexts, what whole beginnings say by bit) of the different beginnings and next bytes, in pieces."""
+        for a in range(0, len(self.keys), size):
+            i = self.first[a : a + size]
+            own = self.own[a : a + size] if self.said else None
+            yield slice(a, a + size), self.keys[a : a + size], self.byte[i], [x[i] for x in self.last], [(logit[own], sure[own]) for logit, sure in self.said]
+
+    def learned(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+        """(key, byte, contexts, times) of what was met in training: beginnings and next bytes once, then very long tokens."""
+        total = np.bincount(self.key, self.times[self.owner], len(self.keys))
+        for which, keys, byte, contexts, _ in self.once(size):
+            at = np.flatnonzero(total[which] > 0)
+            yield keys[at], byte[at], [x[at] for x in contexts], total[which][at]
+        for owner, byte, contexts, _ in self.rest(size, True):
+            yield np.arange(len(byte)) * 256 + byte, byte, contexts, self.times[owner].astype(float)
+
+    def steps(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]]:
+        """Every byte of words met in training, in the order of their hashes (not of the alphabet)."""
+        hashes = np.fromiter(map(zlib.crc32, as_list(pc.binary_slice(self.array, 0, HEAD))), np.int64, len(self.array))
+        n = np.bincount(self.owner, minlength=len(hashes))
+        order = np.argsort(hashes, kind="stable")
+        order = order[(self.times[order] > 0) & (n[order] > 0)]
+        n_of, start = n[order], (np.cumsum(n) - n)[order]
+        at = np.repeat(start - (np.cumsum(n_of) - n_of), n_of) + np.arange(n_of.sum())
         for a in range(0, len(at), size):
             i = at[a : a + size]
             back = self.back[i] if self.said else None
             yield self.owner[i], self.byte[i], [x[i] for x in self.last], [(logit[back], sure[back]) for logit, sure in self.said]
+        yield from self.rest(size, True)
+
+    def rest(self, size: int, learned_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]]:
+        """The same of very long tokens behind their first ``HEAD`` bytes."""
         for w in self.long:
             if self.times[w] > 0 or not learned_only:
-                token = self.words[w][HEAD - 4 :] + SPACE
+                token = self.array[w].as_py()[HEAD - 4 :] + SPACE
                 for a in range(4, len(token), size):
                     flat = np.frombuffer(token[a - 4 : a + size], np.uint8)
                     place = np.arange(len(flat))
@@ -308,10 +424,9 @@ def _last_four(flat: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.n
     """Contexts of the last one to four bytes at some bytes; none reaches over a token's beginning."""
     before = []
     for back in range(1, 5):
-        x = np.zeros(len(at), np.uint64)
-        there = place[at] >= back
-        x[there] = flat[at[there] - back].astype(np.uint64) + np.uint64(1)
-        x[place[at] == back - 1] = SPACE[0] + 1
+        x = flat[np.maximum(at - back, 0)].astype(np.uint64) + np.uint64(1)
+        short = np.flatnonzero(place[at] < back)
+        x[short] = np.where(place[at[short]] == back - 1, np.uint64(SPACE[0] + 1), np.uint64(0))
         before.append(x)
     return [_hashed(k, *before[:k]) for k in range(1, 5)]
 
@@ -355,9 +470,13 @@ def _said(zero: np.ndarray, one: np.ndarray, bit: np.ndarray | None) -> tuple[np
 @functools.cache
 def _tables_said() -> tuple[np.ndarray, np.ndarray]:
     """What every pair of packed counts says, as it is and as if a zero or a one had been counted once less: [3 * 65536]."""
-    zero, one = np.repeat(_COUNT, 256), np.tile(_COUNT, 256)
+    zero, one = np.tile(_COUNT, 256), np.repeat(_COUNT, 256)  # a slot's zeros are its low byte
     parts = [_said(zero, one, None), _said(zero, one, np.zeros(len(zero), np.int64)), _said(zero, one, np.ones(len(zero), np.int64))]
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    return np.concatenate([p[0] for p in parts]).astype(float), np.concatenate([p[1] for p in parts]).astype(np.int64)
+
+
+_NINE = np.arange(9)[:, None]
+_NODES = np.arange(256, dtype=np.uint64) * _M2 * _M3
 
 
 class Mixer:
@@ -368,8 +487,9 @@ class Mixer:
 
     def __init__(self, counts: np.ndarray, bits: tuple[int, ...] | None = None, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
         self.bits = bits or least_bits()
-        self.pairs = np.ascontiguousarray(counts, np.uint8).view(">u2").ravel()
-        self.offsets = np.cumsum([0, *(1 << s for s in self.bits)])[:-1]
+        self.pairs = np.ascontiguousarray(counts, np.uint8).view("<u2").ravel()
+        self.offsets = np.cumsum([0, *(1 << s for s in self.bits)])[:-1, None]
+        self.shifts = np.array([64 - s for s in self.bits], np.uint64)[:, None]
         self.weights = np.full((GATES, INPUTS), 1.0 / 3) if weights is None else weights
         even = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
         self.refined = np.tile(even, (GATES, 1)) if refined is None else refined
@@ -382,28 +502,32 @@ class Mixer:
         self.curves = np.tile(np.eye(INPUTS) * STIFF, (GATES, 1, 1))
         self.step = 0
 
-    def inputs(self, contexts: list[np.ndarray], node: np.ndarray, k: int, bit: np.ndarray | None, own: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def spread(contexts: list[np.ndarray]) -> np.ndarray:
+        """Contexts by row, multiplied once for all bits: slots are then those of :func:`_slots`."""
+        return np.stack(contexts) * _M3
+
+    def inputs(self, contexts: np.ndarray, node: np.ndarray, k: int, bit: np.ndarray | None, own: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(logits by context, which of the nine gates) of one bit of many bytes; with ``bit`` as if it had been counted once less.
 
-        ``own``: what whole beginnings say behind an opening, where nothing reaches across.
+        ``contexts`` come from :meth:`spread`.  ``own``: what whole beginnings say behind an opening, where nothing reaches across.
         """
         logit_of, sure_of = _tables_said()
-        logits = np.zeros((INPUTS, len(node)), np.float32)
-        shift = None if bit is None else (bit + 1) << 16
-        sure = {}
-        spread = node.astype(np.uint64) * _M2
-        for o, c in enumerate(contexts):
-            slot = ((c + spread) * _M3 >> np.uint64(64 - self.bits[o])).astype(np.int64)
-            slot += self.offsets[o]
-            pair = self.pairs[slot].astype(np.int64)
-            if shift is not None:
-                pair += shift
-            np.take(logit_of, pair, out=logits[o])
-            if o in (3, ACROSS):
-                sure[o] = sure_of[pair]
+        m = len(contexts)
+        slot = contexts + _NODES[node]
+        slot >>= self.shifts[:m]
+        slot = slot.view(np.int64)
+        slot += self.offsets[:m]
+        pair = np.take(self.pairs, slot, mode="clip").astype(np.int64)
+        if bit is not None:
+            pair += (bit + 1) << 16
+        logits = np.zeros((INPUTS, len(node)))
+        np.take(logit_of, pair, out=logits[:m], mode="clip")
         if own is not None:
-            logits[WHOLE], sure[ACROSS] = own
-        return logits, sure[3].astype(np.int64) * 3 + sure[ACROSS]
+            logits[WHOLE], sure = own
+        else:
+            sure = np.take(sure_of, pair[ACROSS], mode="clip")
+        return logits, np.take(sure_of, pair[3], mode="clip") * 3 + sure
 
     @staticmethod
     def gates(place: int, k: int) -> np.ndarray:
@@ -412,10 +536,12 @@ class Mixer:
     @staticmethod
     def mix(weights: np.ndarray, logits: np.ndarray, level: np.ndarray) -> np.ndarray:
         """``weights``: of the nine gates."""
-        x = np.zeros(len(level))
-        for o in range(INPUTS):
-            x += weights[level, o] * logits[o]
-        return np.clip(x, -12, 12)
+        x = np.empty(len(level))
+        for a in range(0, len(level), LEARN_STEP):  # small enough for one thread
+            i = level[a : a + LEARN_STEP]
+            every = weights @ logits[:, a : a + LEARN_STEP]
+            x[a : a + LEARN_STEP] = every.ravel().take(i * len(i) + np.arange(len(i)))
+        return np.clip(x, -12, 12, out=x)
 
     @staticmethod
     def refine(refined: np.ndarray, x: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -436,48 +562,66 @@ class Mixer:
         bent = self.step % BEND == 0
         late = self.step >= 2
         self.step += 1
+        contexts = self.spread(contexts)
+        terms = np.empty((INPUTS + 1, len(byte)))
+        terms[INPUTS] = weight
         for k, node, bit in walk(byte):
             gates = self.gates(place, k)
             logits, level = self.inputs(contexts, node, k, bit, None if own is None else own[k])
             x = self.mix(self.now[gates], logits, level)
             p = 1 / (1 + np.exp(-x))
-            miss = (bit - p) * weight
-            slope = np.stack([np.bincount(level, miss * logits[o], 9) for o in range(INPUTS)], axis=1)
+            np.multiply(logits, (bit - p) * weight, out=terms[:INPUTS])
+            sums = (level == _NINE).astype(float) @ terms.T
             if bent:
-                bend = BEND * p * (1 - p) * weight
-                curves = np.zeros((9, INPUTS, INPUTS))
-                for o in range(INPUTS):
-                    bent_o = bend * logits[o]
-                    for q in range(o + 1):
-                        curves[:, o, q] = curves[:, q, o] = np.bincount(level, bent_o * logits[q], 9)
-                self.curves[gates] += curves
-            self.now[gates] += np.clip(np.linalg.solve(self.curves[gates], slope[:, :, None])[:, :, 0], -MOVE, MOVE)
-            self.met[gates] += np.bincount(level, weight, 9)
+                by = np.argsort(level.astype(np.uint8), kind="stable")
+                edges = np.searchsorted(level[by], np.arange(10)).tolist()
+                dealt, bend = np.take(logits, by, axis=1), (BEND * p * (1 - p) * weight)[by]
+                for gate, a, b in zip(gates.tolist(), edges, edges[1:], strict=False):
+                    if a < b:
+                        self.curves[gate] += (dealt[:, a:b] * bend[a:b]) @ dealt[:, a:b].T
+            self.now[gates] += np.clip(np.linalg.solve(self.curves[gates], sums[:, :INPUTS, None])[:, :, 0], -MOVE, MOVE)
+            self.met[gates] += sums[:, INPUTS]
             if late:
-                at = level * BUCKETS + np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)
-                n = np.stack([np.bincount(at, weight, 9 * BUCKETS), np.bincount(at, weight * bit, 9 * BUCKETS)]).astype(np.int64)
-                seen.reshape(2, GATES, BUCKETS)[:, gates] += n.reshape(2, 9, BUCKETS)
-
-    def log10(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, own: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
-        """log10 of each byte's probability."""
-        total = np.zeros(len(byte))
+                at = (level * BUCKETS + np.rint(np.clip((x + 8) * 2, 0, BUCKETS - 1)).astype(np.int64)) * 2 + bit
+                n = np.bincount(at, weight, 9 * BUCKETS * 2).astype(np.int64).reshape(9, BUCKETS, 2)
+                seen.reshape(2, GATES, BUCKETS)[:, gates] += np.stack([n.sum(axis=2), n[:, :, 1]])
+
+    def log10(self, byte: np.ndarray, contexts: list[np.ndarray], place: int, own: list[tuple[np.ndarray, np.ndarray]] | None = None, keys: np.ndarray | None = None) -> np.ndarray:
+        """log10 of each byte's probability; ``keys``: in order, bytes whose keys differ in the last eight bits only share their contexts."""
+        likely = np.ones(len(byte))  # eight factors of a millionth at least
+        contexts = self.spread(contexts)
         for k, node, bit in walk(byte):
             gates = self.gates(place, k)
-            logits, level = self.inputs(contexts, node, k, None, None if own is None else own[k])
+            said = None if own is None else own[k]
+            first = run = None
+            if keys is not None:
+                new = np.diff(keys >> (8 - k), prepend=-1) != 0
+                first = np.flatnonzero(new)
+            if first is not None and len(first) < 0.8 * len(byte):  # what is asked of the same bits is asked once
+                run = np.cumsum(new) - 1
+                logits, level = self.inputs(contexts[:, first], node[first], k, None, said and (said[0][first], said[1][first]))
+            else:
+                logits, level = self.inputs(contexts, node, k, None, said)
             p = self.refine(self.refined[gates], self.mix(self.weights[gates], logits, level), level)
-            total += np.log(np.where(bit == 1, p, 1 - p))
-        return total / np.log(10)
+            if run is not None:
+                p = p[run]
+            likely *= np.where(bit == 1, p, 1 - p)
+        return np.log10(likely)
 
     def opening_scores(self, keys: np.ndarray) -> np.ndarray:
+        """Of openings in order."""
         out = np.zeros(len(keys))
         for a in range(0, len(keys), STEP):
-            for p, at, byte, contexts in Openings(keys[a : a + STEP]).places():
-                out[a + at] += self.log10(byte, contexts, p)
+            for p, number, key, byte, contexts in once(keys[a : a + STEP]):
+                out[a : a + STEP] += np.append(self.log10(byte, contexts, p, None, key), 0.0)[number]
         return out
 
     def word_scores(self, group: Words) -> np.ndarray:
-        out = np.zeros(len(group.words))
-        for owner, byte, contexts, own in group.steps(STEP, False):
+        said = np.zeros(len(group.keys))
+        for which, keys, byte, contexts, own in group.once(STEP):
+            said[which] = self.log10(byte, contexts, OPEN, own, keys)
+        out = np.bincount(group.owner, said[group.key], len(group.array))
+        for owner, byte, contexts, own in group.rest(STEP, False):
             out += np.bincount(owner, self.log10(byte, contexts, OPEN, own), len(out))
         return out
 
@@ -490,7 +634,7 @@ def _numbered(cuts: list[bytes]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [bisect.bisect_right(cuts, w) for w in batch.column(0).to_pylist()]
+            at = [bisect.bisect_right(cuts, w) for w in as_list(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0), batch.column(1)], names=["part", "value", "n"])
 
     return run
@@ -532,7 +676,7 @@ def packed(parts: DataFrame, n_parts: int, order: str, kind: str, name: str) ->
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     for batch in batches:
         for words, times in zip(batch.column(0), batch.column(1), strict=True):
-            yield Words(words.as_py(), times.values.to_numpy())
+            yield Words(words.values, times.values.to_numpy())
 
 
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -561,7 +705,7 @@ def sketched(registers: np.ndarray) -> float:
 
 def _sketch_into(seen: np.ndarray, contexts: list[np.ndarray], byte: np.ndarray) -> None:
     for o, c in enumerate(contexts):
-        seen[o] = np.maximum(seen[o], sketch(np.unique((c * np.uint64(257) + byte) * _M1)))
+        seen[o] = np.maximum(seen[o], sketch((c * np.uint64(257) + byte) * _M1))
 
 
 _EDGES = "context long, byte int, n long, t int, seen binary"
@@ -576,9 +720,9 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Next bytes of the beginnings that a group may share with others (context, byte, n); at the end a sketch a table."""
     seen = np.zeros((INPUTS, REGISTERS), np.uint8)
     for group in _groups(batches):
-        for _, byte, contexts, _ in group.steps(1 << 20, True):
+        for _, byte, contexts, _ in group.learned(1 << 17):
             _sketch_into(seen, contexts, byte)
-        mine = np.concatenate([group.beginnings(0), group.beginnings(len(group.words) - 1)])
+        mine = np.concatenate([group.beginnings(0), group.beginnings(len(group.array) - 1)])
         at = np.flatnonzero(np.isin(group.whole, mine) & (group.times[group.owner] > 0))
         keys, back = np.unique(np.stack([group.whole[at], group.byte[at].astype(np.uint64)]), axis=1, return_inverse=True)
         n = np.bincount(back.reshape(-1), group.times[group.owner[at]], keys.shape[1]).astype(np.int64)
@@ -589,7 +733,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _opening_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.zeros((INPUTS, REGISTERS), np.uint8)
     for keys, _ in _shares(batches):
-        for _, _, byte, contexts in Openings(keys).places():
+        for _, _, _, byte, contexts in once(np.sort(keys)):
             _sketch_into(seen, contexts, byte)
     yield _sketch_rows(seen)
 
@@ -615,10 +759,14 @@ def edges(groups: DataFrame, shares: DataFrame) -> tuple[tuple[np.ndarray, np.nd
 # ---- 4: context counts ------------------------------------------------------------------------------------------------
 
 
-def _count_into(table: np.ndarray, offsets: np.ndarray, bits: tuple[int, ...], byte: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray) -> None:
-    for _, node, bit in walk(byte):
+def _count_into(table: np.ndarray, offsets: np.ndarray, bits: tuple[int, ...], keys: np.ndarray, byte: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray) -> None:
+    """Bytes with their keys in order, which share contexts where they differ in the last eight bits only."""
+    for k, node, bit in walk(byte):
+        first = np.flatnonzero(np.diff(keys >> (7 - k), prepend=-1) != 0)
+        n = np.add.reduceat(weight, first) if len(first) else weight
+        node, bit = node[first], bit[first]
         for o, c in enumerate(contexts):
-            np.add.at(table, (offsets[o] + _slots(c, node, bits[o])) * 2 + bit, weight)
+            np.add.at(table, (offsets[o] + _slots(c[first], node, bits[o])) * 2 + bit, n)
 
 
 def _counted(bits: tuple[int, ...], of_openings: bool):
@@ -629,12 +777,14 @@ def _counted(bits: tuple[int, ...], of_openings: bool):
         table = np.zeros(size * 2)  # whole numbers, exact up to 2**53
         if of_openings:
             for keys, times in _shares(batches):
-                for _, at, byte, contexts in Openings(keys).places():
-                    _count_into(table, offsets, bits, byte, contexts, times[at].astype(float))
+                order = np.argsort(keys)
+                for _, number, key, byte, contexts in once(keys[order]):
+                    n = np.bincount(number + 1, times[order], len(key) + 1)[1:]
+                    _count_into(table, offsets, bits, key, byte, contexts, n)
         else:
             for group in _groups(batches):
-                for owner, byte, contexts, _ in group.steps(1 << 17, True):
-                    _count_into(table, offsets, bits, byte, contexts, group.times[owner].astype(float))
+                for keys, byte, contexts, n in group.learned(1 << 17):
+                    _count_into(table, offsets, bits, keys, byte, contexts, n)
         chunks = table.reshape(-1, CHUNK * 2)
         for k in np.flatnonzero(chunks.any(axis=1)).tolist():
             at = np.flatnonzero(chunks[k])
@@ -688,7 +838,7 @@ def _learned(make: Callable[[], Mixer], shared, of_openings: bool):
         else:
             for group in _groups(batches):
                 group.count_whole(shared.value, leave_out=True)
-                for owner, byte, contexts, own in group.steps(LEARN_STEP, True, by_hash=True):
+                for owner, byte, contexts, own in group.steps(LEARN_STEP):
                     mixer.learn(byte, contexts, OPEN, group.times[owner].astype(float), own, seen)
                 part_done()
         every = np.concatenate([weights.ravel(), met, seen.ravel()])
@@ -717,10 +867,10 @@ def _word_scores(make: Callable[[], Mixer], shared):
         for group in _groups(batches):
             group.count_whole(shared.value)
             said = mixer.word_scores(group)
-            ends = ends_of(group.words)
+            ends = ends_of(group.array)
             for a in range(0, len(said), 20_000):
                 b = slice(a, a + 20_000)
-                yield pa.RecordBatch.from_arrays([pa.array(group.words[b], pa.binary()), pa.array(group.times[b]), pa.array(said[b].astype(np.float32)), pa.array(ends[b])], names=["word", "c", "s", "ends"])
+                yield pa.RecordBatch.from_arrays([group.array[b].cast(pa.binary()), pa.array(group.times[b]), pa.array(said[b].astype(np.float32)), pa.array(ends[b])], names=["word", "c", "s", "ends"])
 
     return run
 

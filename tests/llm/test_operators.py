@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -898,3 +899,61 @@ def test_ends_of_words_and_numbers():
     assert lm_score.ends_of(words).tolist() == list(map(ends, words)) and lm_score.ends_of([]).tolist() == []
     numbers = lm_score.Numbers()
     assert [numbers[w] for w in (b"b", b"a", b"b", b"c")] == [0, 1, 0, 2] and list(numbers) == [b"b", b"a", b"c"]
+
+
+def test_equal_beginnings_are_asked_once(monkeypatch):
+    """What shares its contexts and bits is mixed once, with the scores of every byte by itself."""
+    rng = np.random.default_rng(3)
+    mixer = lm_score.Mixer(rng.integers(0, 40, (sum(1 << b for b in lm_score.least_bits()), 2)).astype(np.uint8))
+    asked, inputs = [], lm_score.Mixer.inputs
+    monkeypatch.setattr(lm_score.Mixer, "inputs", lambda self, contexts, node, *rest: (asked.append(len(node)), inputs(self, contexts, node, *rest))[1])
+    keys = np.unique(np.array([int.from_bytes(b"xyz" + (bytes(rng.choice(list(b"abcdef"), rng.integers(1, 4)).tolist()) + b" ")[:3].ljust(3, b"\0"), "big") for _ in range(900)]))
+    want = np.zeros(len(keys))
+    for p, at, byte, contexts in lm_score.Openings(keys).places():
+        want[at] += mixer.log10(byte, contexts, p)
+    plainly, asked[:] = sum(asked), []
+    assert np.allclose(mixer.opening_scores(keys), want, rtol=1e-12) and sum(asked) < plainly / 4
+
+    words = sorted({bytes(rng.choice(list(b"ab\x01"), rng.integers(1, 9)).tolist()) for _ in range(500)} | {lm_score.END, b"a" * 40, b"a" * 31, b"a" * 33 + b"b"})
+    group = lm_score.Words(words, rng.integers(0, 3, len(words)))
+    begun = {(w[:p], (w + b" ")[p]) for w in words if w != lm_score.END for p in range(3, min(len(w) + 1, lm_score.HEAD))}
+    assert len(group.keys) == len(begun) and (np.diff(group.keys) > 0).all()
+    group.count_whole((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)))
+    want = np.bincount(group.owner, mixer.log10(group.byte, group.last, 3, [(x[group.back], y[group.back]) for x, y in group.said]), len(words))
+    behind = 0
+    for owner, byte, contexts, own in group.rest(50, False):
+        behind += len(byte)
+        want += np.bincount(owner, mixer.log10(byte, contexts, 3, own), len(words))
+    asked[:] = []
+    assert np.allclose(mixer.word_scores(group), want, rtol=1e-12) and sum(asked) <= 8 * (len(begun) + behind) < 8 * len(group.byte)
+    learned = [(k, n) for keys, _, _, times in group.learned(1 << 17) for k, n in zip(keys.tolist(), times.tolist(), strict=True)]
+    assert sum(n for _, n in learned) == sum(int(n) * max(0, len(w) + 1 - 3) for w, n in zip(words, group.times, strict=True) if w != lm_score.END)
+
+
+def test_texts_are_coded_in_slices(monkeypatch):
+    """Tokens by arrays are those of plain cutting, also of slices, nulls and other white space; blocks close behind the same texts."""
+    rng = random.Random(4)
+    texts = [None, "", " \t\n\x0b\x0c\r ", "Ab aB\x1cÀÉ x y İ \0 \x85", *("".join(rng.choice("aBcÀ \n\tЖ") for _ in range(rng.randrange(90))) for _ in range(300))]
+    column = pa.array(["x" * 99, *texts]).slice(1)
+    plain = [(t or "").encode().lower().split() + [lm_score.END] for t in texts]
+    for part, want in ((column, plain), (column.slice(7, 40), plain[7:47])):
+        size, codes, words, firsts = lm_score.coded(part)
+        assert [[words[c].as_py() for c in x] for x in np.split(codes, firsts[1:])] == want and [c for c in dict.fromkeys(codes.tolist())] == list(range(len(words)))
+        assert size.tolist() == [len((t.as_py() or "").encode()) for t in part]
+
+    monkeypatch.setattr(lm_score, "TaskContext", type("T", (), {"get": classmethod(lambda cls: cls()), "partitionId": lambda self: 0}))
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 60)
+    blocks, numbers, tokens = [[]], {}, 0
+    for i, ws in enumerate(plain):
+        blocks[-1].append((i, [numbers.setdefault(w, len(numbers)) for w in ws]))
+        tokens += len(ws)
+        if len(numbers) >= 40 or tokens >= 60:
+            blocks, numbers, tokens = [*blocks, []], {}, 0
+    rows = pa.Table.from_batches(lm_score._blocks(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), column], names=["doc_id", "text"])]))).to_pylist()
+    got = [[] for _ in range(len(blocks))]
+    for r in rows:
+        if r["codes"] is not None:
+            got[r["block"]].append((r["doc_id"], np.frombuffer(pa.decompress(r["codes"], 4 * r["n_tokens"], "zstd", asbytes=True), np.int32).tolist()))
+    assert got == blocks and len(blocks) > 20
+    assert sum(r["n"] for r in rows if r["word"] is not None) == sum(len(ws) for i, ws in enumerate(plain) if not lm_score.held_out(i))
